@@ -141,9 +141,9 @@ SELECT sku, store_id, CAST(date_trunc('week', date_id) AS DATE) AS week, CAST(su
 FROM fact GROUP BY ALL""",
     "ends": "SELECT max(week) AS data_end FROM weekly",
     "pairs": "SELECT sku, store_id FROM weekly GROUP BY ALL HAVING count(DISTINCT week) >= 12",
-    "labels": "SELECT weekly.* FROM weekly JOIN pairs USING (sku, store_id)",
+    "label_rows": "SELECT weekly.* FROM weekly JOIN pairs USING (sku, store_id)",
     "described": """
-SELECT l.*, region, category FROM labels l JOIN stores USING (store_id) JOIN products USING (sku)""",
+SELECT l.*, region, category FROM label_rows l JOIN stores USING (store_id) JOIN products USING (sku)""",
     "past_best": _OVERLAP.format(rows="described", promos="past_promos"),
     "averages": """
 SELECT *, coalesce(avg(total_quantity) OVER (PARTITION BY sku, store_id ORDER BY week ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING), 0.0)
@@ -186,7 +186,7 @@ SELECT sku, store_id, week, store_name, region, product_name, category, predicte
          AS risk_type,
        CAST(round(predicted_demand - avg_demand_last_12w, 0) AS INTEGER) AS demand_delta, model_version
 FROM forecast JOIN stores USING (store_id) JOIN products USING (sku) WHERE {_RISK}""",
-    "status": """
+    "status_table": """
 SELECT sku || '::' || store_id || '::' || CAST(week AS VARCHAR) AS action_id, sku, store_id, week, status, note,
        updated_by, updated_at
 FROM status_feed WHERE status IS NOT NULL
@@ -194,7 +194,7 @@ QUALIFY row_number() OVER (PARTITION BY sku, store_id, week ORDER BY updated_at
     "queue": """
 SELECT a.sku, a.store_id, a.week, store_name, region, product_name, category, predicted_demand, avg_demand_last_12w,
        risk_type, demand_delta, coalesce(s.status, 'open') AS status, s.note, s.updated_by, s.updated_at
-FROM actions a LEFT JOIN status s ON s.sku = a.sku AND s.store_id = a.store_id AND s.week = a.week
+FROM actions a LEFT JOIN status_table s ON s.sku = a.sku AND s.store_id = a.store_id AND s.week = a.week
 WHERE a.week = (SELECT min(week) FROM actions)
 ORDER BY (risk_type = 'Stockout') DESC, abs(demand_delta) DESC, a.sku, a.store_id LIMIT 500""",
     "detail": f"""
@@ -287,7 +287,7 @@ FROM (SELECT CAST(unnest(generate_series(
 JOIN (VALUES {_LIST}) s(sku, n) ON s.n = txn_idx % {len(q.SALES_PRODUCTS)}""",
     "feature_upsert": "SELECT * FROM features UNION ALL SELECT * FROM left_over",
     "action_list_snapshot": "SELECT * FROM actions",
-    "action_status_upsert": "SELECT * FROM status",
+    "action_status_upsert": "SELECT * FROM status_table",
     "run_summary": f"""SELECT (SELECT count(*) FROM features) AS feature_rows, (SELECT data_end FROM ends) AS data_end,
 count(*) AS forecast_rows, count(*) FILTER (WHERE {_RISK}) AS action_rows,
 string_agg(DISTINCT CAST(week AS VARCHAR), ',' ORDER BY CAST(week AS VARCHAR)) AS forecast_weeks FROM forecast""",
@@ -315,7 +315,7 @@ SELECT * REPLACE (NULL::DOUBLE AS unit_price_at_sale, NULL::DOUBLE AS total_reve
     "weekly_demand": "SELECT * FROM weekly",
     "data_end": "SELECT * FROM ends",
     "valid_pairs": "SELECT * FROM pairs",
-    "weekly_valid": "SELECT * FROM labels",
+    "weekly_valid": "SELECT * FROM label_rows",
     "weekly_enriched": "SELECT w.*, region, category FROM weekly w JOIN stores USING (store_id) JOIN products USING (sku)",
     "rolling_features": "SELECT * EXCLUDE (region, category) FROM averages",
     "latest_features": "SELECT * FROM latest",
@@ -349,16 +349,17 @@ FROM (
   GROUP BY ALL)
 JOIN (VALUES {_CURVE}) c(category, elasticity, seas_amp, seas_peak) USING (category)""",
     "discounted_price": """SELECT transaction_id, sku, unit_price, discount_float,
-CASE WHEN discount_float > 0 THEN round(unit_price * (1 - discount_float), 2) ELSE unit_price END AS sale_price
+CASE WHEN discount_float > 0 THEN CAST(round(CAST(unit_price * (1 - discount_float) AS DECIMAL(38,16)), 2) AS DOUBLE)
+ELSE unit_price END AS sale_price
 FROM sales_discounted""",
     "history_features": "SELECT * FROM history",
     "future_features": "SELECT * FROM future",
     "all_features": "SELECT * FROM features",
-    "labels": "SELECT * FROM labels",
+    "labels": "SELECT * FROM label_rows",
     "holdout_split": """SELECT *, CASE WHEN week < (
-  SELECT min(week) FROM (SELECT DISTINCT week FROM labels ORDER BY week DESC LIMIT 8)) THEN 'train' ELSE 'test' END AS part
-FROM labels""",
-    "training_set": "SELECT l.*, f.* EXCLUDE (sku, store_id, week) FROM labels l LEFT JOIN features f USING (sku, store_id, week)",
+  SELECT min(week) FROM (SELECT DISTINCT week FROM label_rows ORDER BY week DESC LIMIT 8)) THEN 'train' ELSE 'test' END AS part
+FROM label_rows""",
+    "training_set": "SELECT l.*, f.* EXCLUDE (sku, store_id, week) FROM label_rows l LEFT JOIN features f USING (sku, store_id, week)",
     "asof_features": """SELECT s.transaction_id, s.sku, s.store_id, s.date_id, f.rolling_4wk_avg, f.avg_demand_last_12w,
 f.is_promoted FROM fact s ASOF LEFT JOIN features f ON s.sku = f.sku AND s.store_id = f.store_id AND s.date_id >= f.week""",
     "asof_score_features": """SELECT k.*, f.* EXCLUDE (sku, store_id, week) FROM keys k
@@ -367,10 +368,10 @@ ASOF LEFT JOIN features f ON k.sku = f.sku AND k.store_id = f.store_id AND k.wee
     "forecast_summary": """SELECT model_version, count(*) AS forecast_rows, count(*) FILTER (WHERE is_stockout_risk) AS stockout,
 count(*) FILTER (WHERE is_overstock_risk) AS overstock FROM forecast GROUP BY model_version""",
     "baseline_mae": """SELECT count(*) AS holdout_rows,
-CAST(avg(CAST(abs(total_quantity - avg_demand_last_12w) AS DECIMAL(18,6))) AS DOUBLE) AS mae_naive_avg12w,
-CAST(avg(CAST(abs(total_quantity - rolling_4wk_avg) AS DECIMAL(18,6))) AS DOUBLE) AS mae_naive_rolling4w
-FROM labels JOIN features USING (sku, store_id, week)
-WHERE week >= (SELECT min(week) FROM (SELECT DISTINCT week FROM labels ORDER BY week DESC LIMIT 8))""",
+round(avg(abs(total_quantity - avg_demand_last_12w)), 6) AS mae_naive_avg12w,
+round(avg(abs(total_quantity - rolling_4wk_avg)), 6) AS mae_naive_rolling4w
+FROM label_rows JOIN features USING (sku, store_id, week)
+WHERE week >= (SELECT min(week) FROM (SELECT DISTINCT week FROM label_rows ORDER BY week DESC LIMIT 8))""",
     "action_list": "SELECT * FROM actions",
     "action_queue": "SELECT * FROM queue",
     "action_queue_filtered": "SELECT * FROM queue WHERE " + " AND ".join(
@@ -460,7 +461,7 @@ greatest(0, p_size - 25) AS floored, abs(p_size - 25) AS distance, round(p_retai
 CAST(p_size AS DOUBLE) AS as_double, CAST(p_size > 25 AS INTEGER) AS as_int,
 CASE WHEN p_size > 40 THEN p_brand END AS null_unless_large, CASE WHEN p_size > 40 THEN p_size ELSE -1 END AS filled,
 ['a', 'b', 'c'][p_size % 3 + 1] AS picked, try_cast(p_type AS INTEGER) AS unreadable FROM part""",
-    "action_status_stream": "SELECT * FROM status",
+    "action_status_stream": "SELECT * FROM status_table",
 }
 TAILS["scd1_stream_transactions"] = TAILS["scd1_transactions"]
 

@@ -412,7 +412,8 @@ def forecast_summary(r: Retail) -> DataFrame:
 
 @query
 def baseline_mae(r: Retail) -> DataFrame:
-    return forecast.baseline_mae(forecast.holdout_split(training_set(r)).where("part = 'test'"))
+    errors = forecast.baseline_mae(forecast.holdout_split(training_set(r)).where("part = 'test'"))
+    return errors.withColumns({c: F.round(c, 6) for c in errors.columns if c.startswith("mae_")})
 
 
 def _fitted(r: Retail):

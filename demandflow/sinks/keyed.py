@@ -9,6 +9,8 @@ a failure overwrites its own folder, so applying it twice changes nothing.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -35,17 +37,25 @@ class KeyedTable:
         newest.write.mode("overwrite").parquet(f"{self.path}/changes/{batch_id}")
 
     def read(self) -> DataFrame:
-        """The table as of the last whole batch."""
+        """The table as of the last whole batch.
+
+        Base rows whose key has no newer change pass straight through; only the others are
+        compared with the changes. While the changes are few that is a broadcast of their keys
+        and no shuffle of the base.
+        """
         base, newer = self._folders()
-        parts = [self._part("base", base)] if base is not None else []
-        parts += [self._part("changes", batch) for batch in newer]
-        if not parts:
-            return self.spark.createDataFrame([], self.schema)
-        rows = parts[0]
-        for part in parts[1:]:
-            rows = rows.unionByName(part)
-        if len(parts) > 1:
-            rows = latest_per_key(rows, self.keys, self.sequence_by)
+        if not newer:
+            rows = self.spark.createDataFrame([], self.schema) if base is None else self._part("base", base)
+            return rows.select(*self.schema.names)
+        changes = reduce(DataFrame.unionByName, [self._part("changes", batch) for batch in newer])
+        if base is None:
+            rows = changes if len(newer) == 1 else latest_per_key(changes, self.keys, self.sequence_by)
+            return rows.select(*self.schema.names)
+        old, changed = self._part("base", base), changes.select(*self.keys).distinct()
+        contested = old.join(changed, self.keys, "left_semi").unionByName(changes)
+        rows = old.join(changed, self.keys, "left_anti").unionByName(
+            latest_per_key(contested, self.keys, self.sequence_by)
+        )
         return rows.select(*self.schema.names)
 
     def compact(self) -> None:
