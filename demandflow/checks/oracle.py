@@ -349,7 +349,7 @@ FROM (
   GROUP BY ALL)
 JOIN (VALUES {_CURVE}) c(category, elasticity, seas_amp, seas_peak) USING (category)""",
     "discounted_price": """SELECT transaction_id, sku, unit_price, discount_float,
-CASE WHEN discount_float > 0 THEN CAST(round(CAST(unit_price * (1 - discount_float) AS DECIMAL(38,16)), 2) AS DOUBLE)
+CASE WHEN discount_float > 0 THEN CAST(round(CAST(CAST(unit_price * (1 - discount_float) AS VARCHAR) AS DECIMAL(38,16)), 2) AS DOUBLE)
 ELSE unit_price END AS sale_price
 FROM sales_discounted""",
     "history_features": "SELECT * FROM history",

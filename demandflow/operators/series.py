@@ -96,9 +96,9 @@ def latest_per_series(features: DataFrame) -> DataFrame:
 
 
 def forecast_weeks(weekly: DataFrame, horizon: int = HORIZON_WEEKS) -> DataFrame:
-    """The Mondays after the last week with sales."""
+    """The Mondays after the last week with sales; none when there are no sales."""
     step = F.explode(F.sequence(F.lit(1), F.lit(horizon)))
-    return data_end(weekly).select("data_end", step.alias("i")).select(
+    return data_end(weekly).where("data_end IS NOT NULL").select("data_end", step.alias("i")).select(
         F.expr("date_add(data_end, 7 * i)").alias("week")
     )
 

@@ -31,6 +31,6 @@ def rows():
 
     def collect(df, *columns):
         df = df.select(*columns) if columns else df
-        return sorted((tuple(r) for r in df.collect()), key=repr)
+        return sorted((tuple(r) for r in df.collect()), key=lambda row: [(v is not None, v) for v in row])
 
     return collect
