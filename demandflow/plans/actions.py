@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampType
 
 from demandflow.functions.measures import action_risk_type, at_risk
-from demandflow.operators.dimensions import with_names
+from demandflow.operators.dimensions import BROADCAST_MAX_ROWS, with_names
 from demandflow.operators.latest import latest_per_key, upsert
 from demandflow.operators.ranking import top_k
 from demandflow.operators.selection import earliest_week
@@ -65,14 +65,18 @@ def upsert_status(current: DataFrame | None, updates: DataFrame, order: list[str
 def action_queue(actions: DataFrame, status: DataFrame, k: int = QUEUE_SIZE) -> DataFrame:
     """The next week's actions with their status: stockouts first, then by size of the gap.
 
-    The top ``k`` is taken before the status is looked up, so only ``k`` rows are joined; the
-    status table has one row per action, so the join cannot change the order or the number.
+    The top ``k`` is taken before the status is looked up, and the status table is cut down to
+    those actions by a broadcast of their keys, so it is read once and never shuffled. It has one
+    row per action, so the join cannot change the order or the number.
     """
     ranking = [
         F.desc(F.col("risk_type") == "Stockout"), F.desc(F.abs("demand_delta")), F.asc("sku"), F.asc("store_id")
     ]
     top = top_k(earliest_week(actions), k, *ranking)
-    current = status.select("sku", "store_id", "week", "status", "note", "updated_by", "updated_at")
+    wanted = top.select(*KEYS["actions"])
+    current = status.select(*KEYS["actions"], "status", "note", "updated_by", "updated_at").join(
+        F.broadcast(wanted) if k <= BROADCAST_MAX_ROWS else wanted, KEYS["actions"], "left_semi"
+    )
     return (
         top.join(current, KEYS["actions"], "left")
         .withColumn("status", F.coalesce("status", F.lit(DEFAULT_STATUS)))

@@ -2,8 +2,8 @@
 
 Open Spark cannot MERGE into parquet, and rewriting the whole table for every batch would cost
 the table, not the batch. So a batch only adds a folder with its own newest rows, and reading
-takes the newest row per key over all folders. ``compact`` folds the folders into one from time
-to time. Spark's ``_SUCCESS`` marker says which folders are whole; a batch that is replayed after
+takes the newest row per key over all folders. ``compact`` folds the folders into one, once the
+changes have grown to a fair share of the base. Spark's ``_SUCCESS`` marker says which folders are whole; a batch that is replayed after
 a failure overwrites its own folder, so applying it twice changes nothing.
 """
 
@@ -12,13 +12,15 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from demandflow.operators.latest import latest_per_key
 
-# Sequence column for tables where the batch that came last wins.
-ARRIVAL = "_batch_id"
+# Number of the batch a row came with. As a sequence column it makes the last batch win.
+ARRIVAL = "batch"
+
+COMPACT_SHARE = 0.5
+COMPACT_MIN_BYTES = 256 * 1024 * 1024
 
 
 class KeyedTable:
@@ -34,7 +36,7 @@ class KeyedTable:
             return
         within = [c for c in self.sequence_by if c != ARRIVAL]
         newest = latest_per_key(changes.select(*self.schema.names), self.keys, within)
-        newest.write.mode("overwrite").parquet(f"{self.path}/changes/{batch_id}")
+        newest.write.mode("overwrite").parquet(self._folder("changes", batch_id))
 
     def read(self) -> DataFrame:
         """The table as of the last whole batch.
@@ -45,15 +47,16 @@ class KeyedTable:
         """
         base, newer = self._folders()
         if not newer:
-            rows = self.spark.createDataFrame([], self.schema) if base is None else self._part("base", base)
+            rows = self.spark.createDataFrame([], self.schema) if base is None else self._rows("base", [base])
             return rows.select(*self.schema.names)
-        changes = reduce(DataFrame.unionByName, [self._part("changes", batch) for batch in newer])
+        changes = self._rows("changes", newer)
         if base is None:
             rows = changes if len(newer) == 1 else latest_per_key(changes, self.keys, self.sequence_by)
             return rows.select(*self.schema.names)
-        old, changed = self._part("base", base), changes.select(*self.keys).distinct()
-        contested = old.join(changed, self.keys, "left_semi").unionByName(changes)
-        rows = old.join(changed, self.keys, "left_anti").unionByName(
+        old, changed = self._rows("base", [base]), changes.select(*self.keys).distinct()
+        same_key = reduce(lambda a, b: a & b, [old[k].eqNullSafe(changed[k]) for k in self.keys])
+        contested = old.join(changed, same_key, "left_semi").unionByName(changes)
+        rows = old.join(changed, same_key, "left_anti").unionByName(
             latest_per_key(contested, self.keys, self.sequence_by)
         )
         return rows.select(*self.schema.names)
@@ -62,7 +65,17 @@ class KeyedTable:
         """Fold everything so far into one base folder. Readers keep the old folders meanwhile."""
         _, newer = self._folders()
         if newer:
-            self.read().write.mode("overwrite").parquet(f"{self.path}/base/{newer[-1]}")
+            self.read().write.mode("overwrite").parquet(self._folder("base", newer[-1]))
+
+    def compact_if_due(self, share: float = COMPACT_SHARE, min_bytes: int = COMPACT_MIN_BYTES) -> bool:
+        """Compact once the changes weigh ``share`` of the base, so that over time the table is
+        rewritten at the cost of a few times its changes, not once per batch."""
+        base, newer = self._folders()
+        base_bytes = self._bytes("base", [base]) if base is not None else 0
+        due = bool(newer) and self._bytes("changes", newer) >= max(share * base_bytes, min_bytes)
+        if due:
+            self.compact()
+        return due
 
     def vacuum(self) -> None:
         """Delete the folders the current base replaces. Run it when no reader is on them."""
@@ -72,7 +85,7 @@ class KeyedTable:
         for kind, limit in (("changes", base), ("base", base - 1)):
             for batch in self._whole(kind):
                 if batch <= limit:
-                    folder = self._hadoop_path(f"{self.path}/{kind}/{batch}")
+                    folder = self._hadoop_path(self._folder(kind, batch))
                     self._file_system(folder).delete(folder, True)
 
     def _folders(self) -> tuple[int | None, list[int]]:
@@ -80,15 +93,25 @@ class KeyedTable:
         base = bases[-1] if bases else None
         return base, [b for b in self._whole("changes") if base is None or b > base]
 
-    def _part(self, kind: str, batch: int) -> DataFrame:
-        rows = self.spark.read.schema(self.schema).parquet(f"{self.path}/{kind}/{batch}")
-        return rows.withColumn(ARRIVAL, F.lit(batch).cast("long")) if ARRIVAL in self.sequence_by else rows
+    def _rows(self, kind: str, batches: list[int]) -> DataFrame:
+        """Rows of some folders as one scan, with the batch number where it decides."""
+        schema = StructType([*self.schema.fields, StructField(ARRIVAL, LongType())])
+        folders = [self._folder(kind, batch) for batch in batches]
+        rows = self.spark.read.schema(schema).option("basePath", f"{self.path}/{kind}").parquet(*folders)
+        return rows if ARRIVAL in self.sequence_by else rows.drop(ARRIVAL)
+
+    def _folder(self, kind: str, batch: int) -> str:
+        return f"{self.path}/{kind}/{ARRIVAL}={batch}"
+
+    def _bytes(self, kind: str, batches: list[int]) -> int:
+        paths = [self._hadoop_path(self._folder(kind, batch)) for batch in batches]
+        return sum(self._file_system(path).getContentSummary(path).getLength() for path in paths)
 
     def _whole(self, kind: str) -> list[int]:
         """Batch ids of the finished folders, oldest first (a listing of folder names only)."""
-        pattern = self._hadoop_path(f"{self.path}/{kind}/*/_SUCCESS")
+        pattern = self._hadoop_path(f"{self.path}/{kind}/{ARRIVAL}=*/_SUCCESS")
         found = self._file_system(pattern).globStatus(pattern) or []
-        return sorted(int(status.getPath().getParent().getName()) for status in found)
+        return sorted(int(status.getPath().getParent().getName().split("=")[1]) for status in found)
 
     def _hadoop_path(self, path: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(path)

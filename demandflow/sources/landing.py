@@ -33,12 +33,12 @@ def stream_csv(
     return _stream(spark, schema, glob, max_files).option("header", header).csv(folder)
 
 
-def stream_table(spark: SparkSession, path: str) -> DataFrame:
+def stream_table(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Stream of the rows appended to a parquet table written by an earlier stream.
 
     The table's own schema is used, so the reader needs no copy of it.
     """
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    return _stream(spark, spark.read.parquet(path).schema, None, max_files).parquet(path)
 
 
 def with_ingest_metadata(df: DataFrame, source_system: str) -> DataFrame:

@@ -13,25 +13,32 @@ from pyspark.sql.streaming import StreamingQuery
 
 from demandflow.operators.conform import CONFORM
 from demandflow.operators.quality import RULES, expect_or_drop
-from demandflow.plans.actions import STATUS_SCHEMA, status_rows
+from demandflow.plans.actions import status_rows
 from demandflow.schemas import KEYS, LANDING_SCHEMAS, SOURCE_SYSTEMS
 from demandflow.sinks.keyed import KeyedTable
 from demandflow.sinks.tables import append_stream
 from demandflow.sources.landing import stream_csv, stream_parquet, stream_table, with_ingest_metadata
 
-COMPACT_EVERY = 20
 
-
-def landing_stream(spark: SparkSession, feed: str, folder: str, glob: str | None = None) -> DataFrame:
+def landing_stream(
+    spark: SparkSession, feed: str, folder: str, glob: str | None = None, max_files: int | None = None
+) -> DataFrame:
     read = stream_csv if feed == "promotions" else stream_parquet
-    return with_ingest_metadata(read(spark, folder, LANDING_SCHEMAS[feed], glob=glob), SOURCE_SYSTEMS[feed])
+    files = read(spark, folder, LANDING_SCHEMAS[feed], glob=glob, max_files=max_files)
+    return with_ingest_metadata(files, SOURCE_SYSTEMS[feed])
 
 
 def run_bronze(
-    spark: SparkSession, feed: str, folder: str, path: str, checkpoint: str, glob: str | None = None
+    spark: SparkSession, feed: str, folder: str, path: str, checkpoint: str,
+    glob: str | None = None, max_files: int | None = None,
 ) -> StreamingQuery:
-    """New landing files appended to the bronze table."""
-    query = append_stream(landing_stream(spark, feed, folder, glob), path, checkpoint, f"bronze_{feed}")
+    """New landing files appended to the bronze table.
+
+    ``max_files`` bounds the files of one micro-batch. Set it for a backfill: a failure then
+    repeats one micro-batch, not the whole load.
+    """
+    stream = landing_stream(spark, feed, folder, glob, max_files)
+    query = append_stream(stream, path, checkpoint, f"bronze_{feed}")
     query.awaitTermination()
     return query
 
@@ -47,8 +54,7 @@ def scd1_upsert(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         table.apply(prepare(batch) if prepare else batch, batch_id)
-        if batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
-            table.compact()
+        table.compact_if_due()
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     if name:
@@ -61,11 +67,13 @@ def silver_table(spark: SparkSession, feed: str, bronze: str, path: str) -> Keye
     return KeyedTable(spark, path, schema, KEYS[feed], ["_updated_at"])
 
 
-def run_silver(spark: SparkSession, feed: str, bronze: str, path: str, checkpoint: str) -> KeyedTable:
+def run_silver(
+    spark: SparkSession, feed: str, bronze: str, path: str, checkpoint: str, max_files: int | None = None
+) -> KeyedTable:
     """New bronze rows typed, checked and upserted. Rules come first, so a bad update never
     replaces a good row; failures per rule are observed under ``quality_<feed>``."""
     table = silver_table(spark, feed, bronze, path)
-    typed = CONFORM[feed](stream_table(spark, bronze))
+    typed = CONFORM[feed](stream_table(spark, bronze, max_files))
     kept = expect_or_drop(typed, RULES[feed], observe_as=f"quality_{feed}")
     scd1_upsert(kept, table, checkpoint, name=f"silver_{feed}").awaitTermination()
     return table

@@ -60,7 +60,7 @@ def test_unfinished_batch_is_not_seen_and_is_overwritten(spark, rows, tmp_path):
     table = KeyedTable(spark, str(tmp_path / "t"), schema, ["k"], ["seq"])
     table.apply(spark.createDataFrame([("a", 1)], schema), 0)
     table.apply(spark.createDataFrame([("a", 9), ("b", 9)], schema), 1)
-    (tmp_path / "t" / "changes" / "1" / "_SUCCESS").unlink()
+    (tmp_path / "t" / "changes" / "batch=1" / "_SUCCESS").unlink()
     assert rows(table.read()) == [("a", 1)]
     table.apply(spark.createDataFrame([("a", 2)], schema), 1)
     assert rows(table.read()) == [("a", 2)]
@@ -87,3 +87,28 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     assert out.count() == 20_001
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("partial_max") >= 1
+
+
+def test_a_missing_key_is_one_key(spark, rows, tmp_path):
+    schema = spark.createDataFrame([], "k string, j int, seq int").schema
+    table = KeyedTable(spark, str(tmp_path / "t"), schema, ["k", "j"], ["seq"])
+    for seq in (1, 2):
+        table.apply(spark.createDataFrame([(None, 1, seq), ("a", None, seq)], schema), seq)
+        table.compact() if seq == 1 else None
+    assert rows(table.read()) == [(None, 1, 2), ("a", None, 2)]
+
+
+def test_compaction_waits_for_enough_changes(spark, rows, tmp_path):
+    schema = spark.createDataFrame([], "k int, seq int").schema
+    table = KeyedTable(spark, str(tmp_path / "t"), schema, ["k"], ["seq"])
+    assert not table.compact_if_due(min_bytes=1)  # nothing there yet
+    table.apply(spark.range(50_000).selectExpr("int(id) k", "0 seq"), 0)
+    assert not table.compact_if_due() and table.compact_if_due(min_bytes=1)
+    table.apply(spark.range(10).selectExpr("int(id) k", "1 seq"), 1)
+    assert not table.compact_if_due(min_bytes=1)  # few changes on a large base
+    assert table._folders() == (0, [1]) and table.read().where("seq = 1").count() == 10
+    plan = table.read()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2  # the base is matched with the changed keys in place
+    table.apply(spark.range(50_000).selectExpr("int(id) k", "2 seq"), 2)
+    assert table.compact_if_due(min_bytes=1) and table._folders() == (2, [])
+    assert table.read().where("seq = 2").count() == 50_000
