@@ -405,6 +405,8 @@ WHERE ({_RISK}) AND week = DATE '{q.DASHBOARD_WEEK}'""",
     "explorer_options": f"""SELECT DISTINCT store_name, region, sku, product_name, category
 FROM forecast JOIN stores USING (store_id) JOIN products USING (sku) WHERE {_RISK}""",
     "forecast_explorer": "SELECT * FROM explorer",
+    "explorer_chart": """SELECT strftime(week, '%Y-%m-%d') AS week, actual_demand, predicted_demand, avg_demand_last_12w,
+is_stockout_risk, is_overstock_risk FROM explorer""",
     "explorer_headline": """SELECT strftime(week, '%Y-%m-%d') AS forecast_week, predicted_demand, avg_demand_last_12w,
 is_stockout_risk, is_overstock_risk FROM explorer WHERE predicted_demand IS NOT NULL ORDER BY week LIMIT 1""",
     "top_stores_stockout": """SELECT store_id, store_name, stockout_risk_skus FROM (

@@ -538,6 +538,11 @@ def explorer_headline(r: Retail) -> DataFrame:
     return reports.explorer_headline(forecast_explorer(r))
 
 
+@query
+def explorer_chart(r: Retail) -> DataFrame:
+    return reports.explorer_chart(forecast_explorer(r))
+
+
 @query
 def top_stores_stockout(r: Retail) -> DataFrame:
     return reports.top_stores_stockout(r.forecast, r.stores)

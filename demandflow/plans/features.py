@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandflow.operators.dimensions import with_region_and_category
@@ -11,7 +11,8 @@ from demandflow.operators.promotions import attach_best_discounts
 from demandflow.operators.series import (
     HORIZON_WEEKS, MIN_HISTORY_WEEKS, data_end, valid_series,
 )
-from demandflow.schemas import FEATURE_COLUMNS, KEYS, SERIES
+from demandflow.schemas import FEATURE_COLUMNS, FEATURE_SCHEMA, KEYS, SERIES
+from demandflow.sinks.keyed import ARRIVAL, KeyedTable
 
 
 def add_promo_features(df: DataFrame, promos: DataFrame) -> DataFrame:
@@ -101,6 +102,12 @@ def upsert_features(target: DataFrame | None, features: DataFrame) -> DataFrame:
     return features if target is None else upsert(target, features, KEYS["features"])
 
 
+def feature_table(spark: SparkSession, path: str) -> KeyedTable:
+    """The feature table on disk. Each run is merged with ``apply`` at the cost of the run; the
+    last run wins per key and no row is deleted."""
+    return KeyedTable(spark, path, FEATURE_SCHEMA, KEYS["features"], [ARRIVAL])
+
+
 def labels(weekly: DataFrame, pairs: DataFrame) -> DataFrame:
     """Weekly demand of the valid series."""
     return weekly.join(pairs, SERIES, "left_semi").select(*SERIES, "week", "total_quantity")

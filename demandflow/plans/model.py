@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel, Pipeline
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GeneralizedLinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandflow.plans.forecast import mae
@@ -27,8 +27,11 @@ FROM __THIS__
 _INPUTS = ["log_4wk", "log_12wk", "promoted", "discount_pct_feat", "season_sin", "season_cos"]
 
 
+MODEL_PREFIX = "glm_poisson_v"
+
+
 def model_name(version: int) -> str:
-    return f"glm_poisson_v{version}"
+    return f"{MODEL_PREFIX}{version}"
 
 
 def fit_demand_model(training: DataFrame, max_iter: int = 25) -> PipelineModel:
@@ -82,5 +85,12 @@ def save_model(model: PipelineModel, folder: str, version: int) -> None:
     model.write().overwrite().save(f"{folder}/{model_name(version)}")
 
 
+def latest_version(spark: SparkSession, folder: str) -> int:
+    """Highest version saved in a folder, 0 when there is none."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{MODEL_PREFIX}*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    return max((int(f.getPath().getName().removeprefix(MODEL_PREFIX)) for f in found), default=0)
+
+
 def load_model(folder: str, version: int) -> PipelineModel:
     return PipelineModel.load(f"{folder}/{model_name(version)}")

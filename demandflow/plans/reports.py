@@ -157,6 +157,14 @@ def explorer_headline(explorer: DataFrame) -> DataFrame:
     )
 
 
+def explorer_chart(explorer: DataFrame) -> DataFrame:
+    """An explorer result as chart points: the week as text, missing numbers left missing."""
+    return explorer.select(
+        F.date_format("week", "yyyy-MM-dd").alias("week"),
+        "actual_demand", "predicted_demand", "avg_demand_last_12w", "is_stockout_risk", "is_overstock_risk",
+    ).orderBy("week")
+
+
 def top_stores_stockout(forecast: DataFrame, stores: DataFrame, k: int = 5) -> DataFrame:
     """Stores with the most stockout-risk rows over all weeks; ties with the k-th stay."""
     counts = (

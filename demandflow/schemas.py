@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DateType, DoubleType, IntegerType, StringType, StructField, StructType
 
 
 def _all_strings(*names: str) -> StructType:
@@ -53,6 +53,18 @@ FEATURE_INPUTS = [
 FEATURE_COLUMNS = [*SERIES, "week", *FEATURE_INPUTS]
 
 
+FEATURE_SCHEMA = StructType([
+    StructField("sku", StringType()),
+    StructField("store_id", StringType()),
+    StructField("week", DateType()),
+    StructField("week_of_year", IntegerType()),
+    StructField("is_promoted", IntegerType()),
+    StructField("discount_pct_feat", DoubleType()),
+    StructField("rolling_4wk_avg", DoubleType()),
+    StructField("avg_demand_last_12w", DoubleType()),
+])
+
+
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Key values that occur more than once (partial counts first, so a hot key is cheap)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")

@@ -69,14 +69,28 @@ def silver_table(spark: SparkSession, feed: str, bronze: str, path: str) -> Keye
 
 def run_silver(
     spark: SparkSession, feed: str, bronze: str, path: str, checkpoint: str, max_files: int | None = None
-) -> KeyedTable:
-    """New bronze rows typed, checked and upserted. Rules come first, so a bad update never
-    replaces a good row; failures per rule are observed under ``quality_<feed>``."""
+) -> tuple[KeyedTable, StreamingQuery]:
+    """New bronze rows typed, checked and upserted; the table and the finished query.
+
+    Rules come first, so a bad update never replaces a good row. ``rule_failures`` tells how many
+    rows each rule dropped.
+    """
     table = silver_table(spark, feed, bronze, path)
     typed = CONFORM[feed](stream_table(spark, bronze, max_files))
     kept = expect_or_drop(typed, RULES[feed], observe_as=f"quality_{feed}")
-    scd1_upsert(kept, table, checkpoint, name=f"silver_{feed}").awaitTermination()
-    return table
+    query = scd1_upsert(kept, table, checkpoint, name=f"silver_{feed}")
+    query.awaitTermination()
+    return table, query
+
+
+def rule_failures(query: StreamingQuery, feed: str) -> dict[str, int]:
+    """Rows seen and rows failed per rule, over the micro-batches the query still remembers."""
+    total: dict[str, int] = {}
+    for progress in query.recentProgress:
+        seen = progress.observedMetrics.get(f"quality_{feed}")
+        for name, count in (seen.asDict() if seen else {}).items():
+            total[name] = total.get(name, 0) + count
+    return total
 
 
 def run_status(updates: DataFrame, path: str, checkpoint: str, order: list[str]) -> KeyedTable:

@@ -132,6 +132,17 @@ def test_merge_keeps_rows_of_earlier_runs(world, spark):
     assert features.upsert_features(None, first) is first
 
 
+def test_runs_are_merged_on_disk(world, spark, tmp_path):
+    table = features.feature_table(spark, str(tmp_path / "features"))
+    first = build(world, "all")
+    assert [(f.name, f.dataType) for f in first.schema] == [(f.name, f.dataType) for f in table.schema]
+    table.apply(first, 1)
+    table.apply(first.where("week > '2024-03-01'").withColumn("rolling_4wk_avg", F.lit(-1.0)), 2)
+    later = features.upsert_features(first, first.where("week > '2024-03-01'").withColumn("rolling_4wk_avg", F.lit(-1.0)))
+    assert collect(table.read()) == collect(later)
+    assert_unique(table.read(), KEYS["features"])
+
+
 def test_holdout_split_and_training_set(world):
     labels = features.labels(world["weekly"], series.valid_pairs(world["weekly"]))
     split = forecast.holdout_split(labels)

@@ -109,7 +109,10 @@ def test_model_learns_promotions_and_can_be_saved(spark, training, tmp_path):
     fitted, errors = model.fit_and_evaluate(training, str(tmp_path))
     row = errors.first()
     assert row.beats_naive and row.mae_holdout < 0.2 * row.mae_naive_avg12w
-    model.save_model(fitted, str(tmp_path), 3)
+    assert model.latest_version(spark, str(tmp_path)) == 0
+    for version in (2, 11, 3):
+        model.save_model(fitted, str(tmp_path), version)
+    assert model.latest_version(spark, str(tmp_path)) == 11
     again = model.load_model(str(tmp_path), 3)
     rows = training.where("part = 'test'")
     first, second = (forecast.score(rows, model.glm_predictor(m), model.model_name(3)) for m in (fitted, again))

@@ -9,7 +9,7 @@ from demandflow.schemas import LANDING_SCHEMAS
 from demandflow.sinks.keyed import KeyedTable
 from demandflow.sinks.tables import append_stream, materialize, overwrite_table, snapshot_sync, write_landing
 from demandflow.sources.landing import read_table, stream_csv, stream_parquet, stream_table, with_ingest_metadata
-from demandflow.streaming.flows import run_bronze, run_silver, run_status, scd1_upsert
+from demandflow.streaming.flows import rule_failures, run_bronze, run_silver, run_status, scd1_upsert
 
 import pytest
 
@@ -27,7 +27,8 @@ class Place:
 
     def run(self, spark, glob=None):
         run_bronze(spark, self.feed, self.landing, self.bronze, self.checkpoints[0], glob)
-        return run_silver(spark, self.feed, self.bronze, self.silver, self.checkpoints[1])
+        table, self.query = run_silver(spark, self.feed, self.bronze, self.silver, self.checkpoints[1])
+        return table
 
 
 def test_landing_to_silver_with_redelivery_and_corrections(spark, tmp_path, rows):
@@ -36,6 +37,7 @@ def test_landing_to_silver_with_redelivery_and_corrections(spark, tmp_path, rows
     place.landing += "/*"
     silver = place.run(spark)
     assert rows(silver.read(), "transaction_id", "quantity_sold") == [("t1", 2), ("t3", 1)]
+    assert rule_failures(place.query, "transactions") == {"rows": 3, "valid_quantity": 1, "valid_revenue": 0, "valid_date": 0}
     bronze = read_table(spark, place.bronze)
     assert bronze.count() == 3 and bronze.where("_source_system = 'pos_system' AND _source_file LIKE '%landing%'").count() == 3
 
