@@ -16,10 +16,10 @@ from demandflow.operators.conform import CONFORM, conform_transactions, split_sc
 from demandflow.operators.dimensions import with_region_and_category
 from demandflow.operators.latest import latest_per_key
 from demandflow.operators.promotions import daily_best_discount, explode_promos, promo_phase_counts
-from demandflow.operators.quality import RULES, expect_or_drop, rule_violations
+from demandflow.operators.quality import RULES, rule_violations
 from demandflow.operators.ranking import sample_rows
 from demandflow.operators.selection import (
-    latest_week, multi_filter, next_n_weeks, next_week, option_lists, this_week,
+    multi_filter, next_n_weeks, next_week, option_lists, this_week,
 )
 from demandflow.operators import series
 from demandflow.plans import actions, demand_curve, features, forecast, gold, governance, model
