@@ -45,12 +45,20 @@ _QUERIES: dict[str, Query] = {}
 
 def query(build: Callable[[Retail], DataFrame]) -> Callable[[Retail], DataFrame]:
     """Register a query under the function's name."""
+    return named(build.__name__)(build)
 
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(retail(spark, sf_dir))
 
-    _QUERIES[build.__name__] = run
-    return build
+def named(name: str) -> Callable:
+    """Register a query under a name that is already taken in this module."""
+
+    def register(build: Callable[[Retail], DataFrame]) -> Callable[[Retail], DataFrame]:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return build(retail(spark, sf_dir))
+
+        _QUERIES[name] = run
+        return build
+
+    return register
 
 
 def queries() -> dict[str, Query]:
@@ -161,7 +169,7 @@ def run_summary(r: Retail) -> DataFrame:
 # ---------------------------------------------------------------- typing and rules
 
 
-@query
+@named("conform_transactions")
 def conform_transactions_query(r: Retail) -> DataFrame:
     return conform_transactions(fx.spoil(r.landing["transactions"]))
 
@@ -306,7 +314,7 @@ def promo_features_history(r: Retail) -> DataFrame:
     return features.add_promo_features(rows, features.past_promos(r.promos()))
 
 
-@query
+@named("daily_best_discount")
 def daily_best_discount_query(r: Retail) -> DataFrame:
     sales = with_region_and_category(
         r.fact.select("transaction_id", "sku", "store_id", "date_id"), r.stores, r.products
@@ -315,7 +323,7 @@ def daily_best_discount_query(r: Retail) -> DataFrame:
     return daily_best_discount(sales, running, "date_id")
 
 
-@query
+@named("promo_phase_counts")
 def promo_phase_counts_query(r: Retail) -> DataFrame:
     return promo_phase_counts(r.promotions, F.lit(PROMO_AS_OF))
 
@@ -340,7 +348,7 @@ def demand_multipliers(r: Retail) -> DataFrame:
     return curve.select(*SERIES, "week", "discount_float", *exact)
 
 
-@query
+@named("discounted_price")
 def discounted_price_query(r: Retail) -> DataFrame:
     sales = with_region_and_category(
         r.fact.select("transaction_id", "sku", "store_id", "date_id"), r.stores, r.products
@@ -676,7 +684,3 @@ def action_status_stream(r: Retail) -> DataFrame:
     feed = fx.status_updates(r.given_stream("events"))
     table = run_status(feed, f"{folder}/table", f"{folder}/checkpoint", fx.STATUS_ORDER)
     return table.read().select(*actions.STATUS_SCHEMA.names)
-
-
-for _name in [n for n in _QUERIES if n.endswith("_query")]:
-    _QUERIES[_name.removesuffix("_query")] = _QUERIES.pop(_name)
