@@ -19,8 +19,9 @@ from demandflow.plans import gold
 from demandflow.plans.actions import action_list, upsert_status
 from demandflow.plans.features import build_features
 from demandflow.plans.forecast import score, uplift_predictor
+from demandflow.schemas import LANDING_SCHEMAS
 from demandflow.session import run_folder, use_utc
-from demandflow.sinks.tables import materialize
+from demandflow.sinks.tables import materialize, write_landing
 from demandflow.sources.landing import stream_parquet
 
 # "Today" for the forecast reports: the Monday after the last week with sales.
@@ -152,9 +153,9 @@ def status_updates(events: DataFrame) -> DataFrame:
 class Retail:
     """The inputs and the tables derived from them.
 
-    ``landing``, ``typed`` and the ``*_plan`` methods are lazy plans over the given files. The
+    ``typed`` and the ``*_plan`` methods are lazy plans. The landing files of the sales and the
     gold tables are written once per application to the shared folder, as a nightly job would,
-    and the reports read them from there.
+    and the plans and reports read them from there.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -173,14 +174,20 @@ class Retail:
 
     # landing
 
+    def landing(self, feed: str) -> DataFrame:
+        """Landing rows of a feed. Sales are written as landing files first, all text, the way a
+        store system delivers them; the plans then parse files, not expressions."""
+        if feed == "transactions":
+            return self.landing_sales
+        if feed == "stores":
+            return store_rows(self.given("nation"), self.given("region"))
+        return {"products": product_rows, "promotions": promotion_rows}[feed](self.given("part"))
+
     @cached_property
-    def landing(self) -> dict[str, DataFrame]:
-        return {
-            "products": product_rows(self.given("part")),
-            "stores": store_rows(self.given("nation"), self.given("region")),
-            "promotions": promotion_rows(self.given("part")),
-            "transactions": self.sales_from(self.given("lineitem")),
-        }
+    def landing_sales(self) -> DataFrame:
+        path = f"{self.folder}/landing_transactions"
+        write_landing(self.sales_from(self.given("lineitem")), path)
+        return self.spark.read.schema(LANDING_SCHEMAS["transactions"]).parquet(path)
 
     def sales_from(self, lineitem: DataFrame) -> DataFrame:
         return sale_rows(lineitem, self.given("part"), self.given("supplier"), self.listed)
@@ -198,7 +205,7 @@ class Retail:
         return status_updates(self.given("events"))
 
     def typed(self, feed: str) -> DataFrame:
-        return gold.typed_rows(feed, self.landing[feed])
+        return gold.typed_rows(feed, self.landing(feed))
 
     # gold, lazy
 

@@ -102,7 +102,7 @@ def ingest_stream_parquet(r: Retail) -> DataFrame:
 def ingest_stream_csv(r: Retail) -> DataFrame:
     """Promotions written as CSV with a header, then streamed into bronze."""
     folder = run_folder(r.spark, "bronze")
-    write_landing(r.landing["promotions"], f"{folder}/landing", "csv")
+    write_landing(r.landing("promotions"), f"{folder}/landing", "csv")
     run_bronze(r.spark, "promotions", f"{folder}/landing", f"{folder}/table", f"{folder}/checkpoint", glob="*.csv")
     return read_table(r.spark, f"{folder}/table", *LANDING_SCHEMAS["promotions"].names, "_source_system")
 
@@ -171,56 +171,56 @@ def run_summary(r: Retail) -> DataFrame:
 
 @named("conform_transactions")
 def conform_transactions_query(r: Retail) -> DataFrame:
-    return conform_transactions(fx.spoil(r.landing["transactions"]))
+    return conform_transactions(fx.spoil(r.landing("transactions")))
 
 
 @query
 def conform_products(r: Retail) -> DataFrame:
-    return CONFORM["products"](r.landing["products"])
+    return CONFORM["products"](r.landing("products"))
 
 
 @query
 def conform_stores(r: Retail) -> DataFrame:
-    return CONFORM["stores"](r.landing["stores"])
+    return CONFORM["stores"](r.landing("stores"))
 
 
 @query
 def conform_promotions(r: Retail) -> DataFrame:
-    return CONFORM["promotions"](r.landing["promotions"])
+    return CONFORM["promotions"](r.landing("promotions"))
 
 
 @query
 def split_promo_target(r: Retail) -> DataFrame:
-    return split_target(r.landing["promotions"]).select(
+    return split_target(r.landing("promotions")).select(
         "promo_id", "sku_or_category", "target_sku", "target_category"
     )
 
 
 @query
 def split_promo_scope(r: Retail) -> DataFrame:
-    return split_scope(r.landing["promotions"]).select(
+    return split_scope(r.landing("promotions")).select(
         "promo_id", "store_id_or_region", "target_store_id", "target_region"
     )
 
 
 @query
 def quality_kept_transactions(r: Retail) -> DataFrame:
-    return gold.typed_rows("transactions", fx.spoil(r.landing["transactions"]))
+    return gold.typed_rows("transactions", fx.spoil(r.landing("transactions")))
 
 
 @query
 def quality_kept_products(r: Retail) -> DataFrame:
-    return gold.typed_rows("products", r.landing["products"])
+    return gold.typed_rows("products", r.landing("products"))
 
 
 @query
 def quality_kept_promotions(r: Retail) -> DataFrame:
-    return gold.typed_rows("promotions", r.landing["promotions"])
+    return gold.typed_rows("promotions", r.landing("promotions"))
 
 
 @query
 def quality_violations(r: Retail) -> DataFrame:
-    return rule_violations(conform_transactions(fx.spoil(r.landing["transactions"])), RULES["transactions"])
+    return rule_violations(conform_transactions(fx.spoil(r.landing("transactions"))), RULES["transactions"])
 
 
 @query
@@ -578,8 +578,8 @@ def fact_sample(r: Retail) -> DataFrame:
 
 @query
 def layer_counts(r: Retail) -> DataFrame:
-    tables = {("bronze", f"bronze_{feed}"): df for feed, df in r.landing.items()}
-    tables |= {("silver", f"silver_{feed}"): r.typed(feed) for feed in r.landing}
+    tables = {("bronze", f"bronze_{feed}"): r.landing(feed) for feed in LANDING_SCHEMAS}
+    tables |= {("silver", f"silver_{feed}"): r.typed(feed) for feed in LANDING_SCHEMAS}
     tables |= {
         ("gold", "dim_product"): r.products, ("gold", "dim_store"): r.stores,
         ("gold", "fact_transactions"): r.fact, ("gold", "fact_promotions"): r.promos(),
