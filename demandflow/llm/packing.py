@@ -21,7 +21,7 @@ from demandflow.llm.common import stored
 CAPACITY = 2048
 END_ID = 1
 PIECE = 512
-GROUP = 1024
+GROUP = 512
 PIECES = "id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, deal bigint"
 
 # Fixed values of the vocabulary's own splitting rule, below U+0250: letters, numbers, white space.
@@ -29,7 +29,7 @@ LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 NUMBERS = "0-9²³¹¼-¾"
 SPACES = "\t-\r \u0085 "
 SIMPLE = re.compile(
-    rf"'(?:s|t|re|ve|m|ll|d)| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{SPACES}{LETTERS}{NUMBERS}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+"
+    rf" ?[{LETTERS}]+|'(?:s|t|re|ve|m|ll|d)| ?[{NUMBERS}]+| ?[^{SPACES}{LETTERS}{NUMBERS}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+"
 )
 PLAIN = re.compile("[\x00-ɏ‐-‧‰-⁞€]*")
 SPECIAL = "<|endoftext|>"
@@ -49,7 +49,7 @@ class TokenBytes:
     does not cover are encoded whole, and those with a special token's string by ``tokenizers``.
     """
 
-    MOST = 400_000
+    MOST = 300_000
     LONGEST = 40
 
     def __init__(self, json_path: str, ranks_path: str):
@@ -59,7 +59,7 @@ class TokenBytes:
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.ranks = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.json_path, self.whole, self.kept = json_path, None, {}
+        self.json_path, self.whole, self.kept, self.older = json_path, None, {}, {}
 
     def __call__(self, text: str) -> bytes:
         if SPECIAL in text:
@@ -68,13 +68,13 @@ class TokenBytes:
             return self.ranks.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
         words = SIMPLE.findall(text)
         if len(self.kept) > self.MOST:
-            self.kept = {}
-        kept, encode = self.kept, self.ranks._core_bpe.encode_single_piece
+            self.older, self.kept = self.kept, {}
+        kept, older, encode = self.kept, self.older, self.ranks._core_bpe.encode_single_piece
         out = list(map(kept.get, words))
         if None in out:
             for k, ids in enumerate(out):
                 if ids is None:
-                    out[k] = ids = array("I", encode(words[k].encode())).tobytes()
+                    out[k] = ids = older.get(words[k]) or array("I", encode(words[k].encode())).tobytes()
                     if len(words[k]) <= self.LONGEST:
                         kept[words[k]] = ids
         return b"".join(out)
