@@ -7,13 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandflow.llm import line_dedup, packing
+from demandflow.llm import line_dedup, ngram_join, packing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three-word shingles, Jaccard similarity of 0.9 or more."""
+    joined = ngram_join.ngram_join(_table(spark, sf_dir, "documents"), width=3, percent=90)
+    return joined.withColumnRenamed("id", "doc_id")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -27,6 +33,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_join": op1_ngram_join,
     "op6_packing": op6_packing,
     "op7_line_dedup": op7_line_dedup,
 }
