@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandflow.llm import line_dedup, ngram_join, packing
+from demandflow.llm import line_dedup, ngram_join, packing, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,13 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.withColumnRenamed("id", "doc_id")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix_dedup.suffix_dedup(_table(spark, sf_dir, "documents"))
+    return done.select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
+    )
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -34,6 +41,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op6_packing": op6_packing,
     "op7_line_dedup": op7_line_dedup,
 }
