@@ -2,8 +2,9 @@
 
 A unit vector is rotated and cut into ``BLOCKS`` parts; each part has a codebook of random
 directions, and every choice of one direction per part is a filter. A vector belongs to all filters
-whose direction it exceeds by the cap's height. List decoding finds them without trying all: sums of
-the first two parts and of the last two are sorted, and only pairs above the height are opened.
+whose direction it exceeds by the cap's height, which is set for each vector so that it exceeds
+``PER_VECTOR`` of them. List decoding finds them without trying all: only the best sums of the first
+two parts and of the last two are combined.
 Close vectors share most of their filters; pairs that share one are compared exactly.
 
 The codebooks grow with the number of vectors (filters are a fixed multiple of it), so buckets do
@@ -26,8 +27,8 @@ from demandflow.llm.common import connected_components, stored
 
 BLOCKS = 4
 BLOCK = 1024
-PER_VECTOR = 48
-FILTERS_PER_VECTOR = 16
+PER_VECTOR = 24
+FILTERS_PER_VECTOR = 8
 
 
 class CapFilters:
@@ -41,12 +42,7 @@ class CapFilters:
         for a, b in self.parts:
             code = draw.standard_normal((b - a, self.books))
             self.codes.append(code / np.maximum(np.linalg.norm(code, axis=0), 1e-300))
-        # the height at which a random direction exceeds ``per_vector`` filters on average
-        probes = draw.standard_normal((64, dim))
-        low, high = self._halves(probes / np.linalg.norm(probes, axis=1, keepdims=True))
-        sums = np.concatenate([(x[:, None] + y[None, :]).ravel() for x, y in zip(low[:16], high[:16])])
-        rank = min(len(sums) - 1, per_vector * 16)
-        self.height = float(-np.partition(-sums, rank)[rank])
+        self.per_vector = min(per_vector, self.books**BLOCKS)
 
     def _halves(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         turned = unit @ self.rotation
@@ -57,19 +53,20 @@ class CapFilters:
         """Sorted filter numbers of each row."""
         out, wide = [], self.books**2
         for start in range(0, len(unit), 512):
-            low, high = self._halves(unit[start : start + 512])
-            for x, y in zip(low, high):
-                order = np.argsort(-y)
-                counts = np.searchsorted(-y[order], x - self.height, side="right")
-                rows = np.flatnonzero(counts)
-                if not len(rows):  # no filter exceeded: the nearest one
-                    out.append(np.array([int(x.argmax()) * wide + int(y.argmax())]))
-                    continue
-                n = counts[rows]
-                at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                out.append(np.sort(np.repeat(rows, n) * wide + order[at]))
+            # the best k sums of two lists are among the best k of each
+            (low, i), (high, j) = (self._best(half) for half in self._halves(unit[start : start + 512]))
+            sums = (low[:, :, None] + high[:, None, :]).reshape(len(low), -1)
+            best = np.argpartition(-sums, self.per_vector - 1, axis=1)[:, : self.per_vector]
+            rows = np.arange(len(low))[:, None]
+            number = i[rows, best // high.shape[1]] * wide + j[rows, best % high.shape[1]]
+            out.extend(np.sort(number.astype(np.int64), axis=1))
         return out
 
+    def _best(self, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        k = min(self.per_vector, sums.shape[1])
+        at = np.argpartition(-sums, k - 1, axis=1)[:, :k]
+        return np.take_along_axis(sums, at, axis=1), at
+
 
 def _decode_pass(caps: CapFilters) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

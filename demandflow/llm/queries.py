@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandflow.llm import embedding_dedup, line_dedup, ngram_join, packing, suffix_dedup
+from demandflow.llm import embedding_dedup, fingerprint, line_dedup, ngram_join, packing, pii, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,11 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.embedding_dedup(_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(_table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), *pii.digest())
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -43,12 +48,18 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_embedding_dedup": op4_embedding_dedup,
+    "op5_pii": op5_pii,
     "op6_packing": op6_packing,
     "op7_line_dedup": op7_line_dedup,
+    "op8_fingerprint": op8_fingerprint,
 }
 
 
