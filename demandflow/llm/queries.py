@@ -4,22 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandflow.llm import embedding_dedup, fingerprint, line_dedup, ngram_join, packing, pii, suffix_dedup
+from demandflow.llm import (
+    embedding_dedup, fingerprint, language, line_dedup, ngram_join, packing, pii, suffix_dedup, toxicity,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _held_out(parts: int, part: int) -> Column:
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts == part, F.lit(False))
+
+
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three-word shingles, Jaccard similarity of 0.9 or more."""
     joined = ngram_join.ngram_join(_table(spark, sf_dir, "documents"), width=3, percent=90)
     return joined.withColumnRenamed("id", "doc_id")
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = _held_out(3, 1)
+    model = language.fit(docs, ~held_out)
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "language.lang_pred", "language.score")
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = suffix_dedup.suffix_dedup(_table(spark, sf_dir, "documents"))
     return done.select(
@@ -52,14 +66,25 @@ def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
+    held_out = _held_out(5, 0)
+    scored = toxicity.score_toxicity(docs, toxicity.fit(docs, labels, ~held_out)).withColumnRenamed("id", "doc_id")
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_language": op2_language,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_pii": op5_pii,
     "op6_packing": op6_packing,
     "op7_line_dedup": op7_line_dedup,
     "op8_fingerprint": op8_fingerprint,
+    "op10_toxicity": op10_toxicity,
 }
 
 
