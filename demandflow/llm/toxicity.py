@@ -22,13 +22,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from demandflow.llm.common import splitmix
+from demandflow.llm.shingles import shingle_set
+
 WORD = re.compile(r"[^\W_]+")
 PREFIXES = (4, 5, 6)
-SAMPLE = 4000
-FEATURES = 20_000
+SAMPLE = 1500
+FEATURES = 2000
+SUPPORT = 0.01
 STRETCH = 5
 GAPS = 2048
 CACHE = 300_000
+COPY_SEEDS = (1, 2, 3)
+PER_TEXT = 12
 
 
 def features(word: str) -> list[str]:
@@ -56,17 +62,21 @@ class ToxicityModel:
 
         def tag(text: str) -> list[tuple[int, int, float]]:
             """(start, end, chance of tag 1) of the words with features."""
-            found = []
             if len(known) > CACHE:
                 known.clear()
-            count = 0
-            for count, m in enumerate(WORD.finditer(text.lower() if len(text.lower()) == len(text) else text), 1):
-                word = m.group()
-                w = known.get(word)
-                if w is None:
-                    w = known[word] = sum(self.weights.get(f, 0.0) for f in features(word))
-                if w:
-                    found.append((count - 1, m.start(), m.end(), w))
+            low = text.lower()
+            words = WORD.findall(low)
+            held = list(map(known.get, words))
+            if None in held:
+                for k, w in enumerate(held):
+                    if w is None:
+                        held[k] = known[words[k]] = sum(self.weights.get(f, 0.0) for f in features(words[k]))
+            if not any(held):
+                return []
+            # places are those of the text itself, where lower case has as many characters
+            places = WORD.finditer(low if len(low) == len(text) else text)
+            found = [(k, m.start(), m.end(), w) for k, (m, w) in enumerate(zip(places, held)) if w]
+            count = len(words)
             if not found:
                 return []
             return [(a, b, p) for (_, a, b, _), p in zip(found, marginals([f[0] for f in found], [f[3] for f in found], count))]
@@ -101,6 +111,20 @@ class ToxicityModel:
         return float(1.0 / (1.0 + np.exp(-(self.scale * np.log(any_ / (1 - any_)) + self.shift))))
 
 
+def _apart(texts: list[str]) -> list[int]:
+    """One text of each group of copies, exact or near, so that what copies share is counted once."""
+    seen: list[set] = [set() for _ in COPY_SEEDS]
+    out = []
+    for k, text in enumerate(texts):
+        shingles = shingle_set(text.encode(), 3)
+        marks = [int(splitmix(shingles ^ np.uint64(seed)).min()) if len(shingles) else 0 for seed in COPY_SEEDS]
+        if not any(mark in held for mark, held in zip(marks, seen)):
+            out.append(k)
+        for mark, held in zip(marks, seen):
+            held.add(mark)
+    return out
+
+
 def lean_features(texts: list[str], toxic: list[bool], most: int = FEATURES) -> tuple[dict[str, float], set[str]]:
     """(features that lean to toxic texts with their log odds, those met nearly only in toxic ones)."""
     counts = (Counter(), Counter())
@@ -109,18 +133,20 @@ def lean_features(texts: list[str], toxic: list[bool], most: int = FEATURES) ->
     n_toxic, n_clean = max(1, sum(toxic)), max(1, len(toxic) - sum(toxic))
     odds = {
         f: float(np.log((n + 0.5) / n_toxic) - np.log((counts[False][f] + 0.5) / n_clean))
-        for f, n in counts[True].items() if n >= 3
+        for f, n in counts[True].items() if n >= max(5, SUPPORT * n_toxic)
     }
-    lean = sorted((f for f in odds if odds[f] > 1.0), key=lambda f: (-odds[f] * counts[True][f] ** 0.5, f))[:most]
+    lean = sorted((f for f in odds if odds[f] > 2.0), key=lambda f: (-odds[f] * counts[True][f] ** 0.5, f))[:most]
     sure = {f for f in lean if counts[True][f] >= 8 and counts[False][f] * n_toxic * 20 <= counts[True][f] * n_clean}
     return {f: odds[f] for f in lean}, sure
 
 
-def train(texts: list[str], toxic: list[bool], rounds: int = 150, most: int = FEATURES) -> ToxicityModel:
+def train(texts: list[str], toxic: list[bool], rounds: int = 100, most: int = FEATURES) -> ToxicityModel:
     """Weights by gradient ascent (Adam) on the penalised likelihood of tagged stretches."""
     start = np.array([[0.0, -3.0], [0.0, -3.0]])
     if not any(toxic):
         return ToxicityModel({}, -5.0, start, 1.0, -5.0)
+    apart = _apart(texts)
+    texts, toxic = [texts[k] for k in apart], [toxic[k] for k in apart]
     odds, sure = lean_features(texts, toxic, most)
     number = {f: k for k, f in enumerate(odds)}
     rows, tags = _stretches(texts, toxic, number, sure)
@@ -148,7 +174,7 @@ def _stretches(texts: list[str], toxic: list[bool], number: dict, sure: set) ->
         found = [features(w) for w in WORD.findall(text.lower())]
         held = [[number[f] for f in fs if f in number] for fs in found]
         tagged = [int(label and any(f in sure for f in fs)) for fs in found]
-        middles = [k for k, h in enumerate(held) if h][:40] or ([len(held) // 2] if held else [])
+        middles = [k for k, h in enumerate(held) if h][:PER_TEXT] or ([len(held) // 2] if held else [])
         for k in middles:
             lo, hi = k - STRETCH, k + STRETCH + 1
             left, right = max(0, -lo), max(0, hi - len(held))
