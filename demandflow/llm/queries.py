@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandflow.llm import (
-    embedding_dedup, fingerprint, language, line_dedup, ngram_join, packing, pii, suffix_dedup, toxicity,
+    embedding_dedup, fingerprint, language, line_dedup, mixing, ngram_join, packing, pii, suffix_dedup, toxicity,
 )
 
 
@@ -66,6 +66,11 @@ def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs).withColumnRenamed("key", "doc_id")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
     held_out = _held_out(5, 0)
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_packing": op6_packing,
     "op7_line_dedup": op7_line_dedup,
     "op8_fingerprint": op8_fingerprint,
+    "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
 }
 
