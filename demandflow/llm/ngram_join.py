@@ -7,10 +7,12 @@ each of the orders. Equal sets are one node from the start, so copies cost one r
 1. One pass gives every document its node (hash of its set) and counts shingles per batch; the most
    frequent ones, a bounded list, go to the end of every order. The list only steers the orders:
    whatever it holds, no link is lost.
-2. A second pass emits prefix shingles under two random orders. A task sends no more than ``BUCKET``
-   rows of a shingle; buckets up to ``BUCKET`` give pairs, larger ones mark their nodes as hot in
-   that order. A pair needs, in each order, a shared bucket or that both nodes are hot there.
-3. Pairs of nodes that are hot in every order come from a third order, rarest shingle first, by the
+2. A second pass emits prefix shingles under two random orders. A task sends no more than about
+   ``BUCKET`` rows of a shingle; buckets up to ``BUCKET`` give pairs, larger ones count as hot tokens
+   of their nodes. A prefix is made longer by the number of shingles that similar sets must then
+   share (``shared_least``): in each order, the buckets a pair shares plus the hot tokens it may
+   share must reach that number.
+3. Pairs of nodes that could reach it by hot tokens alone come from a third order, rarest shingle first, by the
    counts among hot nodes. Each bucket first links its nodes to one leader; only pairs of different
    components that could still be similar by size and by their number of shared shingles are left.
 4. Candidates are verified on whole texts, and links become components.
@@ -19,6 +21,8 @@ each of the orders. Equal sets are one node from the start, so copies cost one r
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +36,6 @@ from demandflow.llm.shingles import shingle_set
 BUCKET = 64
 FREQUENT = 50_000
 SEEDS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344], np.uint64)
-FULL = (1 << len(SEEDS)) - 1
 FLUSH = 3_000_000
 
 
@@ -40,14 +43,19 @@ def node_of(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
 
 
+def shared_least(n: int) -> int:
+    """Shingles that the prefixes of similar sets must share, for the smaller set's size."""
+    return 1 + n // 25
+
+
 def probe_length(n: int, percent: int) -> int:
-    """Prefix that meets every similar set, larger or smaller."""
-    return n + (-percent * n // 100) + 1
+    """Prefix that meets every similar set, larger or smaller, often enough."""
+    return min(n, n + (-percent * n // 100) + shared_least(n))
 
 
 def index_length(n: int, percent: int) -> int:
     """Prefix that meets the probe prefix of every similar set of the same size or larger."""
-    return n + (-2 * percent * n // (100 + percent)) + 1
+    return min(n, n + (-2 * percent * n // (100 + percent)) + shared_least(n))
 
 
 def _first_pass(width: int, least: int = 4) -> Callable:
@@ -85,7 +93,7 @@ def _frequent(sets: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarra
 
 def _prefix_pass(width: int, percent: int, frequent: np.ndarray) -> Callable:
     """Rows (key, node, meta): key's lowest bit is the order, meta twice the set's size plus whether
-    the shingle is in the index prefix; meta is null where the node is hot in that order."""
+    the shingle is in the index prefix. Hot tokens of a node go as minus their number."""
 
     def flush(parts: list) -> Iterator[pa.RecordBatch]:
         if parts:
@@ -96,11 +104,11 @@ def _prefix_pass(width: int, percent: int, frequent: np.ndarray) -> Callable:
             sizes = np.diff(np.r_[first, len(key)])
             hot = np.repeat(sizes > BUCKET, sizes)
             within = np.arange(len(key)) - np.repeat(first, sizes)
-            # a node that is hot is told once per order; the bucket learns of its size by BUCKET + 1 rows
+            # the bucket learns of its size by BUCKET + 1 rows, which may count twice; more is only safer
             send = ~hot | (within <= BUCKET)
-            yield _batch(key=key[send], node=node[send], meta=pa.array(meta[send]))
-            marks = np.unique(np.stack([node[hot], key[hot] & 1]), axis=1)
-            yield _batch(key=marks[1], node=marks[0], meta=pa.nulls(marks.shape[1], pa.int64()))
+            yield _batch(key=key[send], node=node[send], meta=meta[send])
+            marks, found = np.unique(np.stack([node[hot], key[hot] & 1]), axis=1, return_counts=True)
+            yield _batch(key=marks[1], node=marks[0], meta=-found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -113,7 +121,8 @@ def _prefix_pass(width: int, percent: int, frequent: np.ndarray) -> Callable:
                 if not n or node in seen:
                     continue
                 seen.add(node)
-                late = np.isin(tokens, frequent)
+                at = np.searchsorted(frequent, tokens)
+                late = frequent[np.minimum(at, len(frequent) - 1)] == tokens if len(frequent) else np.zeros(n, bool)
                 p, own = probe_length(n, percent), index_length(n, percent)
                 for k, seed in enumerate(SEEDS):
                     ranks = splitmix(tokens ^ seed)
@@ -131,11 +140,12 @@ def _prefix_pass(width: int, percent: int, frequent: np.ndarray) -> Callable:
 
 
 def _bucket_pass(percent: int) -> Callable:
-    """Rows sorted by key become (a, b, orders): pairs of a small bucket, or hot nodes with b null."""
+    """Rows sorted by key become (a, b, order, found, least): pairs of a small bucket, or nodes of a
+    large one with b null; least is what a pair must share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key_now, bucket, hot = None, {}, False
-        out: list[tuple[int, int | None, int]] = []
+        out: list[tuple] = []
 
         def close() -> None:
             if not hot and len(bucket) > 1:
@@ -145,37 +155,37 @@ def _bucket_pass(percent: int) -> Callable:
                         for m, b, _ in rows[i + 1 :]:
                             if 100 * n < percent * m:
                                 break
-                            out.append((min(a, b), max(a, b), 1 << (key_now & 1)))
+                            out.append((min(a, b), max(a, b), key_now & 1, 1, shared_least(n)))
 
         for batch in batches:
             keys, nodes, metas = (batch.column(k) for k in range(3))
             for key, node, meta in zip(keys.to_pylist(), nodes.to_pylist(), metas.to_pylist()):
-                if meta is None:
-                    out.append((node, None, 1 << (key & 1)))
+                if meta < 0:
+                    out.append((node, None, key & 1, -meta, None))
                     continue
                 if key != key_now:
                     close()
                     key_now, bucket, hot = key, {}, False
                 if hot:
-                    out.append((node, None, 1 << (key & 1)))
+                    out.append((node, None, key & 1, 1, None))
                     continue
                 bucket[node] = meta
                 if len(bucket) > BUCKET:
                     hot = True
-                    out.extend((held, None, 1 << (key & 1)) for held in bucket)
+                    out.extend((held, None, key & 1, 1, None) for held in bucket)
                     bucket = {}
             if len(out) > 50_000:
-                yield _triples(out)
+                yield _found(out)
                 out.clear()
         close()
-        yield _triples(out)
+        yield _found(out)
 
     return run
 
 
-def _triples(rows: list) -> pa.RecordBatch:
-    a, b, orders = zip(*rows) if rows else ((), (), ())
-    return _batch(a=pa.array(a, pa.int64()), b=pa.array(b, pa.int64()), orders=pa.array(orders, pa.int64()))
+def _found(rows: list) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [[]] * 5
+    return _batch(**{k: pa.array(c, pa.int64()) for k, c in zip(("a", "b", "order", "found", "least"), columns)})
 
 
 def _batch(**columns) -> pa.RecordBatch:
@@ -231,18 +241,27 @@ def ngram_join(
     frequent = np.sort(np.array([r.token for r in top], np.int64).view(np.uint64))
 
     keyed = texts.where("id is not null").mapInArrow(_prefix_pass(width, percent, frequent), "key long, node long, meta long")
-    spread = keyed.repartition(F.when(F.col("meta").isNull(), F.col("node")).otherwise(F.col("key")))
-    found = spread.sortWithinPartitions("key").mapInArrow(_bucket_pass(percent), "a long, b long, orders long")
-    found = stored(found.distinct(), "candidates")
-
-    hot = found.where("b is null").groupBy("a").agg(F.bit_or("orders").alias("hot")).withColumnRenamed("a", "node")
-    seen = found.where("b is not null").groupBy("a", "b").agg(F.bit_or("orders").alias("orders"))
-    part = seen.where(F.col("orders") != FULL)
-    for side in ("a", "b"):  # orders in which both are hot count as met
-        part = part.join(hot.select(F.col("node").alias(side), F.col("hot").alias(f"hot_{side}")), side)
-    met = part.where(F.col("orders").bitwiseOR(F.col("hot_a").bitwiseAND(F.col("hot_b"))) == FULL)
-    pairs = stored(seen.where(F.col("orders") == FULL).select("a", "b").union(met.select("a", "b")), "pairs")
-    everywhere = hot.where(F.col("hot") == FULL).select("node")
+    spread = keyed.repartition(F.when(F.col("meta") < 0, F.col("node")).otherwise(F.col("key")))
+    met = spread.sortWithinPartitions("key").mapInArrow(
+        _bucket_pass(percent), "a long, b long, order long, found long, least long"
+    )
+    per_order = [F.sum(F.when(F.col("order") == k, F.col("found")).otherwise(0)) for k in range(len(SEEDS))]
+    met = met.groupBy("a", "b").agg(F.array(*per_order).alias("found"), F.max("least").alias("least"))
+    met = stored(met, "candidates")
+
+    hot = met.where("b is null").select(F.col("a").alias("node"), F.col("found").alias("hot"))
+    pairs = met.where("b is not null")
+    none = F.array(*[F.lit(0).cast("long")] * len(SEEDS))
+    for side in ("a", "b"):
+        pairs = pairs.join(hot.select(F.col("node").alias(side), F.col("hot").alias(f"hot_{side}")), side, "left")
+        pairs = pairs.withColumn(f"hot_{side}", F.coalesce(f"hot_{side}", none))
+    enough = [
+        F.col("found")[k] + F.least(F.col("hot_a")[k], F.col("hot_b")[k]) >= F.col("least") for k in range(len(SEEDS))
+    ]
+    pairs = stored(pairs.where(reduce(and_, enough)).select("a", "b"), "pairs")
+    # the smallest partner asks for the fewest shared shingles
+    fewest = 1 + F.floor(F.floor(F.col("n") * percent / 100) / 25)
+    everywhere = hot.join(nodes, "node").where(reduce(and_, [F.col("hot")[k] >= fewest for k in range(len(SEEDS))])).select("node")
 
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(everywhere).distinct().join(nodes, "node")
     packed = packed_texts(docs, id_col, text_col).join(wanted.select("node", "id"), "id")
