@@ -25,6 +25,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -179,13 +180,14 @@ def _bucket_pass(length: int, gram: int, most_rows: int) -> Callable:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
+        bucket = TaskContext.get().partitionId() << 24
         for frame in frames:
             held.append(frame)
             if sum(map(len, held)) > most_rows:  # memory stays bounded; the cut counts as a boundary
-                yield solve(pd.concat(held, ignore_index=True))
-                held = []
+                yield solve(pd.concat(held, ignore_index=True)).assign(bucket=bucket)
+                held, bucket = [], bucket + 1
         if held and sum(map(len, held)):
-            yield solve(pd.concat(held, ignore_index=True))
+            yield solve(pd.concat(held, ignore_index=True)).assign(bucket=bucket)
 
     def solve(rows: pd.DataFrame) -> pd.DataFrame:
         least, most = shared_offsets(list(rows["before"]), list(rows["after"]), length, gram)
@@ -197,16 +199,28 @@ def _bucket_pass(length: int, gram: int, most_rows: int) -> Callable:
 
 
 def _range_pass(length: int, step: int) -> Callable:
-    """(gram, context, from, hash): hashes of the bytes every string of a range of offsets holds."""
+    """(gram, context, low, high, hash): hashes of the bytes every string of a range of offsets holds.
+
+    A range within what the row's own bucket has found matters to others only, and one row of each
+    task speaks for all that hold the same bytes there.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told: set[tuple[int, int]] = set()
+        names = ("gram", "context", "before", "after", "least", "most", "low", "high")
         for batch in batches:
             out = []
-            rows = zip(*(batch.column(k).to_pylist() for k in ("gram", "context", "before", "after", "low", "high")))
-            for g, c, before, after, low, high in rows:
+            for g, c, before, after, least, most, low, high in zip(*(batch.column(k).to_pylist() for k in names)):
                 for o in range(low, high + 1, step):
                     end = min(o + step - 1, high)
                     if len(before) >= o and len(after) >= length - end:
+                        if least <= o and end <= most:
+                            same = (o, xxhash.xxh3_64_intdigest(before[:end][::-1] + after[: length - o], seed=end))
+                            if same in told:
+                                continue
+                            if len(told) > 1_000_000:
+                                told.clear()
+                            told.add(same)
                         held = before[:o][::-1] + after[: length - end]
                         out.append((g, c, o, end, xxhash.xxh3_64_intdigest(held, seed=o) - (1 << 63)))
             yield _rows(out, ["gram", "context", "low", "high", "hash"])
@@ -216,15 +230,17 @@ def _range_pass(length: int, step: int) -> Callable:
 
 def _across(edges: DataFrame, length: int, gram: int) -> DataFrame:
     """(gram, context, least, most) of rows at bucket ends, by ranges of offsets that shrink."""
-    ranges = edges.select("gram", "context", "before", "after", F.lit(0).alias("low"), F.lit(length - gram).alias("high"))
-    strings = edges.select("gram", "context", "before", "after")
+    names = ["gram", "context", "before", "after", "least", "most"]
+    across = edges.groupBy("gram").agg(F.min("bucket").alias("from"), F.max("bucket").alias("to")).where(F.col("from") < F.col("to"))
+    strings = stored(edges.join(across, "gram", "left_semi").select(*names), "edges")
+    ranges = strings.select(*names, F.lit(0).alias("low"), F.lit(length - gram).alias("high"))
     for step in STEPS:
         schema = "gram long, context long, low long, high long, hash long"
         hashed = stored(ranges.mapInArrow(_range_pass(length, step), schema), "ranges")
         twice = hashed.groupBy("gram", "low", "hash").agg(F.count("*").alias("k")).where("k > 1")
         left = hashed.join(twice, ["gram", "low", "hash"]).select("gram", "context", "low", "high")
         if step > 1:
-            ranges = left.join(strings, ["gram", "context"]).select("gram", "context", "before", "after", "low", "high")
+            ranges = left.join(strings, ["gram", "context"]).select(*names, "low", "high")
     return left.groupBy("gram", "context").agg(F.min("low").alias("least"), F.max("low").alias("most"))
 
 
@@ -308,7 +324,7 @@ def suffix_dedup(
     suffixes = stored(suffixes, "suffixes")
     parts = max(1, -(-suffixes.count() // (bucket_rows // 8)))
     buckets = suffixes.repartitionByRange(parts, "after", "before").sortWithinPartitions("after", "before") if parts > 1 else suffixes
-    solved = buckets.mapInPandas(_bucket_pass(length, gram, bucket_rows), f"{schema}, least long, most long, edge boolean")
+    solved = buckets.mapInPandas(_bucket_pass(length, gram, bucket_rows), f"{schema}, least long, most long, edge boolean, bucket long")
     solved = stored(solved, "buckets")
     inside = solved.where("most >= 0").select("gram", "context", "least", "most")
     if parts > 1:
