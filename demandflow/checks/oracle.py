@@ -9,7 +9,6 @@ import re
 
 from demandflow.checks import registry as q
 from demandflow.checks.fixtures import FORECAST_AS_OF, MODEL_VERSION, PROMO_AS_OF
-from demandflow.plans.demand_curve import CATEGORY_PARAMETERS, PROMO_LIFT_MAX, REFERENCE_DISCOUNT
 from demandflow.plans.forecast import UPLIFT
 
 _CATEGORY = (
@@ -191,12 +190,14 @@ SELECT sku || '::' || store_id || '::' || CAST(week AS VARCHAR) AS action_id, sk
        updated_by, updated_at
 FROM status_feed WHERE status IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY sku, store_id, week ORDER BY updated_at DESC, seq DESC) = 1""",
-    "queue": """
+    "week_queue": """
 SELECT a.sku, a.store_id, a.week, store_name, region, product_name, category, predicted_demand, avg_demand_last_12w,
        risk_type, demand_delta, coalesce(s.status, 'open') AS status, s.note, s.updated_by, s.updated_at
 FROM actions a LEFT JOIN status_table s ON s.sku = a.sku AND s.store_id = a.store_id AND s.week = a.week
-WHERE a.week = (SELECT min(week) FROM actions)
-ORDER BY (risk_type = 'Stockout') DESC, abs(demand_delta) DESC, a.sku, a.store_id LIMIT 500""",
+WHERE a.week = (SELECT min(week) FROM actions)""",
+    "queue": """
+SELECT * FROM week_queue
+ORDER BY (risk_type = 'Stockout') DESC, abs(demand_delta) DESC, sku, store_id LIMIT 500""",
     "detail": f"""
 SELECT store_id, store_name, sku, product_name, category, region, predicted_demand, avg_demand_last_12w,
        CASE WHEN is_stockout_risk THEN 'Stockout' WHEN is_overstock_risk THEN 'Overstock' ELSE 'OK' END AS risk_type, week
@@ -262,8 +263,6 @@ _PROMO_REPORT = """
 SELECT promo_id, coalesce(target_sku, target_category) AS sku_or_category,
        coalesce(target_store_id, target_region) AS store_id_or_region, discount_pct, channel, promo_start_date, promo_end_date
 FROM promos_then"""
-_LIST = ", ".join(f"('{s}', {i})" for i, s in enumerate(q.SALES_PRODUCTS))
-_CURVE = ", ".join(f"('{c}', {e}::DOUBLE, {a}::DOUBLE, {p})" for c, e, a, p in CATEGORY_PARAMETERS)
 
 TAILS: dict[str, str] = {
     "ingest_metadata": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'lineitem.parquet' AS source_file,
@@ -279,12 +278,6 @@ FROM (SELECT CAST(unnest(generate_series(
         (SELECT make_date(CAST(year(max(date_id)) AS BIGINT), 12, 31) FROM fact)::TIMESTAMP, INTERVAL 1 DAY)) AS DATE) AS d)""",
     "dim_product": "SELECT * FROM products",
     "dim_store": "SELECT * FROM stores",
-    "store_calendar": """SELECT store_id, region, CAST(d AS DATE) AS txn_date FROM stores,
-(SELECT unnest(generate_series((SELECT min(date_id) FROM fact)::TIMESTAMP, (SELECT max(date_id) FROM fact)::TIMESTAMP,
- INTERVAL 1 DAY)) AS d)""",
-    "expand_rows": f"""SELECT store_id, date_id, txn_idx, s.sku FROM (
-  SELECT store_id, date_id, row_number() OVER (PARTITION BY store_id, date_id) - 1 AS txn_idx FROM fact)
-JOIN (VALUES {_LIST}) s(sku, n) ON s.n = txn_idx % {len(q.SALES_PRODUCTS)}""",
     "feature_upsert": "SELECT * FROM features UNION ALL SELECT * FROM left_over",
     "action_list_snapshot": "SELECT * FROM actions",
     "action_status_upsert": "SELECT * FROM status_table",
@@ -336,18 +329,6 @@ count(*) FILTER (WHERE promo_start_date > DATE '{PROMO_AS_OF}') AS future FROM p
     "week_snap": f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
 {_WEEK_OF.format(d='l_shipdate')} AS start_date, {_WEEK_OF.format(d="l_shipdate + INTERVAL 14 DAY")} + 6 AS end_date
 FROM lineitem""",
-    "demand_multipliers": f"""SELECT sku, store_id, week, discount_float,
-CAST(CAST(1.0::DOUBLE + seas_amp * sin(2.0::DOUBLE * pi() * (weekofyear(week) - seas_peak) / 52.0::DOUBLE) AS DECIMAL(18,6)) AS DOUBLE)
-  AS season_mult,
-CAST(CAST(CASE WHEN discount_float > 0
-  THEN 1.0::DOUBLE + elasticity * (discount_float / {REFERENCE_DISCOUNT}::DOUBLE) * {PROMO_LIFT_MAX}::DOUBLE
-  ELSE 1.0::DOUBLE END AS DECIMAL(18,6)) AS DOUBLE) AS promo_mult
-FROM (
-  SELECT w.sku, w.store_id, w.week, w.category, coalesce(max(p.discount_pct), 0.0) AS discount_float
-  FROM (SELECT x.*, region, category FROM weekly x JOIN stores USING (store_id) JOIN products USING (sku)) w
-  LEFT JOIN past_promos p ON p.promo_start_date <= w.week AND p.promo_end_date >= w.week AND {_TARGETS}
-  GROUP BY ALL)
-JOIN (VALUES {_CURVE}) c(category, elasticity, seas_amp, seas_peak) USING (category)""",
     "discounted_price": """SELECT transaction_id, sku, unit_price, discount_float,
 CASE WHEN discount_float > 0 THEN CAST(round(CAST(CAST(unit_price * (1 - discount_float) AS VARCHAR) AS DECIMAL(38,16)), 2) AS DOUBLE)
 ELSE unit_price END AS sale_price
@@ -374,13 +355,13 @@ FROM label_rows JOIN features USING (sku, store_id, week)
 WHERE week >= (SELECT min(week) FROM (SELECT DISTINCT week FROM label_rows ORDER BY week DESC LIMIT 8))""",
     "action_list": "SELECT * FROM actions",
     "action_queue": "SELECT * FROM queue",
-    "action_queue_filtered": "SELECT * FROM queue WHERE " + " AND ".join(
+    "action_queue_filtered": "SELECT * FROM week_queue WHERE " + " AND ".join(
         f"{c} = '{v}'" for c, v in q.QUEUE_FILTERS.items() if v != "all"
-    ),
+    ) + " ORDER BY (risk_type = 'Stockout') DESC, abs(demand_delta) DESC, sku, store_id LIMIT 500",
     "queue_counts": """SELECT count(*) FILTER (WHERE risk_type = 'Stockout') AS stockout_count,
 count(*) FILTER (WHERE risk_type = 'Overstock') AS overstock_count, count(*) FILTER (WHERE risk_type = 'Both') AS both_count
-FROM queue""",
-    "filter_options": " UNION ".join(f"SELECT '{c}' AS option, {c} AS value FROM queue" for c in q.QUEUE_OPTIONS),
+FROM week_queue""",
+    "filter_options": " UNION ".join(f"SELECT '{c}' AS option, {c} AS value FROM week_queue" for c in q.QUEUE_OPTIONS),
     "risk_summary": """SELECT count(CASE WHEN is_stockout_risk THEN 1 END) AS stockout_count,
 count(CASE WHEN is_overstock_risk THEN 1 END) AS overstock_count
 FROM forecast WHERE week = (SELECT max(week) FROM forecast)""",

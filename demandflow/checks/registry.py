@@ -19,10 +19,10 @@ from demandflow.operators.promotions import daily_best_discount, explode_promos,
 from demandflow.operators.quality import RULES, rule_violations
 from demandflow.operators.ranking import sample_rows
 from demandflow.operators.selection import (
-    multi_filter, next_n_weeks, next_week, option_lists, this_week,
+    next_n_weeks, next_week, option_lists, this_week,
 )
 from demandflow.operators import series
-from demandflow.plans import actions, demand_curve, features, forecast, gold, governance, model
+from demandflow.plans import actions, features, forecast, gold, governance, model
 from demandflow.plans import questions, reports, summaries
 from demandflow.schemas import KEYS, LANDING_SCHEMAS, SERIES, SOURCE_SYSTEMS
 from demandflow.session import run_folder
@@ -38,7 +38,6 @@ EXPLORER_STORE, EXPLORER_SKU = "NATION_3", "BR-007"
 DASHBOARD_WEEK = str(FORECAST_AS_OF)
 QUEUE_FILTERS = {"region": "EUROPE", "store_name": "all", "category": "Apparel", "risk_type": "Stockout", "status": "all"}
 QUEUE_OPTIONS = ["region", "store_name", "category", "risk_type", "status"]
-SALES_PRODUCTS = ["BR-001", "BR-005", "BR-009", "BR-013", "BR-017", "BR-021", "BR-025"]
 
 _QUERIES: dict[str, Query] = {}
 
@@ -122,19 +121,6 @@ def dim_store(r: Retail) -> DataFrame:
     return gold.dim_store(r.typed("stores"))
 
 
-@query
-def store_calendar(r: Retail) -> DataFrame:
-    return demand_curve.store_calendar(r.stores, r.fact)
-
-
-@query
-def expand_rows(r: Retail) -> DataFrame:
-    """As many numbered rows per store and day as there were sales."""
-    days = r.fact.groupBy("store_id", "date_id").agg(F.count(F.lit(1)).alias("txn_count"))
-    rows = demand_curve.numbered_sales(days, "txn_count", SALES_PRODUCTS)
-    return rows.select("store_id", "date_id", "txn_idx", "sku")
-
-
 @query
 def feature_upsert(r: Retail) -> DataFrame:
     """An earlier run, made when the last 8 weeks were not known yet, merged with today's run.
@@ -339,15 +325,6 @@ def week_snap(r: Retail) -> DataFrame:
     return snap_to_weeks(days, "start_date", "end_date")
 
 
-@query
-def demand_multipliers(r: Retail) -> DataFrame:
-    rows = with_region_and_category(r.weekly, r.stores, r.products)
-    matched = daily_best_discount(rows, features.past_promos(r.promos()), "week")
-    curve = demand_curve.demand_multipliers(matched)
-    exact = [F.col(c).cast("decimal(18,6)").cast("double").alias(c) for c in ("season_mult", "promo_mult")]
-    return curve.select(*SERIES, "week", "discount_float", *exact)
-
-
 @named("discounted_price")
 def discounted_price_query(r: Retail) -> DataFrame:
     sales = with_region_and_category(
@@ -455,17 +432,17 @@ def action_queue(r: Retail) -> DataFrame:
 
 @query
 def action_queue_filtered(r: Retail) -> DataFrame:
-    return multi_filter(action_queue(r), **QUEUE_FILTERS)
+    return actions.action_queue(r.actions, r.status, filters=QUEUE_FILTERS)
 
 
 @query
 def queue_counts(r: Retail) -> DataFrame:
-    return actions.queue_counts(action_queue(r))
+    return actions.queue_counts(actions.week_actions(r.actions, r.status))
 
 
 @query
 def filter_options(r: Retail) -> DataFrame:
-    return option_lists(action_queue(r), QUEUE_OPTIONS)
+    return option_lists(actions.week_actions(r.actions, r.status), QUEUE_OPTIONS)
 
 
 # ---------------------------------------------------------------- reports

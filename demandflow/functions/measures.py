@@ -30,9 +30,9 @@ def discounted_price(price: str, discount: str) -> Column:
 
 
 def whole_units(raw: Column | str) -> Column:
-    """A raw prediction as a count: rounded half up, never negative."""
+    """A raw prediction as a count: rounded half up, never negative; NULL stays NULL."""
     raw = F.col(raw) if isinstance(raw, str) else raw
-    return F.greatest(F.lit(0), F.round(raw)).cast("int")
+    return F.when(raw.isNotNull(), F.greatest(F.lit(0), F.round(raw))).cast("int")
 
 
 def is_stockout(ratio: float = STOCKOUT_RATIO) -> Column:

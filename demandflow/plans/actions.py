@@ -10,7 +10,7 @@ from demandflow.functions.measures import action_risk_type, at_risk
 from demandflow.operators.dimensions import BROADCAST_MAX_ROWS, with_names
 from demandflow.operators.latest import latest_per_key, upsert
 from demandflow.operators.ranking import top_k
-from demandflow.operators.selection import earliest_week
+from demandflow.operators.selection import ALL, earliest_week, multi_filter
 from demandflow.schemas import KEYS
 
 QUEUE_SIZE = 500
@@ -62,17 +62,30 @@ def upsert_status(current: DataFrame | None, updates: DataFrame, order: list[str
     return newest if current is None else upsert(current, newest, KEYS["status"])
 
 
-def action_queue(actions: DataFrame, status: DataFrame, k: int = QUEUE_SIZE) -> DataFrame:
+def week_actions(actions: DataFrame, status: DataFrame) -> DataFrame:
+    """All actions of the next week with their status, for counts and for the choices of filters."""
+    rows = earliest_week(actions)
+    found = status.select(*KEYS["actions"], "status")
+    return rows.join(found, KEYS["actions"], "left").withColumn("status", F.coalesce("status", F.lit(DEFAULT_STATUS)))
+
+
+def action_queue(actions: DataFrame, status: DataFrame, k: int = QUEUE_SIZE, filters: dict[str, str] | None = None) -> DataFrame:
     """The next week's actions with their status: stockouts first, then by size of the gap.
 
-    The top ``k`` is taken before the status is looked up, and the status table is cut down to
+    Filters apply before the cut, so a filtered queue is as long as it can be. The status is looked
+    up first only if it is filtered. Otherwise the top ``k`` is taken before the status is looked up, and the status table is cut down to
     those actions by a broadcast of their keys, so it is read once and never shuffled. It has one
     row per action, so the join cannot change the order or the number.
     """
     ranking = [
         F.desc(F.col("risk_type") == "Stockout"), F.desc(F.abs("demand_delta")), F.asc("sku"), F.asc("store_id")
     ]
-    top = top_k(earliest_week(actions), k, *ranking)
+    filters = dict(filters or {})
+    wanted_status = filters.pop("status", ALL)
+    rows = earliest_week(actions)
+    if wanted_status != ALL:
+        rows = week_actions(actions, status).where(F.col("status") == wanted_status).drop("status")
+    top = top_k(multi_filter(rows, **filters), k, *ranking)
     wanted = top.select(*KEYS["actions"])
     current = status.select(*KEYS["actions"], "status", "note", "updated_by", "updated_at").join(
         F.broadcast(wanted) if k <= BROADCAST_MAX_ROWS else wanted, KEYS["actions"], "left_semi"

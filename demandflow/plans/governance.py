@@ -2,82 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandflow.operators.masking import apply_masks, mask_financial
-from demandflow.sources.generated import rows_df
-
-# Table tags by layer and table; every table also carries domain and data_product.
-TABLE_TAGS = {
-    "bronze": {
-        "bronze_transactions": {"ingest_source": "pos_system"},
-        "bronze_products": {"ingest_source": "product_catalog"},
-        "bronze_stores": {"ingest_source": "store_master"},
-        "bronze_promotions": {"ingest_source": "promo_system"},
-    },
-    "silver": {
-        "silver_transactions": {"data_quality": "validated"},
-        "silver_products": {"data_quality": "validated"},
-        "silver_stores": {"data_quality": "validated"},
-        "silver_promotions": {"data_quality": "validated"},
-    },
-    "gold": {
-        "dim_product": {"table_type": "dimension", "consumption": "dashboard,questions"},
-        "dim_store": {"table_type": "dimension", "consumption": "dashboard,questions"},
-        "dim_date": {"table_type": "dimension", "consumption": "dashboard,questions"},
-        "fact_transactions": {"table_type": "fact", "consumption": "dashboard,questions"},
-        "fact_promotions": {"table_type": "fact", "consumption": "dashboard,questions"},
-        "forecast_demand": {"table_type": "ml_output", "consumption": "dashboard,questions,app"},
-        "forecast_action_list": {"table_type": "ml_output", "consumption": "dashboard,questions,app"},
-    },
-}
-DOMAIN = "retail"
-
-# Meaning of columns wherever they occur in the listed tables.
-IDENTIFIER = {"semantic_type": "identifier"}
-OPERATIONAL = {"semantic_type": "measure", "data_category": "operational"}
-FINANCIAL = {"semantic_type": "measure", "data_category": "financial"}
-COLUMN_TAGS = {
-    ("bronze", "bronze_transactions"): {
-        "transaction_id": IDENTIFIER, "quantity_sold": OPERATIONAL, "unit_price_at_sale": FINANCIAL,
-    },
-    ("bronze", "bronze_products"): {"unit_cost": FINANCIAL, "unit_price": FINANCIAL},
-    ("silver", "silver_transactions"): {
-        "transaction_id": IDENTIFIER, "quantity_sold": OPERATIONAL, "unit_price_at_sale": FINANCIAL,
-    },
-    ("silver", "silver_products"): {"unit_cost": FINANCIAL, "unit_price": FINANCIAL},
-    ("silver", "silver_promotions"): {"discount_pct": FINANCIAL},
-    ("gold", "fact_transactions"): {
-        "total_revenue": FINANCIAL, "unit_price_at_sale": FINANCIAL, "transaction_id": IDENTIFIER,
-    },
-    ("gold", "fact_promotions"): {"discount_pct": FINANCIAL},
-}
-PREDICTED_COLUMNS = ["predicted_demand", "is_stockout_risk", "is_overstock_risk"]
-
-_TAG_SCHEMA = "schema_name string, table_name string, column_name string, tag_name string, tag_value string"
 
 MASKS = {"unit_price_at_sale": mask_financial}
 
 
-def tag_registry(
-    spark: SparkSession, data_product: str = "demandflow", model: str = "demand_model", algorithm: str = "glm_poisson"
-) -> DataFrame:
-    """All tags as rows; ``column_name`` is NULL for a table's own tags. The list is a constant."""
-    rows = []
-    for layer, tables in TABLE_TAGS.items():
-        for table, own in tables.items():
-            tags = {"layer": layer, "domain": DOMAIN, **own, "data_product": data_product}
-            rows += [(layer, table, None, name, value) for name, value in tags.items()]
-    prediction = {"semantic_type": "ml_prediction", "model": model, "algorithm": algorithm}
-    column_tags = {**COLUMN_TAGS, ("gold", "forecast_demand"): {c: prediction for c in PREDICTED_COLUMNS}}
-    for (layer, table), columns in column_tags.items():
-        for column, tags in columns.items():
-            rows += [(layer, table, column, name, value) for name, value in tags.items()]
-    return rows_df(spark, rows, _TAG_SCHEMA)
-
-
-def tag_report(tags: DataFrame, names: tuple[str, ...] = ("layer", "table_type", "data_product")) -> DataFrame:
+def tag_report(tags: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """Table tags of the given names; tags have schema_name, table_name, column_name, tag_name, tag_value."""
     return (
         tags.where(F.col("column_name").isNull() & F.col("tag_name").isin(*names))
         .select("schema_name", "table_name", "tag_name", "tag_value")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.ml import PipelineModel, Pipeline
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GeneralizedLinearRegression
@@ -24,6 +27,7 @@ SELECT *,
        cos(2 * pi() * week_of_year / 52) AS season_cos
 FROM __THIS__
 """
+FEATURES = ["rolling_4wk_avg", "avg_demand_last_12w", "is_promoted", "discount_pct_feat", "week_of_year"]
 _INPUTS = ["log_4wk", "log_12wk", "promoted", "discount_pct_feat", "season_sin", "season_cos"]
 
 
@@ -35,33 +39,36 @@ def model_name(version: int) -> str:
 
 
 def fit_demand_model(training: DataFrame, max_iter: int = 25) -> PipelineModel:
-    """Fit on rows with the five features and the label. Every iteration is one pass of partial
-    sums over the cluster. Pass a written table, as each iteration reads ``training`` again."""
+    """Fit on rows with the five features and the label; rows that lack one teach nothing. Every
+    iteration is one pass of partial sums over the cluster. Pass a written table, as each iteration reads ``training`` again."""
     glm = GeneralizedLinearRegression(
         family="poisson", link="log", featuresCol="inputs", labelCol=LABEL,
         predictionCol="prediction", maxIter=max_iter, regParam=1e-6,
     )
     stages = [
         SQLTransformer(statement=_TERMS),
-        VectorAssembler(inputCols=_INPUTS, outputCol="inputs", handleInvalid="skip"),
+        VectorAssembler(inputCols=_INPUTS, outputCol="inputs", handleInvalid="keep"),
         glm,
     ]
-    return Pipeline(stages=stages).fit(training)
+    return Pipeline(stages=stages).fit(training.dropna(subset=[*FEATURES, LABEL]))
 
 
 def glm_predictor(model: PipelineModel):
-    """Predictor for ``forecast.score``."""
+    """Predictor for ``forecast.score``. Every row comes back; one that lacks a feature has no
+    prediction rather than a prediction of zero."""
 
     def predict(features: DataFrame) -> DataFrame:
         scored = model.transform(features)
-        return scored.select(*features.columns, F.greatest(F.lit(0.0), F.col("prediction")).alias("prediction"))
+        whole = reduce(and_, [F.col(c).isNotNull() for c in FEATURES])
+        known = F.when(whole, F.greatest(F.lit(0.0), F.col("prediction")))
+        return scored.select(*features.columns, known.alias("prediction"))
 
     return predict
 
 
 def model_mae(model: PipelineModel, holdout: DataFrame) -> DataFrame:
-    """Model and both naive errors on the same rows, and whether the model beats them."""
-    errors = glm_predictor(model)(holdout).agg(
+    """Model and both naive errors over the complete rows, and whether the model beats them."""
+    errors = glm_predictor(model)(holdout.dropna(subset=FEATURES)).agg(
         mae(LABEL, "prediction").alias("mae_holdout"),
         mae(LABEL, "avg_demand_last_12w").alias("mae_naive_avg12w"),
         mae(LABEL, "rolling_4wk_avg").alias("mae_naive_rolling4w"),

@@ -3,8 +3,11 @@
 Open Spark cannot MERGE into parquet, and rewriting the whole table for every batch would cost
 the table, not the batch. So a batch only adds a folder with its own newest rows, and reading
 takes the newest row per key over all folders. ``compact`` folds the folders into one, once the
-changes have grown to a fair share of the base. Spark's ``_SUCCESS`` marker says which folders are whole; a batch that is replayed after
-a failure overwrites its own folder, so applying it twice changes nothing.
+changes have grown to a fair share of the base, or there are many folders. Batch numbers count
+within a flow: two flows, or a flow that starts over with a new checkpoint, may feed one table, and a
+folder is named by flow, batch and order of arrival. Spark's ``_SUCCESS`` marker says which folders
+are whole; a batch that is replayed after a failure is skipped when its folder is whole and written
+anew when it is not, so applying it twice changes nothing.
 """
 
 from __future__ import annotations
@@ -16,11 +19,12 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from demandflow.operators.latest import latest_per_key
 
-# Number of the batch a row came with. As a sequence column it makes the last batch win.
+# Order in which a batch arrived at the table. As a sequence column it makes the last batch win.
 ARRIVAL = "batch"
 
 COMPACT_SHARE = 0.5
 COMPACT_MIN_BYTES = 256 * 1024 * 1024
+COMPACT_FOLDERS = 20
 
 
 class KeyedTable:
@@ -30,13 +34,14 @@ class KeyedTable:
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
         self.keys, self.sequence_by = keys, sequence_by
 
-    def apply(self, changes: DataFrame, batch_id: int) -> None:
-        """Add a batch. Work grows with the batch, not with the table."""
-        if batch_id in self._whole("changes"):
+    def apply(self, changes: DataFrame, batch_id: int, flow: str = "direct") -> None:
+        """Add a batch of a flow. Work grows with the batch, not with the table."""
+        if any(owner == (flow, batch_id) for owner in self._owners().values()):
             return
+        arrival = max([-1, *self._whole("changes"), *self._whole("base")]) + 1
         within = [c for c in self.sequence_by if c != ARRIVAL]
         newest = latest_per_key(changes.select(*self.schema.names), self.keys, within)
-        newest.write.mode("overwrite").parquet(self._folder("changes", batch_id))
+        newest.write.mode("overwrite").parquet(f"{self.path}/changes/flow={flow}/source_batch={batch_id}/{ARRIVAL}={arrival}")
 
     def read(self) -> DataFrame:
         """The table as of the last whole batch.
@@ -72,7 +77,9 @@ class KeyedTable:
         rewritten at the cost of a few times its changes, not once per batch."""
         base, newer = self._folders()
         base_bytes = self._bytes("base", [base]) if base is not None else 0
-        due = bool(newer) and self._bytes("changes", newer) >= max(share * base_bytes, min_bytes)
+        due = len(newer) >= COMPACT_FOLDERS or (
+            bool(newer) and self._bytes("changes", newer) >= max(share * base_bytes, min_bytes)
+        )
         if due:
             self.compact()
         return due
@@ -86,7 +93,12 @@ class KeyedTable:
             for batch in self._whole(kind):
                 if batch <= limit:
                     folder = self._hadoop_path(self._folder(kind, batch))
-                    self._file_system(folder).delete(folder, True)
+                    files = self._file_system(folder)
+                    for status in files.listStatus(folder):  # the marker stays: it says the batch was applied
+                        if status.getPath().getName() != "_SUCCESS" or kind == "base":
+                            files.delete(status.getPath(), True)
+                    if kind == "base":
+                        files.delete(folder, True)
 
     def _folders(self) -> tuple[int | None, list[int]]:
         bases = self._whole("base")
@@ -97,21 +109,38 @@ class KeyedTable:
         """Rows of some folders as one scan, with the batch number where it decides."""
         schema = StructType([*self.schema.fields, StructField(ARRIVAL, LongType())])
         folders = [self._folder(kind, batch) for batch in batches]
-        rows = self.spark.read.schema(schema).option("basePath", f"{self.path}/{kind}").parquet(*folders)
+        rows = self.spark.read.schema(schema).option("basePath", f"{self.path}/{kind}").parquet(*folders).select(*schema.names)
         return rows if ARRIVAL in self.sequence_by else rows.drop(ARRIVAL)
 
     def _folder(self, kind: str, batch: int) -> str:
-        return f"{self.path}/{kind}/{ARRIVAL}={batch}"
+        if kind == "base":
+            return f"{self.path}/base/{ARRIVAL}={batch}"
+        flow, source = self._owners()[batch]
+        return f"{self.path}/changes/flow={flow}/source_batch={source}/{ARRIVAL}={batch}"
+
+    def _owners(self) -> dict[int, tuple[str, int]]:
+        """Flow and batch of each finished change folder, by arrival."""
+        owners = {}
+        for parts in self._finished(f"{self.path}/changes/flow=*/source_batch=*/{ARRIVAL}=*/_SUCCESS"):
+            flow, source, arrival = (p.split("=", 1)[1] for p in parts[-3:])
+            owners[int(arrival)] = (flow, int(source))
+        return owners
 
     def _bytes(self, kind: str, batches: list[int]) -> int:
         paths = [self._hadoop_path(self._folder(kind, batch)) for batch in batches]
         return sum(self._file_system(path).getContentSummary(path).getLength() for path in paths)
 
     def _whole(self, kind: str) -> list[int]:
-        """Batch ids of the finished folders, oldest first (a listing of folder names only)."""
-        pattern = self._hadoop_path(f"{self.path}/{kind}/{ARRIVAL}=*/_SUCCESS")
-        found = self._file_system(pattern).globStatus(pattern) or []
-        return sorted(int(status.getPath().getParent().getName().split("=")[1]) for status in found)
+        """Arrival numbers of the finished folders, oldest first (a listing of folder names only)."""
+        if kind == "changes":
+            return sorted(self._owners())
+        return sorted(int(parts[-1].split("=")[1]) for parts in self._finished(f"{self.path}/base/{ARRIVAL}=*/_SUCCESS"))
+
+    def _finished(self, pattern: str) -> list[list[str]]:
+        """Path parts of the folders that hold a matching marker."""
+        path = self._hadoop_path(pattern)
+        found = self._file_system(path).globStatus(path) or []
+        return [status.getPath().getParent().toString().split("/") for status in found]
 
     def _hadoop_path(self, path: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -6,6 +6,7 @@ the other. Progress lives in the checkpoint: running a flow again only reads wha
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,8 +53,10 @@ def scd1_upsert(
 ) -> StreamingQuery:
     """Keep the newest row per key of a stream, whatever order the rows arrive in."""
 
+    flow = flow_id(stream.sparkSession, checkpoint)
+
     def apply(batch: DataFrame, batch_id: int) -> None:
-        table.apply(prepare(batch) if prepare else batch, batch_id)
+        table.apply(prepare(batch) if prepare else batch, batch_id, flow)
         table.compact_if_due()
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
@@ -62,6 +65,16 @@ def scd1_upsert(
     return writer.trigger(availableNow=True).start()
 
 
+def flow_id(spark: SparkSession, checkpoint: str) -> str:
+    """Name of a flow, kept in its checkpoint: a new or reset checkpoint is another flow, whose batch
+    numbers start again."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/flow_names")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        files.mkdirs(spark._jvm.org.apache.hadoop.fs.Path(path, uuid.uuid4().hex))
+    return min(status.getPath().getName() for status in files.listStatus(path))
+
+
 def silver_table(spark: SparkSession, feed: str, bronze: str, path: str) -> KeyedTable:
     schema = CONFORM[feed](spark.read.parquet(bronze)).schema
     return KeyedTable(spark, path, schema, KEYS[feed], ["_updated_at"])

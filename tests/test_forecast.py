@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from demandflow.functions.measures import discounted_price, sum_money, whole_units
 from demandflow.plans import forecast, gold, model
-from demandflow.plans.demand_curve import demand_multipliers, numbered_sales, store_calendar
 from demandflow.sources.generated import date_range, expand_rows
 
 WEEK = date(2025, 1, 6)
@@ -34,6 +33,7 @@ def test_risk_flags_are_strict_and_need_history(spark):
 def test_counts_are_rounded_half_up_and_not_negative(spark):
     df = spark.createDataFrame([(-0.4,), (2.5,), (2.4999,), (-7.0,), (3.5,)], "raw double")
     assert [r[0] for r in df.select(whole_units("raw")).collect()] == [0, 3, 2, 0, 4]
+    assert spark.sql("SELECT CAST(NULL AS DOUBLE) AS raw").select(whole_units("raw")).first()[0] is None
 
 
 def test_uplift(spark):
@@ -62,29 +62,15 @@ def test_fact_flags_and_unmatched_products(spark):
     assert fact == {"1": (3.75, 1), "2": (2.0, 0), "3": (1.0, 0), "4": (None, 0)}
 
 
-def test_season_and_promo_multipliers(spark):
-    df = spark.createDataFrame([("Home", date(2025, 3, 3), 0.3), ("Toys", WEEK, 0.0)], "category string, week date, discount_float double")
-    got = {r.category: (r.season_mult, r.promo_mult) for r in demand_multipliers(df).collect()}
-    assert got["Home"] == (1.0, 1 + 0.6 * 2.2)  # week 10 is the peak week of the wave's zero crossing
-    assert got["Toys"] == (None, 1.0)
-
-
 def test_rows_grow_by_count_across_blocks(spark):
     df = spark.createDataFrame([("a", 3), ("b", 0), ("c", None), ("d", 10_000)], "k string, n int")
     out = expand_rows(df, "n").groupBy("k").agg(F.count("*").alias("c"), F.min("row_index"), F.max("row_index"), F.countDistinct("row_index"))
     assert sorted(map(tuple, out.collect())) == [("a", 3, 0, 2, 3), ("d", 10_000, 0, 9_999, 10_000)]
 
 
-def test_numbered_sales_pick_by_position(spark):
-    days = spark.createDataFrame([("s", 5)], "store_id string, n int")
-    got = sorted((r.txn_idx, r.sku) for r in numbered_sales(days, "n", ["x", "y"]).collect())
-    assert got == [(0, "x"), (1, "y"), (2, "x"), (3, "y"), (4, "x")]
-
-
 def test_date_ranges(spark):
     assert date_range(spark, date(2024, 1, 1), date(2026, 12, 31)).count() == 1096
     fact = spark.createDataFrame([(date(2024, 2, 28),), (date(2024, 3, 1),)], "date_id date")
-    assert store_calendar(spark.createDataFrame([("1", "N"), ("2", "S")], "store_id string, region string"), fact).count() == 6
     assert gold.dim_date(fact).count() == 366
 
 
@@ -105,6 +91,14 @@ def training(spark):
     )
 
 
+def test_rows_without_features_come_back_without_a_forecast(spark, training):
+    holes = training.withColumn("rolling_4wk_avg", F.when(F.col("sku") != "s3", F.col("rolling_4wk_avg")))
+    fitted = model.fit_demand_model(holes.where("part = 'train'"))
+    out = model.glm_predictor(fitted)(holes)
+    assert out.count() == training.count()
+    assert out.where("prediction IS NULL").select("sku").distinct().collect() == [("s3",)]
+
+
 def test_model_learns_promotions_and_can_be_saved(spark, training, tmp_path):
     fitted, errors = model.fit_and_evaluate(training, str(tmp_path))
     row = errors.first()

@@ -51,7 +51,8 @@ def test_keyed_table_equals_one_big_reduction(spark, rows, tmp_path):
             table.compact()
         assert rows(table.read()) == sorted(((k, s, v) for k, (s, v) in best.items()))
     table.vacuum()
-    assert table._folders() == (4, [5]) and table._whole("changes") == [5] and table._whole("base") == [4]
+    assert table._folders() == (4, [5]) and table._whole("base") == [4]
+    assert not list((tmp_path / "t/changes/flow=direct/source_batch=2").rglob("*.parquet"))
     assert rows(table.read()) == sorted(((k, s, v) for k, (s, v) in best.items()))
 
 
@@ -112,3 +113,17 @@ def test_compaction_waits_for_enough_changes(spark, rows, tmp_path):
     table.apply(spark.range(50_000).selectExpr("int(id) k", "2 seq"), 2)
     assert table.compact_if_due(min_bytes=1) and table._folders() == (2, [])
     assert table.read().where("seq = 2").count() == 50_000
+
+
+def test_flows_number_their_own_batches(spark, tmp_path, rows):
+    schema = "k string, v int"
+    table = KeyedTable(spark, str(tmp_path / "t"), spark.createDataFrame([], schema).schema, ["k"], [ARRIVAL])
+    table.apply(spark.createDataFrame([("a", 1)], schema), 0, "one")
+    table.apply(spark.createDataFrame([("a", 9), ("b", 5)], schema), 0, "two")
+    table.apply(spark.createDataFrame([("a", 7)], schema), 0, "one")  # replay: skipped
+    assert rows(table.read()) == [("a", 9), ("b", 5)]
+    table.compact()
+    table.vacuum()
+    table.apply(spark.createDataFrame([("b", 6)], schema), 0, "two")  # replay after compaction: skipped
+    table.apply(spark.createDataFrame([("b", 8)], schema), 0, "three")
+    assert rows(table.read()) == [("a", 9), ("b", 8)]

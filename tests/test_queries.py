@@ -5,9 +5,10 @@ import pytest
 
 import __spark_entry__ as entry
 from check_queries import TABLES, rows_of
+from demandflow.checks import oracle, registry
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, TWINS = entry.queries(), entry.oracle_sql()
+QUERIES, TWINS = registry.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +20,7 @@ def db():
 
 
 def test_twins_belong_to_queries():
+    assert set(QUERIES) <= set(entry.queries()) and set(TWINS) <= set(entry.oracle_sql())
     assert set(TWINS) <= set(QUERIES)
     assert set(QUERIES) - set(TWINS) == {"model_mae", "glm_forecast"}
 

@@ -139,3 +139,14 @@ def test_tables(spark, tmp_path):
     assert snapshot_sync(df, str(tmp_path / "s"), ["k"]).count() == 2
     with pytest.raises(ValueError, match="not unique"):
         snapshot_sync(df.union(df), str(tmp_path / "s2"), ["k"])
+
+
+def test_two_checkpoints_and_a_reset_one_feed_one_table(spark, tmp_path, rows):
+    schema = "k string, seq int, v int"
+    table = KeyedTable(spark, str(tmp_path / "t"), spark.createDataFrame([], schema).schema, ["k"], ["seq"])
+    for number, data in enumerate([[("a", 1, 1)], [("a", 2, 9), ("b", 1, 5)], [("c", 1, 3)]]):
+        folder = str(tmp_path / f"in{number}")
+        spark.createDataFrame(data, schema).write.parquet(folder)
+        stream = stream_parquet(spark, folder, spark.createDataFrame([], schema).schema)
+        scd1_upsert(stream, table, str(tmp_path / f"c{number}")).awaitTermination()
+    assert rows(table.read()) == [("a", 2, 9), ("b", 1, 5), ("c", 1, 3)]
