@@ -61,7 +61,7 @@ def test_unfinished_batch_is_not_seen_and_is_overwritten(spark, rows, tmp_path):
     table = KeyedTable(spark, str(tmp_path / "t"), schema, ["k"], ["seq"])
     table.apply(spark.createDataFrame([("a", 1)], schema), 0)
     table.apply(spark.createDataFrame([("a", 9), ("b", 9)], schema), 1)
-    (tmp_path / "t" / "changes" / "batch=1" / "_SUCCESS").unlink()
+    (tmp_path / "t" / "changes" / "flow=direct" / "source_batch=1" / "batch=1" / "_SUCCESS").unlink()
     assert rows(table.read()) == [("a", 1)]
     table.apply(spark.createDataFrame([("a", 2)], schema), 1)
     assert rows(table.read()) == [("a", 2)]
