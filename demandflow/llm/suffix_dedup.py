@@ -199,10 +199,10 @@ def _bucket_pass(length: int, gram: int, most_rows: int) -> Callable:
 
 
 def _range_pass(length: int, step: int) -> Callable:
-    """(gram, context, low, high, hash): hashes of the bytes every string of a range of offsets holds.
+    """(gram, context, low, high, hash, asks): hashes of the bytes every string of a range of offsets holds.
 
-    A range within what the row's own bucket has found matters to others only, and one row of each
-    task speaks for all that hold the same bytes there.
+    A range within what the row's own bucket has found matters to others only: the row does not ask,
+    and one row of each task speaks for all that hold the same bytes there.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,7 +214,8 @@ def _range_pass(length: int, step: int) -> Callable:
                 for o in range(low, high + 1, step):
                     end = min(o + step - 1, high)
                     if len(before) >= o and len(after) >= length - end:
-                        if least <= o and end <= most:
+                        asks = not least <= o <= end <= most
+                        if not asks:
                             same = (o, xxhash.xxh3_64_intdigest(before[:end][::-1] + after[: length - o], seed=end))
                             if same in told:
                                 continue
@@ -222,8 +223,8 @@ def _range_pass(length: int, step: int) -> Callable:
                                 told.clear()
                             told.add(same)
                         held = before[:o][::-1] + after[: length - end]
-                        out.append((g, c, o, end, xxhash.xxh3_64_intdigest(held, seed=o) - (1 << 63)))
-            yield _rows(out, ["gram", "context", "low", "high", "hash"])
+                        out.append((g, c, o, end, xxhash.xxh3_64_intdigest(held, seed=o) - (1 << 63), int(asks)))
+            yield _rows(out, ["gram", "context", "low", "high", "hash", "asks"])
 
     return run
 
@@ -235,10 +236,13 @@ def _across(edges: DataFrame, length: int, gram: int) -> DataFrame:
     strings = stored(edges.join(across, "gram", "left_semi").select(*names), "edges")
     ranges = strings.select(*names, F.lit(0).alias("low"), F.lit(length - gram).alias("high"))
     for step in STEPS:
-        schema = "gram long, context long, low long, high long, hash long"
+        schema = "gram long, context long, low long, high long, hash long, asks long"
         hashed = stored(ranges.mapInArrow(_range_pass(length, step), schema), "ranges")
-        twice = hashed.groupBy("gram", "low", "hash").agg(F.count("*").alias("k")).where("k > 1")
-        left = hashed.join(twice, ["gram", "low", "hash"]).select("gram", "context", "low", "high")
+        # ranges all of whose rows know the answer go; in the end only rows that ask need one
+        twice = hashed.groupBy("gram", "low", "hash").agg(F.count("*").alias("k"), F.max("asks").alias("asked"))
+        twice = twice.where("k > 1 and asked = 1")
+        open_ = hashed if step > 1 else hashed.where("asks = 1")
+        left = open_.join(twice, ["gram", "low", "hash"]).select("gram", "context", "low", "high")
         if step > 1:
             ranges = left.join(strings, ["gram", "context"]).select(*names, "low", "high")
     return left.groupBy("gram", "context").agg(F.min("low").alias("least"), F.max("low").alias("most"))
