@@ -11,8 +11,9 @@ hash (the last of equals) start at an anchor, so equal strings have equal anchor
    quicksort, forwards and backwards, and the depths shared with neighbours tell which strings occur
    twice. Rows count once per context, and no pair is ever made.
 3. Suffixes of the first and the last gram of a bucket may have partners across the boundary. They
-   are compared by the hashes of ever shorter ranges of strings, so a gram that fills many buckets
-   is no hot task.
+   are bucketed again by the bytes before the anchor. What a row shares with the rows next to its two
+   buckets bounds what any partner elsewhere can share; the few offsets left are compared by hashes
+   of ever shorter ranges of strings, so a gram that fills many buckets is no hot task.
 4. What an anchor covers goes back to the documents that hold it, which drop those bytes.
 """
 
@@ -26,7 +27,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandflow.llm.common import BYTE_VALUES, _bytes, powers, prefix_hash, splitmix, stored, unpacker
@@ -191,61 +192,100 @@ def _bucket_pass(length: int, gram: int, most_rows: int) -> Callable:
 
     def solve(rows: pd.DataFrame) -> pd.DataFrame:
         least, most = shared_offsets(list(rows["before"]), list(rows["after"]), length, gram)
-        lead = rows["after"].map(lambda s: bytes(s[:gram]))
-        edge = (lead == lead.min()) | (lead == lead.max())
+        if "least" in rows:  # the other order has been sorted before
+            least, most = np.minimum(least, rows["least"]), np.maximum(most, rows["most"])
+        edge = (rows["gram"] == rows["gram"].iloc[0]) | (rows["gram"] == rows["gram"].iloc[-1])
         return rows.assign(least=least, most=most, edge=edge)
 
     return run
 
 
+def _lcp(a: bytes, b: bytes | None) -> int:
+    if b is None:
+        return 0
+    n = min(len(a), len(b))
+    return n - -(-(int.from_bytes(a[:n]) ^ int.from_bytes(b[:n])).bit_length() // 8)
+
+
+def _reach(rows: DataFrame, column: str, name: str) -> DataFrame:
+    """Rows of grams that go on in another bucket, with the most bytes of ``column`` they share with
+    any row outside their own: in sorted order that is a row next to the bucket."""
+    ends = rows.groupBy("gram", "bucket").agg(F.min(column).alias("first"), F.max(column).alias("last"))
+    order = Window.partitionBy("gram").orderBy("first", "last")
+    ends = ends.select("gram", "bucket", F.lag("last").over(order).alias("below"), F.lead("first").over(order).alias("above"))
+    ends = ends.where("below is not null or above is not null")
+
+    @F.pandas_udf("int")
+    def shared(own: pd.Series, below: pd.Series, above: pd.Series) -> pd.Series:
+        return pd.Series([max(_lcp(s, b), _lcp(s, a)) for s, b, a in zip(own, below, above)], dtype="int32")
+
+    return rows.join(ends, ["gram", "bucket"]).withColumn(name, shared(column, "below", "above")).drop("bucket", "edge", "below", "above")
+
+
 def _range_pass(length: int, step: int) -> Callable:
-    """(gram, context, low, high, hash, asks): hashes of the bytes every string of a range of offsets holds.
+    """(gram, context, low, high, hash, asks) of ranges of offsets on a fixed grid: hashes of the
+    bytes that every string of a range holds.
 
-    A range within what the row's own bucket has found matters to others only: the row does not ask,
-    and one row of each task speaks for all that hold the same bytes there.
+    Only offsets from ``low`` to ``high`` of the row can have partners elsewhere. Where the row knows
+    them already they matter to others only: it does not ask, and one row of each task speaks for all
+    that hold the same bytes there.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        told: set[tuple[int, int]] = set()
+        told: set[tuple[int, int, int]] = set()
         names = ("gram", "context", "before", "after", "least", "most", "low", "high")
         for batch in batches:
             out = []
             for g, c, before, after, least, most, low, high in zip(*(batch.column(k).to_pylist() for k in names)):
-                for o in range(low, high + 1, step):
-                    end = min(o + step - 1, high)
-                    if len(before) >= o and len(after) >= length - end:
-                        asks = not least <= o <= end <= most
-                        if not asks:
-                            same = (o, xxhash.xxh3_64_intdigest(before[:end][::-1] + after[: length - o], seed=end))
-                            if same in told:
-                                continue
-                            if len(told) > 1_000_000:
-                                told.clear()
-                            told.add(same)
-                        held = before[:o][::-1] + after[: length - end]
-                        out.append((g, c, o, end, xxhash.xxh3_64_intdigest(held, seed=o) - (1 << 63), int(asks)))
-            yield _rows(out, ["gram", "context", "low", "high", "hash", "asks"])
+                for o in range(low // step * step, high + 1, step):
+                    first, last = max(o, low), min(o + step - 1, high)
+                    asks = not least <= first <= last <= most
+                    if not asks:
+                        holds = before[:last][::-1] + after[: length - first]
+                        same = (first, last, xxhash.xxh3_64_intdigest(holds))
+                        if same in told:
+                            continue
+                        if len(told) > 1_000_000:
+                            told.clear()
+                        told.add(same)
+                    held = before[:o][::-1] + after[: max(0, length - o - step + 1)]
+                    out.append((g, c, o, xxhash.xxh3_64_intdigest(held, seed=o) - (1 << 63), first, last, int(asks)))
+            yield _rows(out, ["gram", "context", "at", "hash", "low", "high", "asks"])
 
     return run
 
 
-def _across(edges: DataFrame, length: int, gram: int) -> DataFrame:
-    """(gram, context, least, most) of rows at bucket ends, by ranges of offsets that shrink."""
+def _across(edges: DataFrame, length: int, gram: int, bucket_rows: int) -> DataFrame:
+    """(gram, context, least, most) of rows at bucket ends.
+
+    The rows are bucketed once more by what stands before the anchor. A partner outside both buckets
+    shares no more after the anchor than the first order's neighbours and no more before it than the
+    second's, which leaves few offsets; those are compared by ranges that shrink.
+    """
     names = ["gram", "context", "before", "after", "least", "most"]
-    across = edges.groupBy("gram").agg(F.min("bucket").alias("from"), F.max("bucket").alias("to")).where(F.col("from") < F.col("to"))
-    strings = stored(edges.join(across, "gram", "left_semi").select(*names), "edges")
-    ranges = strings.select(*names, F.lit(0).alias("low"), F.lit(length - gram).alias("high"))
+    strings = stored(_reach(edges, "after", "ahead"), "edges")
+    parts = max(1, -(-strings.count() // (bucket_rows // 8)))
+    order = ["gram", "before", "after"]
+    buckets = strings.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    kinds = "gram long, context long, before binary, after binary, least long, most long, ahead int, edge boolean, bucket long"
+    solved = stored(buckets.mapInPandas(_bucket_pass(length, gram, bucket_rows), kinds), "reversed")
+    low = F.greatest(F.lit(0), length - F.col("ahead"), length - F.octet_length("after"))
+    high = F.least(F.lit(length - gram), F.col("behind"))
+    both = _reach(solved, "before", "behind").select(*names, low.alias("low"), high.alias("high"))
+    strings = stored(both.where("low <= high"), "open")
+    ranges = strings
     for step in STEPS:
-        schema = "gram long, context long, low long, high long, hash long, asks long"
+        schema = "gram long, context long, at long, hash long, low long, high long, asks long"
         hashed = stored(ranges.mapInArrow(_range_pass(length, step), schema), "ranges")
         # ranges all of whose rows know the answer go; in the end only rows that ask need one
-        twice = hashed.groupBy("gram", "low", "hash").agg(F.count("*").alias("k"), F.max("asks").alias("asked"))
+        twice = hashed.groupBy("gram", "at", "hash").agg(F.count("*").alias("k"), F.max("asks").alias("asked"))
         twice = twice.where("k > 1 and asked = 1")
         open_ = hashed if step > 1 else hashed.where("asks = 1")
-        left = open_.join(twice, ["gram", "low", "hash"]).select("gram", "context", "low", "high")
+        left = open_.join(twice, ["gram", "at", "hash"]).select("gram", "context", "low", "high")
         if step > 1:
-            ranges = left.join(strings, ["gram", "context"]).select(*names, "low", "high")
-    return left.groupBy("gram", "context").agg(F.min("low").alias("least"), F.max("low").alias("most"))
+            ranges = left.join(strings.drop("low", "high"), ["gram", "context"]).select(*names, "low", "high")
+    found = left.groupBy("gram", "context").agg(F.min("low").alias("least"), F.max("low").alias("most"))
+    return found.union(solved.where("most >= 0").select("gram", "context", "least", "most"))
 
 
 def _removal_pass(length: int, gram: int) -> Callable:
@@ -332,7 +372,7 @@ def suffix_dedup(
     solved = stored(solved, "buckets")
     inside = solved.where("most >= 0").select("gram", "context", "least", "most")
     if parts > 1:
-        inside = inside.union(_across(solved.where("edge"), length, gram))
+        inside = inside.union(_across(solved.where("edge"), length, gram, bucket_rows))
     inside = inside.groupBy("gram", "context").agg(F.min("least").alias("least"), F.max("most").alias("most"))
 
     whole = classes.where("n > 1").select("gram", "context", F.lit(length).alias("back"), F.lit(length).alias("ahead"))
