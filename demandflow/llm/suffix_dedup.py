@@ -367,11 +367,12 @@ def suffix_dedup(
     suffixes = texts.join(wanted, "id").mapInArrow(_suffix_pass(length, gram), schema).dropDuplicates(["gram", "context"])
     suffixes = stored(suffixes, "suffixes")
     parts = max(1, -(-suffixes.count() // (bucket_rows // 8)))
-    buckets = suffixes.repartitionByRange(parts, "after", "before").sortWithinPartitions("after", "before") if parts > 1 else suffixes
+    # also where parts is 1: the stored files are dealt by hash, partners lie in different ones
+    buckets = suffixes.repartitionByRange(parts, "after", "before").sortWithinPartitions("after", "before")
     solved = buckets.mapInPandas(_bucket_pass(length, gram, bucket_rows), f"{schema}, least long, most long, edge boolean, bucket long")
     solved = stored(solved, "buckets")
     inside = solved.where("most >= 0").select("gram", "context", "least", "most")
-    if parts > 1:
+    if solved.agg(F.min("bucket") < F.max("bucket")).first()[0]:
         inside = inside.union(_across(solved.where("edge"), length, gram, bucket_rows))
     inside = inside.groupBy("gram", "context").agg(F.min("least").alias("least"), F.max("most").alias("most"))
 

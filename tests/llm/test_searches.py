@@ -46,6 +46,22 @@ def test_suffix_dedup(spark, bucket_rows):
     assert suffix_dedup(docs.limit(0)).count() == 0
 
 
+def test_suffix_dedup_one_bucket_of_several_files(spark):
+    draw = random.Random(11)
+    text = lambda n: "".join(draw.choice("abcdefgh ") for _ in range(n))
+    # every text has its own surroundings, so all contexts of a passage differ and fall in any file
+    passages = [text(draw.randint(200, 330)) for _ in range(20)]
+    texts = [text(draw.randint(150, 250)) + p + text(draw.randint(150, 250)) for p in passages for _ in range(2)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    was = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r.id: (r.n_bytes, r.n_removed, len(r.spans), r.kept_sha256) for r in suffix_dedup(docs).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", was)
+    assert [got[k] for k in range(len(texts))] == removed(texts)
+
+
 def test_embedding_dedup(spark):
     draw = np.random.default_rng(5)
     centres = draw.standard_normal((30, 32))
