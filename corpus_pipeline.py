@@ -35,8 +35,10 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per chosen copy; every document is chosen at least once."""
-    chosen = mixing.mix(docs).select("key", F.col("source").alias("of"))
+    """One row per chosen copy; every document is chosen at least once. Weights are in the tokens that
+    packing counts."""
+    counted = packing.with_tokens(docs.select("doc_id", "source", "text"))
+    chosen = mixing.mix(counted, tokens=F.col("tokens")).select("key", F.col("source").alias("of"))
     rows = docs.select(*COLUMNS).withColumn("key", mixing.row_key())
     same = (rows["key"] == chosen["key"]) & rows["source"].eqNullSafe(chosen["of"])
     return rows.join(chosen, same).select(*[rows[c] for c in COLUMNS])

@@ -15,6 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from demandflow.llm.common import stored
 
@@ -132,6 +133,22 @@ def pieces(
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, PIECES)
 
 
+def with_tokens(docs: DataFrame, json_path: str | None = None, ranks_path: str | None = None, text_col: str = "text") -> DataFrame:
+    """``docs`` with a column ``tokens``: what ``pieces`` counts for the text, its end token included."""
+    json_path = json_path or public_path("byte_bpe_50k.json")
+    ranks_path = ranks_path or public_path("byte_bpe_50k.tiktoken")
+    rows = docs.drop("tokens")
+    at, names = rows.columns.index(text_col), [*rows.columns, "tokens"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = token_bytes(json_path, ranks_path)
+        for batch in batches:
+            tokens = [len(encode(text.as_py() or "")) // 4 + 1 for text in batch.column(at)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tokens, pa.int64())], names)
+
+    return rows.mapInArrow(run, StructType([*rows.schema, StructField("tokens", LongType())]))
+
+
 def differencing(lengths: list[int], ways: int) -> list[list[int]]:
     """Karmarkar-Karp: split items into ``ways`` sets of near-equal sums, as lists of item numbers.
 

@@ -68,7 +68,7 @@ def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mixing.mix(docs).withColumnRenamed("key", "doc_id")
+    return mixing.mix(packing.with_tokens(docs), tokens=F.col("tokens")).withColumnRenamed("key", "doc_id")
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,8 +4,8 @@ import math
 import random
 
 import corpus_pipeline
-from demandflow.llm import language, mixing, toxicity
-from demandflow.llm.queries import _held_out, op2_language, op10_toxicity
+from demandflow.llm import language, mixing, packing, toxicity
+from demandflow.llm.queries import _held_out, op2_language, op9_mixing, op10_toxicity
 from pyspark.sql import functions as F
 
 FOLDER = "/root/testdata/sf0.01"
@@ -76,6 +76,23 @@ def test_mixing(spark):
     assert mixing.mix(odd).count() == 2 and mixing.mix(odd.limit(0)).count() == 0
 
 
+def test_mixing_counts_tokens_of_packing(spark, tmp_path):
+    draw = random.Random(8)
+    texts = [("words", " ".join(draw.choice(["the", "house", "international", "document"]) for _ in range(60))) for _ in range(400)]
+    texts += [("digits", " ".join(str(draw.randrange(10**9)) for _ in range(20))) for _ in range(100)]
+    texts += [("kana", "".join(chr(draw.randrange(0x3041, 0x3097)) for _ in range(60))) for _ in range(100)] + [("kana", None), ("kana", "")]
+    rows = [(k, t, "en", s, 1) for k, (s, t) in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    want = {r.id: r.doc_tokens for r in packing.pieces(docs).collect()}
+    out = op9_mixing(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in out} == set(want) and all(r.tokens == want[r.doc_id] for r in out)
+    weights, tokens = {r.source: r.weight for r in out}, {}
+    for r in corpus_pipeline.mixing_stage(spark, docs, FOLDER).collect():
+        tokens[r.source] = tokens.get(r.source, 0) + want[r.doc_id]
+    assert all(abs(n / sum(tokens.values()) - weights[s]) < 0.01 for s, n in tokens.items())
+
+
 def test_pipeline_stages(spark):
     line = "A line of more than forty characters that many documents share"
     body = lambda k: " ".join(f"word{k}x{j}" for j in range(60))
