@@ -20,6 +20,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,9 +41,10 @@ class CapFilters:
         self.parts = list(zip(edges[:-1], edges[1:]))
         self.codes = []
         for a, b in self.parts:
-            code = draw.standard_normal((b - a, self.books))
+            # parts of short vectors may be empty or one number, which has two directions
+            code = draw.standard_normal((b - a, self.books)) if b - a > 1 else np.array([[-1.0, 1.0]] if b > a else np.empty((0, 1)))
             self.codes.append(code / np.maximum(np.linalg.norm(code, axis=0), 1e-300))
-        self.per_vector = min(per_vector, self.books**BLOCKS)
+        self.per_vector = min(per_vector, math.prod(code.shape[1] for code in self.codes))
 
     def _halves(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         turned = unit @ self.rotation
@@ -68,20 +70,31 @@ class CapFilters:
         return np.take_along_axis(sums, at, axis=1), at
 
 
-def _decode_pass(caps: CapFilters) -> Callable:
+def _decode_pass(counts: dict[int, int], per_vector: int) -> Callable:
+    """Filters of each vector, of its own length's books; ``counts`` has the vectors of each length.
+    Where they are no more than a block, all share one filter and are compared whole."""
+
+    def whole(unit: np.ndarray) -> list[np.ndarray]:
+        return [np.zeros(1, np.int64)] * len(unit)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made: tuple[int, Callable] = (0, whole)
         for batch in batches:
-            for k in range(0, batch.num_rows, 2000):
-                part = batch.slice(k, 2000)
+            lengths = np.asarray(pc.list_value_length(batch.column(2)))
+            parts = (batch.take(pa.array(np.flatnonzero(lengths == dim))) for dim in np.unique(lengths))
+            for part in (p.slice(k, 2000) for p in parts for k in range(0, p.num_rows, 2000)):
                 node, copies, vectors = (part.column(i) for i in range(3))
+                dim = len(vectors[0])
+                if made[0] != dim:
+                    made = dim, CapFilters(dim, counts[dim], per_vector).decode if counts[dim] > BLOCK else whole
                 unit = _unit(vectors)
-                filters = caps.decode(unit)
+                filters = made[1](unit)
                 n = np.array([len(f) for f in filters])
                 rows = pa.array(np.repeat(np.arange(len(n)), n))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(filters)), node.take(rows), copies.take(rows), vectors.take(rows),
+                    [pa.array(np.full(len(rows), dim, np.int32)), pa.array(np.concatenate(filters)), node.take(rows), copies.take(rows), vectors.take(rows),
                      pa.array(filters, pa.list_(pa.int64())).take(rows)],
-                    ["filter", "node", "copies", "vector", "filters"],
+                    ["dim", "filter", "node", "copies", "vector", "filters"],
                 )
 
     return run
@@ -94,7 +107,7 @@ def _unit(vectors: pa.Array) -> np.ndarray:
 
 
 def _compare_pass(threshold: float) -> Callable:
-    """Runs of one (filter, left, right) become (node, links, label)."""
+    """Runs of one (dim, filter, left, right) become (node, links, label)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carried: pa.Table | None = None
@@ -109,7 +122,7 @@ def _compare_pass(threshold: float) -> Callable:
             yield from compare(carried, np.r_[_starts(carried), carried.num_rows])
 
     def _starts(table: pa.Table) -> np.ndarray:
-        keys = np.stack([table.column(c).to_numpy() for c in ("filter", "left", "right")])
+        keys = np.stack([table.column(c).to_numpy() for c in ("dim", "filter", "left", "right")])
         return np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)])
 
     def compare(table: pa.Table, firsts: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -168,19 +181,18 @@ def embedding_dedup(
 ) -> DataFrame:
     """(id, n_links, component_id, kept) per row: links are pairs with cosine >= ``threshold``.
 
-    Vectors that are null, zero, or hold null or non-finite values link with nothing; so do those
-    whose length is not the most common one, and rows with a null id (their component is null).
-    Repeated rows are vectors of their own. Other columns are ignored. Found links are exact; the
+    Vectors that are null, zero, or hold null or non-finite values link with nothing; so do rows with
+    a null id (their component is null). Vectors link with those of their own length. Repeated rows are vectors of their own. Other columns are ignored. Found links are exact; the
     filters find nearly all pairs (see the recall test).
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"))
     odd = F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     usable = F.col("id").isNotNull() & F.col("vector").isNotNull() & ~odd & F.exists("vector", lambda x: x != 0)
     sizes = rows.where(usable).groupBy(F.size("vector").alias("dim")).agg(F.count("*").alias("n"))
-    common = sizes.orderBy(F.desc("n"), "dim").first()
-    if common is None:
+    counts = {r.dim: r.n for r in sizes.collect()}  # one row for each length
+    if not counts:
         return rows.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.col("id").isNotNull().alias("kept"))
-    usable = F.coalesce(usable & (F.size("vector") == common.dim), F.lit(False))
+    usable = F.coalesce(usable, F.lit(False))
     keyed = rows.withColumn("usable", usable).select(
         "id", "vector", F.when(F.col("usable"), F.xxhash64("vector")).alias("h1"),
         F.when(F.col("usable"), F.xxhash64(F.lit(1), "vector")).alias("h2"),
@@ -191,20 +203,19 @@ def embedding_dedup(
         ),
         "vectors",
     )
-    caps = CapFilters(common.dim, common.n, per_vector)
     kind = nodes.schema["vector"].dataType.simpleString()
-    schema = f"filter long, node long, copies long, vector {kind}, filters array<long>"
+    schema = f"dim int, filter long, node long, copies long, vector {kind}, filters array<long>"
     # an id with two vectors would be two nodes of one name: number nodes by hash, name them at the end
-    held = stored(nodes.select("h1", "copies", "vector").mapInArrow(_decode_pass(caps), schema), "filters")
-    counts = held.groupBy("filter").agg(F.count("*").alias("held")).where("held > 1")
-    sized = held.join(counts, "filter").withColumn("blocks", F.ceil(F.col("held") / block).cast("int"))
+    held = stored(nodes.select("h1", "copies", "vector").mapInArrow(_decode_pass(counts, per_vector), schema), "filters")
+    shared = held.groupBy("dim", "filter").agg(F.count("*").alias("held")).where("held > 1")
+    sized = held.join(shared, ["dim", "filter"]).withColumn("blocks", F.ceil(F.col("held") / block).cast("int"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     others = F.sequence(F.lit(0), F.col("blocks") - 1)
     dealt = sized.withColumn("block", own).select("*", F.explode(others).alias("other")).select(
-        "filter", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"),
+        "dim", "filter", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"),
         "block", "node", "copies", "vector", "filters",
     )
-    key = ["filter", "left", "right"]
+    key = ["dim", "filter", "left", "right"]
     solved = dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(
         _compare_pass(threshold), "node long, links long, label long"
     )

@@ -7,6 +7,7 @@ import re
 import numpy as np
 import pytest
 
+from demandflow.llm import embedding_dedup as embedding_module
 from demandflow.llm import fingerprint, pii
 from demandflow.llm.embedding_dedup import embedding_dedup
 from demandflow.llm.suffix_dedup import suffix_dedup
@@ -80,6 +81,25 @@ def test_embedding_dedup(spark):
     assert embedding_dedup(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+@pytest.mark.parametrize("whole", [1024, 4])
+def test_embedding_dedup_of_mixed_lengths(spark, monkeypatch, whole):
+    monkeypatch.setattr(embedding_module, "BLOCK", whole)
+    draw = np.random.default_rng(9)
+    vectors = []
+    for dim, groups in ((32, 20), (48, 6), (7, 4), (2, 3), (1, 2)):
+        for centre in draw.standard_normal((groups, dim)):
+            vectors += [(centre + 0.1 * draw.standard_normal(dim)).astype("float32") for _ in range(5)]
+    vectors += [vectors[-1], vectors[110], vectors[110]]
+    rows = [(k, v.tolist()) for k, v in enumerate(vectors)]
+    got = {r.id: r for r in embedding_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()}
+    unit = [v.astype(float) / np.linalg.norm(v.astype(float)) for v in vectors]
+    want = [sum(len(u) == len(v) and u @ v >= 0.95 for u in unit) - 1 for v in unit]
+    for dim in (1, 2, 7, 32, 48):
+        found = [(got[k].n_links, want[k]) for k in range(len(unit)) if len(unit[k]) == dim]
+        assert all(f <= w for f, w in found) and sum(f for f, _ in found) >= (0.97 if dim > 7 or whole > 4 else 0.85) * sum(w for _, w in found) > 0, dim
+    assert got[110].n_links >= 2 and got[len(rows) - 1].component_id == got[110].component_id <= 110
+
+
 BRUTE = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
     "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
