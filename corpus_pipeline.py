@@ -12,11 +12,10 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the learned languages stay; null texts and texts without letters go, and
-    so do those no language claims by more than half."""
+    """Documents in one of the learned languages stay, also short ones that several share; null texts
+    and texts without letters go."""
     found = language.identify(docs, language.fit(docs, F.lit(True)))
-    known = (F.col("language.lang_pred") != language.UNKNOWN) & (F.col("language.score") > 0.5)
-    return found.where(known).select(*COLUMNS)
+    return found.where(F.col("language.lang_pred") != language.UNKNOWN).select(*COLUMNS)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,11 +25,15 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group stays; rows that repeat an id are one document,
-    rows without an id all stay."""
-    joined = ngram_join.ngram_join(docs, width=5, percent=80)
-    keep = joined.where("id = component_id").select(F.col("id").alias("doc_id")).distinct()
-    kept = docs.select(*COLUMNS).join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """The document with the smallest id of each group stays; rows with equal id and text are one
+    document, an id with different texts is several, rows without an id all stay."""
+    # the join names documents by one number, which ids that repeat are not
+    named = docs.select(*COLUMNS).where("doc_id is not null").withColumn("row", F.xxhash64("doc_id", "text"))
+    joined = ngram_join.ngram_join(named.select("row", "text"), width=5, percent=80, id_col="row")
+    groups = joined.select(F.col("id").alias("row"), "component_id").distinct()
+    ids = named.select("row", "doc_id").distinct().join(groups, "row")
+    keep = ids.groupBy("component_id").agg(F.min(F.struct("doc_id", "row")).alias("first")).select("first.row")
+    kept = named.join(keep, "row", "left_semi").dropDuplicates(["doc_id", "text"])
     return kept.select(*COLUMNS).union(docs.where("doc_id is null").select(*COLUMNS))
 
 

@@ -110,3 +110,19 @@ def test_pipeline_stages(spark):
         assert ids == expected, name
         if name == "line_dedup":
             assert kept.where(F.col("text").contains(line)).select("doc_id").collect() == [(11,)] or kept.where(F.col("text").contains(line)).count() == 2
+
+
+def test_pipeline_loses_no_clean_document(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    # one word that three languages share, and no text says more about it
+    rows = [(10 * k + n, f"{word} alpha", lang, "s", 1) for k in range(3) for n, (lang, word) in enumerate([("en", "tree"), ("de", "baum"), ("fr", "arbre")])]
+    docs = spark.createDataFrame([*rows, (90, "alpha", "en", "s", 1), (91, "12 34", "en", "s", 1)], schema)
+    kept = {r.doc_id for r in corpus_pipeline.language_stage(spark, docs, FOLDER).collect()}
+    assert kept == {r[0] for r in rows} | {90}
+
+    text = lambda name: " ".join(f"{name}{j}" for j in range(60))
+    rows = [(5, text("a")), (5, text("b")), (5, text("a")), (5, None), (5, ""), (3, text("b") + " end"), (7, text("a") + " end"), (8, text("c")), (None, text("c")), (None, text("c"))]
+    docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in rows], schema)
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicate_stage(spark, docs, FOLDER).collect()]
+    want = [(5, text("a")), (5, None), (5, ""), (3, text("b") + " end"), (8, text("c")), (None, text("c")), (None, text("c"))]
+    assert sorted(kept, key=repr) == sorted(want, key=repr)
