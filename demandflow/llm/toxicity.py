@@ -13,6 +13,7 @@ power of one matrix: marginals are those of the whole chain, at the cost of the
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -34,6 +35,7 @@ STRETCH = 5
 GAPS = 2048
 CACHE = 300_000
 COPY_SEEDS = (1, 2, 3)
+COPY = 0.8
 PER_TEXT = 12
 
 
@@ -112,17 +114,28 @@ class ToxicityModel:
 
 
 def _apart(texts: list[str]) -> list[int]:
-    """One text of each group of copies, exact or near, so that what copies share is counted once."""
-    seen: list[set] = [set() for _ in COPY_SEEDS]
-    out = []
+    """One text of each group of copies, exact or near, so that what copies share is counted once.
+    Equal marks only propose a copy; texts that merely share a passage all stay."""
+    seen: list[dict[int, list[int]]] = [{} for _ in COPY_SEEDS]
+    out: dict[int, np.ndarray] = {}
     for k, text in enumerate(texts):
         shingles = shingle_set(text.encode(), 3)
         marks = [int(splitmix(shingles ^ np.uint64(seed)).min()) if len(shingles) else 0 for seed in COPY_SEEDS]
-        if not any(mark in held for mark, held in zip(marks, seen)):
-            out.append(k)
+        proposed = {at for mark, held in zip(marks, seen) for at in held.get(mark, ())}
+        if any(_similar(shingles, out[at]) for at in proposed):
+            continue
+        out[k] = shingles
         for mark, held in zip(marks, seen):
-            held.add(mark)
-    return out
+            held.setdefault(mark, []).append(k)
+    return list(out)
+
+
+def _similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Jaccard similarity of ``COPY`` or more; sets without shingles are equal."""
+    if min(len(a), len(b)) < COPY * max(len(a), len(b)):
+        return False
+    both = len(np.intersect1d(a, b))
+    return both >= COPY * (len(a) + len(b) - both)
 
 
 def lean_features(texts: list[str], toxic: list[bool], most: int = FEATURES) -> tuple[dict[str, float], set[str]]:
@@ -168,13 +181,15 @@ def train(texts: list[str], toxic: list[bool], rounds: int = 100, most: int = FE
 
 def _stretches(texts: list[str], toxic: list[bool], number: dict, sure: set) -> tuple[list, list]:
     """Feature numbers and tags of stretches of equal length; the middle word has features, or comes
-    from a text without any."""
+    from a text without any. A text gives ``PER_TEXT`` at most, drawn by hash from all its places."""
     rows, tags = [], []
     for text, label in zip(texts, toxic):
         found = [features(w) for w in WORD.findall(text.lower())]
         held = [[number[f] for f in fs if f in number] for fs in found]
         tagged = [int(label and any(f in sure for f in fs)) for fs in found]
-        middles = [k for k, h in enumerate(held) if h][:PER_TEXT] or ([len(held) // 2] if held else [])
+        places = np.array([k for k, h in enumerate(held) if h], np.uint64)
+        drawn = np.argsort(splitmix(places + np.uint64(zlib.crc32(text.encode()))))[:PER_TEXT]
+        middles = sorted(places[drawn].astype(int).tolist()) or ([len(held) // 2] if held else [])
         for k in middles:
             lo, hi = k - STRETCH, k + STRETCH + 1
             left, right = max(0, -lo), max(0, hi - len(held))

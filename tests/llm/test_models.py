@@ -55,6 +55,14 @@ def test_toxic_spans(spark):
     assert toxicity.train(["a b"], [False]).tagger()("a b") == []
 
 
+def test_toxicity_learns_from_whole_texts_and_drops_only_copies():
+    rows, _ = toxicity._stretches(["a " * 200 + "b " * 200], [True], {"=a": 0, "=b": 1}, {"=a"})
+    assert len(rows) == toxicity.PER_TEXT and {f for r in rows for w in r for f in w} == {0, 1}
+    passage = " ".join(f"license{j}" for j in range(100))
+    texts = [passage + "".join(f" own{k}x{j}" for j in range(60)) for k in range(6)]
+    assert toxicity._apart([*texts, texts[2], texts[3] + " end", "", ""]) == [*range(6), 8]
+
+
 def test_mixing(spark):
     rows = [(k, "a" if k % 3 else ("b" if k % 2 else None), "x" * (10 + k % 90), 0.0) for k in range(6000)]
     docs = spark.createDataFrame(rows, "doc_id long, source string, text string, weight double")
