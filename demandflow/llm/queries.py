@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandflow.llm import (
-    embedding_dedup, fingerprint, language, line_dedup, mixing, ngram_join, packing, pii, spelling, suffix_dedup, toxicity,
+    alignment, embedding_dedup, fingerprint, language, line_dedup, mixing, ngram_join, packing, pii, spelling, suffix_dedup, toxicity,
 )
 
 
@@ -80,6 +80,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokens(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
 
@@ -95,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprint": op8_fingerprint,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
+    "op11_alignment": op11_alignment,
     "op12_spelling": op12_spelling,
 }
 
