@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandflow.llm import (
-    alignment, embedding_dedup, fingerprint, language, line_dedup, mixing, ngram_join, packing, pii, spelling, suffix_dedup, toxicity,
+    alignment, embedding_dedup, fingerprint, html_content, language, line_dedup, mixing, ngram_join, packing, pii, spelling, suffix_dedup, toxicity,
 )
 
 
@@ -88,6 +88,10 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
 
 
+def op13_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_content.extract_text(_table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id").drop("host")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_language": op2_language,
@@ -101,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
     "op11_alignment": op11_alignment,
     "op12_spelling": op12_spelling,
+    "op13_html": op13_html,
 }
 
 
