@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from demandflow.operators.dimensions import checked_broadcast
+from demandflow.operators.promotions import PromoSteps, discount_steps, measured
 from demandflow.operators.series import weekly_demand
 from demandflow.plans import gold
 from demandflow.plans.actions import action_list, upsert_status
-from demandflow.plans.features import build_features
+from demandflow.plans.features import FEATURE_DISCOUNTS, build_features
 from demandflow.plans.forecast import score, uplift_predictor
 from demandflow.schemas import LANDING_SCHEMAS
 from demandflow.session import run_folder, use_utc
@@ -213,7 +214,7 @@ class Retail:
         return gold.fact_transactions(self.typed("transactions"), self.products)
 
     def features_plan(self, rows: str = "all") -> DataFrame:
-        return build_features(self.weekly, self.promos(), self.stores, self.products, rows)
+        return build_features(self.weekly, self.promo_steps, self.stores, self.products, rows)
 
     def forecast_plan(self) -> DataFrame:
         return score(self.features_plan("future"), uplift_predictor, MODEL_VERSION)
@@ -235,6 +236,10 @@ class Retail:
     def promos(self, as_of: date = FORECAST_AS_OF) -> DataFrame:
         return gold.fact_promotions(self.promotions, F.lit(as_of))
 
+    @cached_property
+    def promo_steps(self) -> PromoSteps:
+        return measured(self._written("promotion_steps", discount_steps(self.promos(), FEATURE_DISCOUNTS)))
+
     @cached_property
     def fact(self) -> DataFrame:
         return self._written("fact_transactions", self.fact_plan())

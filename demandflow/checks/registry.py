@@ -128,7 +128,7 @@ def feature_upsert(r: Retail) -> DataFrame:
     Forecast rows of the earlier run stay where the series had no sale in that week."""
     cutoff = F.date_sub(series.data_end(r.weekly).scalar(), 7 * series.HORIZON_WEEKS)
     earlier = features.build_features(
-        r.weekly.where(F.col("week") <= cutoff), r.promos(), r.stores, r.products
+        r.weekly.where(F.col("week") <= cutoff), r.promo_steps, r.stores, r.products
     )
     return features.upsert_features(earlier, r.features)
 
@@ -297,7 +297,7 @@ def promo_calendar(r: Retail) -> DataFrame:
 @query
 def promo_features_history(r: Retail) -> DataFrame:
     rows = with_region_and_category(series.keep_valid_pairs(r.weekly), r.stores, r.products)
-    return features.add_promo_features(rows, features.past_promos(r.promos()))
+    return features.add_promo_features(rows, r.promo_steps, "past_discount")
 
 
 @named("daily_best_discount")
@@ -305,8 +305,7 @@ def daily_best_discount_query(r: Retail) -> DataFrame:
     sales = with_region_and_category(
         r.fact.select("transaction_id", "sku", "store_id", "date_id"), r.stores, r.products
     )
-    running = features.past_promos(r.promos())
-    return daily_best_discount(sales, running, "date_id")
+    return daily_best_discount(sales, r.promo_steps, "date_id", "past_discount")
 
 
 @named("promo_phase_counts")
@@ -330,7 +329,7 @@ def discounted_price_query(r: Retail) -> DataFrame:
     sales = with_region_and_category(
         r.fact.select("transaction_id", "sku", "store_id", "date_id"), r.stores, r.products
     )
-    matched = daily_best_discount(sales, features.past_promos(r.promos()), "date_id")
+    matched = daily_best_discount(sales, r.promo_steps, "date_id", "past_discount")
     priced = matched.join(r.products.select("sku", "unit_price"), "sku")
     return priced.select(
         "transaction_id", "sku", "unit_price", "discount_float",
@@ -601,7 +600,7 @@ def top_stores_at_risk(r: Retail) -> DataFrame:
 
 @query
 def discount_vs_quantity(r: Retail) -> DataFrame:
-    return questions.discount_vs_quantity(r.fact, features.past_promos(r.promos()), r.stores, r.products)
+    return questions.discount_vs_quantity(r.fact, r.promo_steps, r.stores, r.products, "past_discount")
 
 
 @query

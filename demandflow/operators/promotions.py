@@ -2,16 +2,21 @@
 
 A promotion applies to a row when its dates overlap the row's period and it names the row's
 product or category and the row's store or region. Tested pair by pair that is a nested loop.
-Here every promotion is spread over the periods it touches and reduced to the best discount per
-(period, item, scope); a row then needs four equality lookups, and no row is ever multiplied.
+Here a sweep over the start and end dates flattens the promotions of one (item, scope) into
+disjoint steps with their best discount, kept span by span. A row then needs four equality
+lookups, each of which finds at most one span of steps, and no row is ever multiplied.
 """
 
 from __future__ import annotations
 
+from datetime import date
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandflow.functions.calendar import week_start
+from demandflow.operators.dimensions import fits_broadcast
 
 # (promotion column, row column) for the two ways to name an item and the two ways to name a scope
 ITEM_TARGETS = (("target_sku", "sku"), ("target_category", "category"))
@@ -31,42 +36,117 @@ def explode_promos(promos: DataFrame, grain: str = "week", period: str = "period
     return usable.withColumn(period, F.explode(days))
 
 
-def attach_best_discounts(
-    df: DataFrame, promos: DataFrame, period: str, grain: str, discounts: dict[str, Column]
-) -> DataFrame:
-    """Add one column per entry of ``discounts``: the best matching value of that expression.
+# Steps are kept by spans of whole weeks, which bounds them: a span has at most 91 days, so at most
+# 91 steps, and at most 91 * 92 / 2 different intervals, however many promotions a key has.
+SPAN_DAYS = 91
+FIRST_MONDAY = date(1900, 1, 1)
+# Promotions without an end in sight do not make spans beyond these years.
+FIRST_DAY, LAST_DAY = date(1900, 1, 1), date(2199, 12, 31)
+
+
+class PromoSteps(NamedTuple):
+    """Discount steps, and whether they were measured to be small enough to broadcast."""
+
+    rows: DataFrame
+    small: bool = False
+
+
+def span_of(day: Column) -> Column:
+    """Number of the span a day is in; a week never straddles two."""
+    return F.floor(F.date_diff(day, F.lit(FIRST_MONDAY)) / SPAN_DAYS).cast("int")
+
 
-    ``df`` needs sku, category, store_id, region and ``period``. The expressions are over the
-    promotion columns; no match gives NULL. The calendars are grouped on the lookup keys, so
-    each join finds at most one row. Their size is left to Spark: broadcast while small,
-    shuffled and skew-split beyond that.
+def discount_steps(promos: DataFrame, discounts: dict[str, str] | None = None) -> DataFrame:
+    """(item_kind, item, scope_kind, scope, span, steps): for every item and scope that promotions name,
+    the disjoint date steps of a span, each with the best value of every SQL expression of ``discounts``.
+
+    A promotion becomes one interval per span it touches, cut to the span. Equal intervals are
+    reduced to their best values before they are shuffled, so a hot (item, scope) costs no more than
+    the dates of a span allow. The sweep over the dates runs inside the row of its span.
     """
-    calendar = explode_promos(promos, grain, "__period")
-    out = df
-    for i, (item_target, item) in enumerate(ITEM_TARGETS):
-        for j, (scope_target, scope) in enumerate(SCOPE_TARGETS):
-            best = (
-                calendar.where(F.col(item_target).isNotNull() & F.col(scope_target).isNotNull())
-                .groupBy(
-                    F.col("__period").alias(period),
-                    F.col(item_target).alias(item),
-                    F.col(scope_target).alias(scope),
-                )
-                .agg(*[F.max(value).alias(f"__{name}_{i}{j}") for name, value in discounts.items()])
+    discounts = discounts or {"discount_pct": "discount_pct"}
+    start, end = F.greatest("promo_start_date", F.lit(FIRST_DAY)), F.least("promo_end_date", F.lit(LAST_DAY))
+    targets = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("item_kind"), F.col(item).alias("item"), F.lit(j).alias("scope_kind"), F.col(scope).alias("scope"))
+        for i, (item, _) in enumerate(ITEM_TARGETS) for j, (scope, _) in enumerate(SCOPE_TARGETS)
+    ]))
+    usable = promos.where("promo_end_date >= promo_start_date").select(
+        targets.alias("target"), start.alias("first"), end.alias("last"), *[F.expr(v).alias(k) for k, v in discounts.items()]
+    )
+    keys = ["item_kind", "item", "scope_kind", "scope"]
+    named = usable.select("target.*", "first", "last", *discounts).where("item IS NOT NULL AND scope IS NOT NULL AND last >= first")
+    spans = named.withColumn("span", F.explode(F.sequence(span_of(F.col("first")), span_of(F.col("last")))))
+    opens = F.date_add(F.lit(FIRST_MONDAY), F.col("span") * SPAN_DAYS)
+    cut = spans.withColumns({"first": F.greatest("first", opens), "last": F.least("last", F.date_add(opens, SPAN_DAYS - 1))})
+    intervals = cut.groupBy(*keys, "span", "first", "last").agg(*[F.max(name).alias(name) for name in discounts])
+    gathered = intervals.groupBy(*keys, "span").agg(F.collect_list(F.struct("first", "last", *discounts)).alias("intervals"))
+    return gathered.select(*keys, "span", _sweep(F.col("intervals"), list(discounts)).alias("steps"))
+
+
+def _sweep(intervals: Column, names: list[str]) -> Column:
+    """Between two neighbouring boundaries the same intervals run; the step takes their best values."""
+    boundaries = F.array_sort(F.array_distinct(F.concat(
+        F.transform(intervals, lambda x: x["first"]), F.transform(intervals, lambda x: F.date_add(x["last"], 1))
+    )))
+
+    def step(first: Column, at: Column) -> Column:
+        running = F.filter(intervals, lambda x: (x["first"] <= first) & (x["last"] >= first))
+        best = [F.array_max(F.transform(running, lambda x: x[name])).alias(name) for name in names]
+        last = F.date_sub(F.get(boundaries, at + 1), 1)
+        return F.struct(first.alias("first"), last.alias("last"), *best)
+
+    steps = F.transform(boundaries, step)
+    return F.filter(steps, lambda x: F.coalesce(*[x[name] for name in names]).isNotNull())
+
+
+def measured(rows: DataFrame) -> PromoSteps:
+    """Steps that were written as a table; measuring reads them."""
+    return PromoSteps(rows, fits_broadcast(rows))
+
+
+def as_steps(promos: DataFrame | PromoSteps, discounts: dict[str, str] | None = None) -> PromoSteps:
+    """Promotions are flattened in the plan that uses them; steps are taken as they are."""
+    return promos if isinstance(promos, PromoSteps) else PromoSteps(discount_steps(promos, discounts))
+
+
+def lookup_discounts(df: DataFrame, steps: PromoSteps, period: str, days: int, names: list[str]) -> DataFrame:
+    """Add the columns ``names`` of the steps: the best of the steps that touch the ``days`` days from
+    ``period`` on. ``df`` needs sku, category, store_id, region; no match gives NULL.
+
+    A period must not straddle two spans: a day, or a week from its Monday. Steps measured
+    to be small are broadcast; others are joined by sorting, whatever Spark believes their size to be.
+    """
+    day = F.col(period)
+    out = df.withColumn("__span", span_of(day))
+    for i, (_, item) in enumerate(ITEM_TARGETS):
+        for j, (_, scope) in enumerate(SCOPE_TARGETS):
+            side = steps.rows.where((F.col("item_kind") == i) & (F.col("scope_kind") == j)).select(
+                F.col("span").alias("__span"), F.col("item").alias(item), F.col("scope").alias(scope), F.col("steps").alias(f"__{i}{j}")
             )
-            out = out.join(best, [period, item, scope], "left")
-    picked = {
-        name: F.greatest(*[F.col(f"__{name}_{i}{j}") for i in range(2) for j in range(2)])
-        for name in discounts
-    }
-    return out.select(*[F.col(c) for c in df.columns], *[v.alias(k) for k, v in picked.items()])
-
-
-def daily_best_discount(df: DataFrame, promos: DataFrame, day: str) -> DataFrame:
-    """Best discount running on the row's day, 0.0 when none; ``is_promoted`` when above zero."""
-    matched = attach_best_discounts(df, promos, day, "day", {"discount_float": F.col("discount_pct")})
-    discount = F.coalesce("discount_float", F.lit(0.0))
-    return matched.withColumns({"discount_float": discount, "is_promoted": (discount > 0).cast("int")})
+            out = out.join(F.broadcast(side) if steps.small else side.hint("merge"), ["__span", item, scope], "left")
+
+    def best(name: str) -> Column:
+        found = []
+        for i in range(2):
+            for j in range(2):
+                touching = F.filter(f"__{i}{j}", lambda x: (x["first"] <= F.date_add(day, days - 1)) & (x["last"] >= day))
+                found.append(F.array_max(F.transform(touching, lambda x: x[name])))
+        return F.greatest(*found)
+
+    return out.select(*df.columns, *[best(name).alias(name) for name in names])
+
+
+def daily_best_discount(df: DataFrame, promos: DataFrame | PromoSteps, day: str, value: str = "discount_pct") -> DataFrame:
+    """Best discount running on the row's day, 0.0 when none; ``is_promoted`` when above zero.
+
+    Many sales share a product, store and day: each is looked up once and joined back.
+    """
+    asked = ["sku", "category", "store_id", "region", day]
+    known = lookup_discounts(df.select(*asked).distinct(), as_steps(promos), day, 1, [value])
+    answers = known.select(*[F.col(c).alias(f"__{c}") for c in asked], F.coalesce(value, F.lit(0.0)).alias("discount_float"))
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in asked]
+    matched = df.join(answers, same, "left").select(*df.columns, "discount_float")
+    return matched.withColumn("is_promoted", (F.col("discount_float") > 0).cast("int"))
 
 
 def promo_phase_counts(promos: DataFrame, as_of: Column) -> DataFrame:

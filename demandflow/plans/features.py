@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from demandflow.operators.dimensions import with_region_and_category
 from demandflow.operators.latest import upsert
-from demandflow.operators.promotions import attach_best_discounts
+from demandflow.operators.promotions import PromoSteps, as_steps, lookup_discounts
 from demandflow.operators.series import (
     HORIZON_WEEKS, MIN_HISTORY_WEEKS, data_end, valid_series,
 )
@@ -15,10 +15,14 @@ from demandflow.schemas import FEATURE_COLUMNS, FEATURE_SCHEMA, KEYS, SERIES
 from demandflow.sinks.keyed import ARRIVAL, KeyedTable
 
 
-def add_promo_features(df: DataFrame, promos: DataFrame) -> DataFrame:
+# Best discount of all promotions, and of those that are not in the future.
+FEATURE_DISCOUNTS = {"discount_pct": "discount_pct", "past_discount": "CASE WHEN NOT is_future THEN discount_pct END"}
+
+
+def add_promo_features(df: DataFrame, promos: DataFrame | PromoSteps, value: str = "discount_pct") -> DataFrame:
     """Best discount of any promotion overlapping the row's week, and whether there was one."""
-    matched = attach_best_discounts(df, promos, "week", "week", {"discount_pct_feat": F.col("discount_pct")})
-    return _promo_columns(matched, F.col("discount_pct_feat"))
+    matched = lookup_discounts(df, as_steps(promos), "week", 7, [value])
+    return _promo_columns(matched, F.col(value)).drop(value)
 
 
 def _promo_columns(df: DataFrame, discount) -> DataFrame:
@@ -34,7 +38,7 @@ def past_promos(promos: DataFrame) -> DataFrame:
 
 def build_features(
     weekly: DataFrame,
-    promos: DataFrame,
+    promos: DataFrame | PromoSteps,
     stores: DataFrame,
     products: DataFrame,
     rows: str = "all",
@@ -44,7 +48,8 @@ def build_features(
     """Feature rows of the weeks with sales (``history``), of the forecast weeks (``future``), or both.
 
     History rows see promotions that are not in the future; forecast rows see all of them and
-    carry the averages of the series' last history row. The weekly rows are shuffled once, by
+    carry the averages of the series' last history row. ``promos`` may be given as steps with the
+    columns of ``FEATURE_DISCOUNTS``. The weekly rows are shuffled once, by
     series; the forecast rows grow on the last row of their series, and both kinds of discount
     come from the same lookups.
     """
@@ -55,14 +60,8 @@ def build_features(
         "all": _with_forecast_rows(series, weekly, horizon),
     }[rows]
     described = with_region_and_category(keep, stores, products)
-    matched = attach_best_discounts(
-        described, promos, "week", "week",
-        {
-            "__any_discount": F.col("discount_pct"),
-            "__past_discount": F.when(~F.col("is_future"), F.col("discount_pct")),
-        },
-    )
-    discount = F.when(F.col("is_forecast"), F.col("__any_discount")).otherwise(F.col("__past_discount"))
+    matched = lookup_discounts(described, as_steps(promos, FEATURE_DISCOUNTS), "week", 7, list(FEATURE_DISCOUNTS))
+    discount = F.when(F.col("is_forecast"), F.col("discount_pct")).otherwise(F.col("past_discount"))
     return (
         _promo_columns(matched, discount)
         .withColumn("week_of_year", F.weekofyear("week"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from demandflow.functions.measures import at_risk
 from demandflow.functions.calendar import week_start
 from demandflow.operators.dimensions import with_region_and_category
-from demandflow.operators.promotions import daily_best_discount
+from demandflow.operators.promotions import PromoSteps, daily_best_discount
 from demandflow.operators.ranking import top_k
 from demandflow.operators.selection import latest_week, next_week, this_week
 
@@ -88,14 +88,14 @@ def top_stores_at_risk(forecast: DataFrame, stores: DataFrame) -> DataFrame:
 
 
 def discount_vs_quantity(
-    fact: DataFrame, promos: DataFrame, stores: DataFrame, products: DataFrame
+    fact: DataFrame, promos: DataFrame | PromoSteps, stores: DataFrame, products: DataFrame, value: str = "discount_pct"
 ) -> DataFrame:
     """Quantity per sale by the best discount running that day. Sales are summed per product,
     store and day before promotions are looked up."""
     daily = fact.groupBy("sku", "store_id", "date_id").agg(
         F.count(F.lit(1)).alias("sales"), F.sum("quantity_sold").alias("units")
     )
-    matched = daily_best_discount(with_region_and_category(daily, stores, products), promos, "date_id")
+    matched = daily_best_discount(with_region_and_category(daily, stores, products), promos, "date_id", value)
     return (
         matched.groupBy(F.col("discount_float").alias("discount_pct"))
         .agg(F.sum("sales").alias("sales"), F.sum("units").alias("units"))
