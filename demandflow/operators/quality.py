@@ -30,16 +30,10 @@ def _failure_counts(rules: dict[str, str]) -> list:
     return [F.count_if(_failed(rule)).alias(name) for name, rule in rules.items()]
 
 
-def expect_or_drop(df: DataFrame, rules: dict[str, str], observe_as: str | None = None) -> DataFrame:
-    """Drop rows that break a rule. Works on streams too.
-
-    With ``observe_as`` the failures per rule are counted on the way through and show up in the
-    query's observed metrics, without a second pass.
-    """
+def expect_or_drop(df: DataFrame, rules: dict[str, str]) -> DataFrame:
+    """Drop rows that break a rule. Works on streams too."""
     if not rules:
         return df
-    if observe_as:
-        df = df.observe(observe_as, F.count(F.lit(1)).alias("rows"), *_failure_counts(rules))
     return df.where(reduce(lambda a, b: a & b, [F.expr(rule) for rule in rules.values()]))
 
 

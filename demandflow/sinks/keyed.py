@@ -1,26 +1,33 @@
 """A parquet table with one row per key, fed by change batches.
 
-Open Spark cannot MERGE into parquet, and rewriting the whole table for every batch would cost
-the table, not the batch. So a batch only adds a folder with its own newest rows, and reading
-takes the newest row per key over all folders. ``compact`` folds the folders into one, once the
-changes have grown to a fair share of the base, or there are many folders. Batch numbers count
-within a flow: two flows, or a flow that starts over with a new checkpoint, may feed one table, and a
-folder is named by flow, batch and order of arrival. Spark's ``_SUCCESS`` marker says which folders
-are whole; a batch that is replayed after a failure is skipped when its folder is whole and written
-anew when it is not, so applying it twice changes nothing.
+Open Spark cannot MERGE into parquet, and rewriting the whole table for every batch would cost the
+table, not the batch. So a batch only appends its newest rows, in a folder of its flow and batch, with
+the time it arrived as a column; reading takes the newest row per key. Flows number their own batches
+and nothing is handed out, so any number of flows may write at the same moment: no two share a folder.
+A replayed batch that is whole (Spark's ``_SUCCESS`` marker) is skipped, an unfinished one is written anew.
+
+``compact`` writes a base of all rows so far, and beside it the last batch of every flow that is in it.
+Whatever is not in the base stays a change, also a batch that began before the base was written and
+ended after it. Batches of one flow come one after the other, as those of a stream do.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from demandflow.operators.latest import latest_per_key
 
-# Order in which a batch arrived at the table. As a sequence column it makes the last batch win.
-ARRIVAL = "batch"
+# When a batch reached the table, in microseconds. As a sequence column it makes the last batch win;
+# flow and batch settle equal times.
+ARRIVAL = "_arrived"
+ORIGIN = ["_flow", "_batch"]
+EXTRA = StructType([StructField(ARRIVAL, LongType()), StructField("_flow", StringType()), StructField("_batch", LongType())])
 
 COMPACT_SHARE = 0.5
 COMPACT_MIN_BYTES = 256 * 1024 * 1024
@@ -28,20 +35,20 @@ COMPACT_FOLDERS = 20
 
 
 class KeyedTable:
-    def __init__(
-        self, spark: SparkSession, path: str, schema: StructType, keys: list[str], sequence_by: list[str]
-    ):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-        self.keys, self.sequence_by = keys, sequence_by
-
-    def apply(self, changes: DataFrame, batch_id: int, flow: str = "direct") -> None:
-        """Add a batch of a flow. Work grows with the batch, not with the table."""
-        if any(owner == (flow, batch_id) for owner in self._owners().values()):
-            return
-        arrival = max([-1, *self._whole("changes"), *self._whole("base")]) + 1
-        within = [c for c in self.sequence_by if c != ARRIVAL]
-        newest = latest_per_key(changes.select(*self.schema.names), self.keys, within)
-        newest.write.mode("overwrite").parquet(f"{self.path}/changes/flow={flow}/source_batch={batch_id}/{ARRIVAL}={arrival}")
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: list[str], sequence_by: list[str]):
+        self.spark, self.path, self.schema, self.keys = spark, path.rstrip("/"), schema, keys
+        self.within = [c for c in sequence_by if c != ARRIVAL]
+        self.sequence_by = [*sequence_by, *ORIGIN] if ARRIVAL in sequence_by else sequence_by
+
+    def apply(self, changes: DataFrame, batch_id: int, flow: str = "direct") -> bool:
+        """Add a batch of a flow; whether it was new. Work grows with the batch, not with the table."""
+        _, folded = self._base()
+        if batch_id <= folded.get(flow, -1) or (flow, batch_id) in self._changes(folded):
+            return False
+        newest = latest_per_key(changes.select(*self.schema.names), self.keys, self.within)
+        arrived = newest.withColumn(ARRIVAL, F.lit(time.time_ns() // 1000))
+        arrived.write.mode("overwrite").parquet(f"{self.path}/changes/_flow={flow}/_batch={batch_id}")
+        return True
 
     def read(self) -> DataFrame:
         """The table as of the last whole batch.
@@ -50,100 +57,83 @@ class KeyedTable:
         compared with the changes. While the changes are few that is a broadcast of their keys
         and no shuffle of the base.
         """
-        base, newer = self._folders()
+        return self._rows(*self._base()).select(*self.schema.names)
+
+    def _rows(self, base: str | None, folded: dict[str, int]) -> DataFrame:
+        schema, newer = StructType([*self.schema.fields, *EXTRA.fields]), self._changes(folded)
+        reader = self.spark.read.schema(schema)
+        old = reader.parquet(f"{base}/rows") if base else self.spark.createDataFrame([], schema)
         if not newer:
-            rows = self.spark.createDataFrame([], self.schema) if base is None else self._rows("base", [base])
-            return rows.select(*self.schema.names)
-        changes = self._rows("changes", newer)
-        if base is None:
-            rows = changes if len(newer) == 1 else latest_per_key(changes, self.keys, self.sequence_by)
-            return rows.select(*self.schema.names)
-        old, changed = self._rows("base", [base]), changes.select(*self.keys).distinct()
+            return old
+        folders = [f"{self.path}/changes/_flow={flow}/_batch={batch}" for flow, batch in newer]
+        changes = reader.option("basePath", f"{self.path}/changes").parquet(*folders).select(*schema.names)
+        if not base:
+            return latest_per_key(changes, self.keys, self.sequence_by)
+        changed = changes.select(*self.keys).distinct()
         same_key = reduce(lambda a, b: a & b, [old[k].eqNullSafe(changed[k]) for k in self.keys])
         contested = old.join(changed, same_key, "left_semi").unionByName(changes)
-        rows = old.join(changed, same_key, "left_anti").unionByName(
-            latest_per_key(contested, self.keys, self.sequence_by)
-        )
-        return rows.select(*self.schema.names)
+        return old.join(changed, same_key, "left_anti").unionByName(latest_per_key(contested, self.keys, self.sequence_by))
 
     def compact(self) -> None:
         """Fold everything so far into one base folder. Readers keep the old folders meanwhile."""
-        _, newer = self._folders()
+        stamp = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+        base, folded = self._base()
+        newer = self._changes(folded)
         if newer:
-            self.read().write.mode("overwrite").parquet(self._folder("base", newer[-1]))
+            rows = self._rows(base, folded)
+            for flow, batch in newer:
+                folded[flow] = max(batch, folded.get(flow, -1))
+            self.spark.createDataFrame(list(folded.items()), "flow string, batch long").coalesce(1).write.parquet(f"{self.path}/base/{stamp}/folded")
+            rows.write.parquet(f"{self.path}/base/{stamp}/rows")
 
     def compact_if_due(self, share: float = COMPACT_SHARE, min_bytes: int = COMPACT_MIN_BYTES) -> bool:
         """Compact once the changes weigh ``share`` of the base, so that over time the table is
         rewritten at the cost of a few times its changes, not once per batch."""
-        base, newer = self._folders()
-        base_bytes = self._bytes("base", [base]) if base is not None else 0
-        due = len(newer) >= COMPACT_FOLDERS or (
-            bool(newer) and self._bytes("changes", newer) >= max(share * base_bytes, min_bytes)
-        )
+        base, folded = self._base()
+        newer = self._changes(folded)
+        if not newer:
+            return False
+        weight = sum(self._bytes(f"{self.path}/changes/_flow={flow}/_batch={batch}") for flow, batch in newer)
+        due = len(newer) >= COMPACT_FOLDERS or weight >= max(share * (self._bytes(f"{base}/rows") if base else 0), min_bytes)
         if due:
             self.compact()
         return due
 
     def vacuum(self) -> None:
-        """Delete the folders the current base replaces. Run it when no reader is on them."""
-        base, _ = self._folders()
-        if base is None:
-            return
-        for kind, limit in (("changes", base), ("base", base - 1)):
-            for batch in self._whole(kind):
-                if batch <= limit:
-                    folder = self._hadoop_path(self._folder(kind, batch))
-                    files = self._file_system(folder)
-                    for status in files.listStatus(folder):  # the marker stays: it says the batch was applied
-                        if status.getPath().getName() != "_SUCCESS" or kind == "base":
-                            files.delete(status.getPath(), True)
-                    if kind == "base":
-                        files.delete(folder, True)
-
-    def _folders(self) -> tuple[int | None, list[int]]:
-        bases = self._whole("base")
-        base = bases[-1] if bases else None
-        return base, [b for b in self._whole("changes") if base is None or b > base]
-
-    def _rows(self, kind: str, batches: list[int]) -> DataFrame:
-        """Rows of some folders as one scan, with the batch number where it decides."""
-        schema = StructType([*self.schema.fields, StructField(ARRIVAL, LongType())])
-        folders = [self._folder(kind, batch) for batch in batches]
-        rows = self.spark.read.schema(schema).option("basePath", f"{self.path}/{kind}").parquet(*folders).select(*schema.names)
-        return rows if ARRIVAL in self.sequence_by else rows.drop(ARRIVAL)
-
-    def _folder(self, kind: str, batch: int) -> str:
-        if kind == "base":
-            return f"{self.path}/base/{ARRIVAL}={batch}"
-        flow, source = self._owners()[batch]
-        return f"{self.path}/changes/flow={flow}/source_batch={source}/{ARRIVAL}={batch}"
-
-    def _owners(self) -> dict[int, tuple[str, int]]:
-        """Flow and batch of each finished change folder, by arrival."""
-        owners = {}
-        for parts in self._finished(f"{self.path}/changes/flow=*/source_batch=*/{ARRIVAL}=*/_SUCCESS"):
-            flow, source, arrival = (p.split("=", 1)[1] for p in parts[-3:])
-            owners[int(arrival)] = (flow, int(source))
-        return owners
-
-    def _bytes(self, kind: str, batches: list[int]) -> int:
-        paths = [self._hadoop_path(self._folder(kind, batch)) for batch in batches]
-        return sum(self._file_system(path).getContentSummary(path).getLength() for path in paths)
-
-    def _whole(self, kind: str) -> list[int]:
-        """Arrival numbers of the finished folders, oldest first (a listing of folder names only)."""
-        if kind == "changes":
-            return sorted(self._owners())
-        return sorted(int(parts[-1].split("=")[1]) for parts in self._finished(f"{self.path}/base/{ARRIVAL}=*/_SUCCESS"))
-
-    def _finished(self, pattern: str) -> list[list[str]]:
-        """Path parts of the folders that hold a matching marker."""
+        """Delete what the current base replaces. Run it when no reader and no compaction is on it."""
+        base, folded = self._base()
+        old = [b for b in self._found(f"{self.path}/base/*") if base and b.split("/")[-1] < base.split("/")[-1]]
+        changes = self._found(f"{self.path}/changes/_flow=*/_batch=*")
+        for folder in [*old, *[c for c in changes if self._origin(c)[1] <= folded.get(self._origin(c)[0], -1)]]:
+            path = self._hadoop_path(folder)
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def _base(self) -> tuple[str | None, dict[str, int]]:
+        """The newest whole base, and the last batch of each flow that is in it."""
+        whole = self._found(f"{self.path}/base/*/rows/_SUCCESS")
+        if not whole:
+            return None, {}
+        base = max(whole).removesuffix("/rows/_SUCCESS")
+        return base, {r.flow: r.batch for r in self.spark.read.parquet(f"{base}/folded").collect()}
+
+    def _changes(self, folded: dict[str, int]) -> list[tuple[str, int]]:
+        """Flow and batch of the finished change folders that are in no base (a listing of names only)."""
+        done = [self._origin(f.removesuffix("/_SUCCESS")) for f in self._found(f"{self.path}/changes/_flow=*/_batch=*/_SUCCESS")]
+        return sorted((flow, batch) for flow, batch in done if batch > folded.get(flow, -1))
+
+    @staticmethod
+    def _origin(folder: str) -> tuple[str, int]:
+        flow, batch = (part.split("=", 1)[1] for part in folder.split("/")[-2:])
+        return flow, int(batch)
+
+    def _bytes(self, folder: str) -> int:
+        path = self._hadoop_path(folder)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+
+    def _found(self, pattern: str) -> list[str]:
         path = self._hadoop_path(pattern)
-        found = self._file_system(path).globStatus(path) or []
-        return [status.getPath().getParent().toString().split("/") for status in found]
+        found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path) or []
+        return [status.getPath().toString() for status in found]
 
     def _hadoop_path(self, path: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(path)
-
-    def _file_system(self, path):
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration())

@@ -10,10 +10,11 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from demandflow.operators.conform import CONFORM
-from demandflow.operators.quality import RULES, expect_or_drop
+from demandflow.operators.quality import RULES, expect_or_drop, rule_violations
 from demandflow.plans.actions import status_rows
 from demandflow.schemas import KEYS, LANDING_SCHEMAS, SOURCE_SYSTEMS
 from demandflow.sinks.keyed import KeyedTable
@@ -48,15 +49,15 @@ def scd1_upsert(
     stream: DataFrame,
     table: KeyedTable,
     checkpoint: str,
-    prepare: Callable[[DataFrame], DataFrame] | None = None,
+    prepare: Callable[[DataFrame, int], DataFrame] | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
-    """Keep the newest row per key of a stream, whatever order the rows arrive in."""
-
+    """Keep the newest row per key of a stream, whatever order the rows arrive in. ``prepare`` gets
+    every micro-batch with its number and gives the rows to keep."""
     flow = flow_id(stream.sparkSession, checkpoint)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        table.apply(prepare(batch) if prepare else batch, batch_id, flow)
+        table.apply(prepare(batch, batch_id) if prepare else batch, batch_id, flow)
         table.compact_if_due()
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
@@ -82,28 +83,35 @@ def silver_table(spark: SparkSession, feed: str, bronze: str, path: str) -> Keye
 
 def run_silver(
     spark: SparkSession, feed: str, bronze: str, path: str, checkpoint: str, max_files: int | None = None
-) -> tuple[KeyedTable, StreamingQuery]:
-    """New bronze rows typed, checked and upserted; the table and the finished query.
+) -> KeyedTable:
+    """New bronze rows typed, checked and upserted.
 
-    Rules come first, so a bad update never replaces a good row. ``rule_failures`` tells how many
-    rows each rule dropped.
+    Rules come first, so a bad update never replaces a good row. Every micro-batch also writes how many
+    rows each rule failed, see ``rule_failures``.
     """
-    table = silver_table(spark, feed, bronze, path)
+    table, flow = silver_table(spark, feed, bronze, path), flow_id(spark, checkpoint)
     typed = CONFORM[feed](stream_table(spark, bronze, max_files))
-    kept = expect_or_drop(typed, RULES[feed], observe_as=f"quality_{feed}")
-    query = scd1_upsert(kept, table, checkpoint, name=f"silver_{feed}")
-    query.awaitTermination()
-    return table, query
+
+    def counted(batch: DataFrame, batch_id: int) -> DataFrame:
+        if RULES[feed]:
+            write_rule_counts(batch, feed, f"{path}/rules", flow, batch_id)
+        return expect_or_drop(batch, RULES[feed])
+
+    scd1_upsert(typed, table, checkpoint, counted, name=f"silver_{feed}").awaitTermination()
+    return table
+
+
+def write_rule_counts(batch: DataFrame, feed: str, path: str, flow: str, batch_id: int) -> None:
+    """(rule, failed_rows, total_rows) of a micro-batch, in a folder of its own: a replay writes the
+    same folder again and does not count twice."""
+    counts = rule_violations(batch, RULES[feed]).coalesce(1)
+    counts.write.mode("overwrite").parquet(f"{path}/_flow={flow}/_batch={batch_id}")
 
 
-def rule_failures(query: StreamingQuery, feed: str) -> dict[str, int]:
-    """Rows seen and rows failed per rule, over the micro-batches the query still remembers."""
-    total: dict[str, int] = {}
-    for progress in query.recentProgress:
-        seen = progress.observedMetrics.get(f"quality_{feed}")
-        for name, count in (seen.asDict() if seen else {}).items():
-            total[name] = total.get(name, 0) + count
-    return total
+def rule_failures(spark: SparkSession, path: str) -> DataFrame:
+    """(rule, failed_rows, total_rows) over all micro-batches of all flows that fed the silver table at ``path``."""
+    counts = spark.read.schema("rule string, failed_rows long, total_rows long").parquet(f"{path}/rules")
+    return counts.groupBy("rule").agg(F.sum("failed_rows").alias("failed_rows"), F.sum("total_rows").alias("total_rows"))
 
 
 def run_status(updates: DataFrame, path: str, checkpoint: str, order: list[str]) -> KeyedTable:

@@ -1,4 +1,5 @@
 import random
+import time
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -51,8 +52,9 @@ def test_keyed_table_equals_one_big_reduction(spark, rows, tmp_path):
             table.compact()
         assert rows(table.read()) == sorted(((k, s, v) for k, (s, v) in best.items()))
     table.vacuum()
-    assert table._folders() == (4, [5]) and table._whole("base") == [4]
-    assert not list((tmp_path / "t/changes/flow=direct/source_batch=2").rglob("*.parquet"))
+    assert table._base()[1] == {"direct": 4} and table._changes(table._base()[1]) == [("direct", 5)]
+    assert len(list((tmp_path / "t/base").iterdir())) == 1
+    assert [p.name for p in (tmp_path / "t/changes/_flow=direct").iterdir()] == ["_batch=5"]
     assert rows(table.read()) == sorted(((k, s, v) for k, (s, v) in best.items()))
 
 
@@ -61,7 +63,7 @@ def test_unfinished_batch_is_not_seen_and_is_overwritten(spark, rows, tmp_path):
     table = KeyedTable(spark, str(tmp_path / "t"), schema, ["k"], ["seq"])
     table.apply(spark.createDataFrame([("a", 1)], schema), 0)
     table.apply(spark.createDataFrame([("a", 9), ("b", 9)], schema), 1)
-    (tmp_path / "t" / "changes" / "flow=direct" / "source_batch=1" / "batch=1" / "_SUCCESS").unlink()
+    (tmp_path / "t" / "changes" / "_flow=direct" / "_batch=1" / "_SUCCESS").unlink()
     assert rows(table.read()) == [("a", 1)]
     table.apply(spark.createDataFrame([("a", 2)], schema), 1)
     assert rows(table.read()) == [("a", 2)]
@@ -107,11 +109,11 @@ def test_compaction_waits_for_enough_changes(spark, rows, tmp_path):
     assert not table.compact_if_due() and table.compact_if_due(min_bytes=1)
     table.apply(spark.range(10).selectExpr("int(id) k", "1 seq"), 1)
     assert not table.compact_if_due(min_bytes=1)  # few changes on a large base
-    assert table._folders() == (0, [1]) and table.read().where("seq = 1").count() == 10
+    assert table._base()[1] == {"direct": 0} and table._changes({"direct": 0}) == [("direct", 1)] and table.read().where("seq = 1").count() == 10
     plan = table.read()._jdf.queryExecution().executedPlan().toString()
     assert plan.count("BroadcastHashJoin") == 2  # the base is matched with the changed keys in place
     table.apply(spark.range(50_000).selectExpr("int(id) k", "2 seq"), 2)
-    assert table.compact_if_due(min_bytes=1) and table._folders() == (2, [])
+    assert table.compact_if_due(min_bytes=1) and table._base()[1] == {"direct": 2}
     assert table.read().where("seq = 2").count() == 50_000
 
 
@@ -127,3 +129,36 @@ def test_flows_number_their_own_batches(spark, tmp_path, rows):
     table.apply(spark.createDataFrame([("b", 6)], schema), 0, "two")  # replay after compaction: skipped
     table.apply(spark.createDataFrame([("b", 8)], schema), 0, "three")
     assert rows(table.read()) == [("a", 9), ("b", 8)]
+
+
+def test_flows_that_write_at_the_same_moment(spark, tmp_path, rows, monkeypatch):
+    """Both flows look at the table before either has written; neither loses a row."""
+    schema = "k string, v int"
+    table = KeyedTable(spark, str(tmp_path / "t"), spark.createDataFrame([], schema).schema, ["k"], [ARRIVAL])
+    table.apply(spark.createDataFrame([("z", 0)], schema), 0, "one")
+    seen = table._changes({})
+    monkeypatch.setattr(table, "_changes", lambda folded: seen)
+    monkeypatch.setattr(time, "time_ns", lambda: 10**18)  # and at the same time
+    table.apply(spark.createDataFrame([("a", 1), ("b", 1)], schema), 1, "one")
+    table.apply(spark.createDataFrame([("b", 9), ("c", 9)], schema), 0, "two")
+    monkeypatch.undo()
+    assert rows(table.read()) == [("a", 1), ("b", 9), ("c", 9), ("z", 0)]
+
+
+def test_a_batch_that_ends_after_a_compaction_stays(spark, tmp_path, rows):
+    """It began first, so its number and time are smaller than those of what the base holds."""
+    schema = "k string, v int"
+    table = KeyedTable(spark, str(tmp_path / "t"), spark.createDataFrame([], schema).schema, ["k"], ["v"])
+    table.apply(spark.createDataFrame([("late", 1)], schema), 0, "slow")
+    marker = tmp_path / "t/changes/_flow=slow/_batch=0/_SUCCESS"
+    content = marker.read_bytes()
+    marker.unlink()
+    table.apply(spark.createDataFrame([("a", 1)], schema), 0, "fast")
+    table.compact()
+    marker.write_bytes(content)
+    assert rows(table.read()) == [("a", 1), ("late", 1)]
+    table.vacuum()
+    table.compact()
+    table.vacuum()
+    assert rows(table.read()) == [("a", 1), ("late", 1)] and table._base()[1] == {"fast": 0, "slow": 0}
+    assert not table.apply(spark.createDataFrame([("late", 5)], schema), 0, "slow")

@@ -9,7 +9,9 @@ from demandflow.schemas import LANDING_SCHEMAS
 from demandflow.sinks.keyed import KeyedTable
 from demandflow.sinks.tables import append_stream, materialize, overwrite_table, snapshot_sync, write_landing
 from demandflow.sources.landing import read_table, stream_csv, stream_parquet, stream_table, with_ingest_metadata
-from demandflow.streaming.flows import rule_failures, run_bronze, run_silver, run_status, scd1_upsert
+from demandflow.streaming.flows import (
+    rule_failures, run_bronze, run_silver, run_status, scd1_upsert, write_rule_counts,
+)
 
 import pytest
 
@@ -27,8 +29,7 @@ class Place:
 
     def run(self, spark, glob=None):
         run_bronze(spark, self.feed, self.landing, self.bronze, self.checkpoints[0], glob)
-        table, self.query = run_silver(spark, self.feed, self.bronze, self.silver, self.checkpoints[1])
-        return table
+        return run_silver(spark, self.feed, self.bronze, self.silver, self.checkpoints[1])
 
 
 def test_landing_to_silver_with_redelivery_and_corrections(spark, tmp_path, rows):
@@ -37,7 +38,7 @@ def test_landing_to_silver_with_redelivery_and_corrections(spark, tmp_path, rows
     place.landing += "/*"
     silver = place.run(spark)
     assert rows(silver.read(), "transaction_id", "quantity_sold") == [("t1", 2), ("t3", 1)]
-    assert rule_failures(place.query, "transactions") == {"rows": 3, "valid_quantity": 1, "valid_revenue": 0, "valid_date": 0}
+    assert rows(rule_failures(spark, place.silver)) == [("valid_date", 0, 3), ("valid_quantity", 1, 3), ("valid_revenue", 0, 3)]
     bronze = read_table(spark, place.bronze)
     assert bronze.count() == 3 and bronze.where("_source_system = 'pos_system' AND _source_file LIKE '%landing%'").count() == 3
 
@@ -53,6 +54,7 @@ def test_landing_to_silver_with_redelivery_and_corrections(spark, tmp_path, rows
     write_landing(sales(spark, ("t1", "7", "3.0"), ("t3", "0", "1.0"), ("t4", "4", "1.0")), f"{root}/c")
     silver = place.run(spark)  # a good update wins, a bad one does not replace a good row
     assert rows(silver.read(), "transaction_id", "quantity_sold") == [("t1", 7), ("t3", 1), ("t4", 4)]
+    assert rows(rule_failures(spark, place.silver)) == [("valid_date", 0, 9), ("valid_quantity", 3, 9), ("valid_revenue", 0, 9)]
 
 
 def test_promotions_from_csv_by_glob(spark, tmp_path, rows):
@@ -86,7 +88,7 @@ def test_stream_in_many_batches_equals_batch(spark, tmp_path, rows):
     stream = stream_parquet(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema, max_files=1)
     table = KeyedTable(spark, str(tmp_path / "t"), stream.schema, ["k"], ["seq"])
     scd1_upsert(stream, table, str(tmp_path / "c")).awaitTermination()
-    assert table._whole("changes") == [0, 1, 2, 3, 4]
+    assert [batch for _, batch in table._changes({})] == [0, 1, 2, 3, 4]
     whole = spark.createDataFrame(everything, schema)
     assert rows(table.read()) == rows(latest_per_key(whole, ["k"], ["seq"]))
 
@@ -150,3 +152,24 @@ def test_two_checkpoints_and_a_reset_one_feed_one_table(spark, tmp_path, rows):
         stream = stream_parquet(spark, folder, spark.createDataFrame([], schema).schema)
         scd1_upsert(stream, table, str(tmp_path / f"c{number}")).awaitTermination()
     assert rows(table.read()) == [("a", 2, 9), ("b", 1, 5), ("c", 1, 3)]
+
+
+def test_rule_counts_of_more_than_a_hundred_batches(spark, tmp_path, rows):
+    """One landing file per micro-batch; Spark itself remembers the last hundred only."""
+    place = Place(tmp_path)
+    data = [(f"t{i}", "x" if i % 3 == 0 else "2", "1.0") for i in range(600)]
+    sales(spark, *data).write.parquet(place.landing)
+    run_bronze(spark, "transactions", place.landing, place.bronze, place.checkpoints[0])
+    landed = spark.read.parquet(place.bronze).repartition(140, "transaction_id")
+    landed.write.mode("overwrite").parquet(f"{tmp_path}/many")
+    run_silver(spark, "transactions", f"{tmp_path}/many", place.silver, place.checkpoints[1], max_files=1)
+    assert spark.read.parquet(f"{place.silver}/rules").select("_flow", "_batch").distinct().count() > 100
+    failed = sum(quantity == "x" for _, quantity, _ in data)
+    assert rows(rule_failures(spark, place.silver)) == [("valid_date", 0, 600), ("valid_quantity", failed, 600), ("valid_revenue", 0, 600)]
+
+
+def test_a_replayed_batch_counts_once(spark, tmp_path, rows):
+    batch = sales(spark, ("t1", "0", "1.0"), ("t2", "1", "1.0")).selectExpr("*").withColumn("quantity_sold", F.col("quantity_sold").cast("int"))
+    for flow, number in (("a", 0), ("a", 0), ("b", 0), ("a", 1)):
+        write_rule_counts(batch, "transactions", f"{tmp_path}/rules", flow, number)
+    assert rows(rule_failures(spark, str(tmp_path)), "rule", "failed_rows", "total_rows")[1] == ("valid_quantity", 3, 6)
