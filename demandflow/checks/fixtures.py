@@ -24,6 +24,7 @@ from demandflow.schemas import LANDING_SCHEMAS
 from demandflow.session import run_folder, use_utc
 from demandflow.sinks.tables import materialize, write_landing
 from demandflow.sources.landing import stream_parquet
+from demandflow.streaming.flows import rule_failures, run_bronze, run_silver
 
 # "Today" for the forecast reports: the Monday after the last week with sales.
 FORECAST_AS_OF = date(2001, 11, 5)
@@ -109,6 +110,13 @@ def spoil(sales: DataFrame) -> DataFrame:
     })
 
 
+def correction_rows(sales: DataFrame) -> DataFrame:
+    """A later delivery of some sales: one unit more each, and some of them unreadable or not allowed."""
+    order = F.split_part("transaction_id", F.lit("-"), F.lit(1)).cast("long")
+    again = sales.where((order % 10 == 3) | (order % 97 == 0) | (order % 101 == 0) | (order % 211 == 0))
+    return spoil(again.withColumn("quantity_sold", (F.col("quantity_sold").cast("int") + 1).cast("string")))
+
+
 def change_rows(lineitem: DataFrame) -> DataFrame:
     """Several versions of one record, in no order."""
     return lineitem.selectExpr(
@@ -186,10 +194,34 @@ class Retail:
 
     @cached_property
     def landing_sales(self) -> DataFrame:
-        path = f"{self.folder}/landing_transactions"
-        write_landing(self.sales_from(self.given("lineitem")), path)
+        return self._delivered(self.sales_from(self.given("lineitem")), 0)
+
+    def _delivered(self, sales: DataFrame, number: int) -> DataFrame:
+        path = f"{self.folder}/landing_transactions/delivery_{number}"
+        write_landing(sales, path)
         return self.spark.read.schema(LANDING_SCHEMAS["transactions"]).parquet(path)
 
+    @cached_property
+    def silver_sales(self) -> DataFrame:
+        """Two nightly runs of landing files to bronze to silver: all sales, then corrections of some.
+        A run reads only what is new."""
+        for delivery in range(2):
+            self.landing_sales if delivery == 0 else self._delivered(correction_rows(self.landing_sales), delivery)
+            run_bronze(
+                self.spark, "transactions", f"{self.folder}/landing_transactions/delivery_*", f"{self.folder}/bronze_transactions",
+                f"{self.folder}/checkpoints/bronze",
+            )
+            table = run_silver(
+                self.spark, "transactions", f"{self.folder}/bronze_transactions", f"{self.folder}/silver_transactions",
+                f"{self.folder}/checkpoints/silver",
+            )
+        table.compact()
+        return table.read().select(*SALE_COLUMNS)
+
+    def sales_rule_failures(self) -> DataFrame:
+        self.silver_sales  # noqa: B018 - the run that counts
+        return rule_failures(self.spark, f"{self.folder}/silver_transactions")
+
     def sales_from(self, lineitem: DataFrame) -> DataFrame:
         return sale_rows(lineitem, self.given("part"), self.given("supplier"), self.listed)
 
@@ -206,6 +238,9 @@ class Retail:
         return status_updates(self.given("events"))
 
     def typed(self, feed: str) -> DataFrame:
+        """Silver rows of a feed; those of the sales come from the silver table that the streams keep."""
+        if feed == "transactions":
+            return self.silver_sales
         return gold.typed_rows(feed, self.landing(feed))
 
     # gold, lazy

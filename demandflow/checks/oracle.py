@@ -102,12 +102,23 @@ FROM events""",
 SELECT transaction_id, sku, store_id, try_cast(transaction_date AS DATE) AS transaction_date,
        try_cast(quantity_sold AS INTEGER) AS quantity_sold, try_cast(unit_price_at_sale AS DOUBLE) AS unit_price_at_sale
 FROM spoiled_transactions""",
+    "corrections": """
+SELECT transaction_id, sku, store_id,
+       CASE WHEN n % 211 = 0 THEN '2024-13-01' ELSE transaction_date END AS transaction_date,
+       CASE WHEN n % 97 = 0 THEN '0' WHEN n % 307 = 0 THEN 'x' ELSE CAST(CAST(quantity_sold AS INTEGER) + 1 AS VARCHAR) END AS quantity_sold,
+       CASE WHEN n % 101 = 0 THEN '-1.00' ELSE unit_price_at_sale END AS unit_price_at_sale
+FROM (SELECT *, CAST(split_part(transaction_id, '-', 1) AS BIGINT) AS n FROM landing_transactions)
+WHERE n % 10 = 3 OR n % 97 = 0 OR n % 101 = 0 OR n % 211 = 0""",
+    "typed_deliveries": """
+SELECT delivery, transaction_id, sku, store_id, try_cast(transaction_date AS DATE) AS transaction_date,
+       try_cast(quantity_sold AS INTEGER) AS quantity_sold, try_cast(unit_price_at_sale AS DOUBLE) AS unit_price_at_sale
+FROM (SELECT 0 AS delivery, * FROM landing_transactions UNION ALL SELECT 1 AS delivery, * FROM corrections)""",
+    # a sale is known once; the last delivery that passes the rules wins, ties by all columns
     "transactions": """
-SELECT * FROM (
-  SELECT transaction_id, sku, store_id, CAST(transaction_date AS DATE) AS transaction_date,
-         CAST(quantity_sold AS INTEGER) AS quantity_sold, CAST(unit_price_at_sale AS DOUBLE) AS unit_price_at_sale
-  FROM landing_transactions)
-WHERE quantity_sold > 0 AND unit_price_at_sale > 0 AND transaction_date IS NOT NULL""",
+SELECT * EXCLUDE (delivery) FROM typed_deliveries
+WHERE quantity_sold > 0 AND unit_price_at_sale > 0 AND transaction_date IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY delivery DESC, sku DESC, store_id DESC,
+  transaction_date DESC, quantity_sold DESC, unit_price_at_sale DESC) = 1""",
     "products": """
 SELECT * FROM (
   SELECT sku, product_name, category, subcategory, CAST(unit_cost AS DOUBLE) AS unit_cost,
@@ -446,6 +457,8 @@ CASE WHEN p_size > 40 THEN p_brand END AS null_unless_large, CASE WHEN p_size >
 ['a', 'b', 'c'][p_size % 3 + 1] AS picked, try_cast(p_type AS INTEGER) AS unreadable FROM part""",
     "action_status_stream": "SELECT * FROM status_table",
 }
+TAILS["silver_stream_transactions"] = "SELECT * FROM transactions"
+TAILS["quality_stream_violations"] = TAILS["quality_violations"].replace("typed_spoiled", "typed_deliveries")
 TAILS["scd1_stream_transactions"] = TAILS["scd1_transactions"]
 
 

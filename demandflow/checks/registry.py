@@ -653,6 +653,18 @@ def scd1_stream_transactions(r: Retail) -> DataFrame:
     return table.read()
 
 
+@query
+def silver_stream_transactions(r: Retail) -> DataFrame:
+    """Sales and later corrections of some, landing to bronze to silver in two runs."""
+    return r.silver_sales
+
+
+@query
+def quality_stream_violations(r: Retail) -> DataFrame:
+    """What the rules dropped on the way to silver, over all micro-batches of both runs."""
+    return r.sales_rule_failures()
+
+
 @query
 def action_status_stream(r: Retail) -> DataFrame:
     """Status updates streamed from the event file and written back by key."""

@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from demandflow.functions.calendar import snap_to_weeks
-from demandflow.operators.promotions import daily_best_discount, explode_promos, promo_phase_counts
+from demandflow.operators.promotions import (
+    SPAN_DAYS, daily_best_discount, discount_steps, explode_promos, measured, promo_phase_counts,
+)
 from demandflow.plans.features import add_promo_features, past_promos
 from demandflow.plans.gold import fact_promotions
 
@@ -149,3 +151,49 @@ def test_calendar_grains(spark):
 def test_snap_to_weeks(spark):
     df = spark.createDataFrame([(date(2025, 1, 8), date(2025, 1, 12)), (MONDAY, MONDAY)], "a date, b date")
     assert [tuple(r) for r in snap_to_weeks(df, "a", "b").collect()] == [(MONDAY, date(2025, 1, 12))] * 2
+
+
+def test_steps_are_disjoint_and_hold_the_best(spark):
+    """A sweep by hand, day by day, over promotions that nest, touch, repeat and run for ages."""
+    rng = random.Random(3)
+    data = [promo(sku="S", store="1", discount=rng.randrange(1, 9) / 10, start=MONDAY + timedelta(s), end=MONDAY + timedelta(s + rng.randrange(40)))
+            for s in (rng.randrange(150) for _ in range(40))]
+    data += [promo(sku="S", store="1", discount=0.05, start=date(1800, 1, 1), end=date(9999, 12, 31)), data[0], data[0]]
+    out = discount_steps(spark.createDataFrame(data, PROMO)).collect()
+    steps = sorted((s.first, s.last, s.discount_pct) for r in out for s in r.steps)
+    assert all(a[1] < b[0] for a, b in zip(steps, steps[1:])) and all(a <= b for a, b, _ in steps)
+    assert all(len(r.steps) <= SPAN_DAYS for r in out)
+    for k in range(-10, 220):
+        day = MONDAY + timedelta(k)
+        want = max(p[4] for p in data if p[5] <= day <= p[6])
+        assert [d for a, b, d in steps if a <= day <= b] == [want]
+
+
+def test_many_long_promotions_leave_the_map_side_as_few_intervals(spark):
+    """600,000 promotions of eight weeks, a third of them on one product and store."""
+    offers = spark.range(600_000).selectExpr(
+        "IF(id % 3 = 0, 'S', concat('S', id % 200)) AS target_sku", "CAST(NULL AS STRING) AS target_category",
+        "IF(id % 3 = 0, '1', CAST(id % 50 AS STRING)) AS target_store_id", "CAST(NULL AS STRING) AS target_region",
+        "(id % 90 + 1) / 100D AS discount_pct", "date_add(DATE'2025-01-06', CAST(id % 364 AS INT)) AS promo_start_date",
+        "date_add(DATE'2025-01-06', CAST(id % 364 AS INT) + 55) AS promo_end_date",
+    )
+    day = spark.createDataFrame([("S", "1", MONDAY, "R", "C")] * 500, ROW)
+    out = daily_best_discount(day, offers, "week")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan.split("SortMergeJoin", 1)[1] and plan.count("SortMergeJoin") >= 4
+    assert {(r.discount_float, r.is_promoted) for r in out.collect()} == {(0.85, 1)} and out.count() == 500
+    hot = discount_steps(offers).where("item = 'S' AND scope = '1'")
+    assert hot.count() <= 6 and hot.selectExpr("max(size(steps))").first()[0] <= SPAN_DAYS
+    assert "partial_max" in hot._jdf.queryExecution().executedPlan().toString()
+
+
+def test_measured_steps_are_broadcast_and_give_the_same(spark, tmp_path, rows):
+    offers = spark.createDataFrame([promo(sku="S", store="1", discount=0.2), promo(category="C", region="R", discount=0.4)], PROMO)
+    steps = discount_steps(offers)
+    steps.write.parquet(str(tmp_path / "steps"))
+    small = measured(spark.read.parquet(str(tmp_path / "steps")))
+    assert small.small
+    got = add_promo_features(one_row(spark), small)
+    assert rows(got) == rows(add_promo_features(one_row(spark), offers))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") >= 4 and "SortMergeJoin" not in plan
