@@ -25,7 +25,8 @@ LONGEST = 48  # longer words go on as another word without a mark
 SAMPLE = 400
 ROUNDS = 4
 UNKNOWN = "und"
-CHUNK = 4 << 20
+CHUNK = 1 << 20  # bytes scored at a time; the arrays take some fifty times as much
+ROWS = 1000
 LETTER = np.zeros(256, bool)
 LETTER[65:91] = LETTER[97:123] = LETTER[128:] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -228,17 +229,21 @@ def _identify_pass(model: LanguageModel) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = model.scorer()
         for batch in batches:
-            langs, scores, held, size = [], [], [], 0
-            for text in batch.column(1):
-                held.append(_bytes(text))
-                size += len(held[-1])
-                if size > CHUNK:
-                    _decide(score, held, langs, scores)
-                    held, size = [], 0
-            _decide(score, held, langs, scores)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["row", "lang_pred", "score"]
-            )
+            for at in range(0, batch.num_rows, ROWS):
+                yield _scored(score, batch.slice(at, ROWS))
+
+    def _scored(score: Callable, batch: pa.RecordBatch) -> pa.RecordBatch:
+        langs, scores, held, size = [], [], [], 0
+        for text in batch.column(1):
+            held.append(_bytes(text))
+            size += len(held[-1])
+            if size > CHUNK:
+                _decide(score, held, langs, scores)
+                held, size = [], 0
+        _decide(score, held, langs, scores)
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["row", "lang_pred", "score"]
+        )
 
     def _decide(score: Callable, texts: list[bytes], langs: list, scores: list) -> None:
         if not texts:

@@ -36,7 +36,7 @@ from demandflow.llm.shingles import shingle_set
 BUCKET = 64
 FREQUENT = 50_000
 SEEDS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344], np.uint64)
-FLUSH = 3_000_000
+FLUSH = 600_000  # shingles held by a task, some 50 MB with what sorting them takes
 
 
 def node_of(tokens: np.ndarray) -> int:

@@ -4,9 +4,7 @@ from __future__ import annotations
 
 import base64
 import heapq
-import re
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,14 +23,6 @@ PIECE = 512
 GROUP = 512
 PIECES = "id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, deal bigint"
 
-# Fixed values of the vocabulary's own splitting rule, below U+0250: letters, numbers, white space.
-LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
-NUMBERS = "0-9²³¹¼-¾"
-SPACES = "\t-\r \u0085 "
-SIMPLE = re.compile(
-    rf" ?[{LETTERS}]+|'(?:s|t|re|ve|m|ll|d)| ?[{NUMBERS}]+| ?[^{SPACES}{LETTERS}{NUMBERS}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+"
-)
-PLAIN = re.compile("[\x00-ɏ‐-‧‰-⁞€]*")
 SPECIAL = "<|endoftext|>"
 
 
@@ -45,14 +35,10 @@ def public_path(name: str) -> str:
 class TokenBytes:
     """Ids of a text as little-endian 32-bit bytes, equal to those of the ``tokenizers`` file.
 
-    Words repeat, so the bytes of a word are kept (a bounded number of them); a word is encoded by
-    the same vocabulary as ranks, which is several times faster. Texts the simple splitting rule
-    does not cover are encoded whole, and those with a special token's string by ``tokenizers``.
+    The same vocabulary as ranks is several times faster; texts with a special token's string go to
+    ``tokenizers``, which gives it its own id. Nothing is kept from text to text.
     """
 
-    MOST = 300_000
-    LONGEST = 40
-
     def __init__(self, json_path: str, ranks_path: str):
         import public_tokenizers
         import tiktoken
@@ -60,25 +46,12 @@ class TokenBytes:
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.ranks = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.json_path, self.whole, self.kept, self.older = json_path, None, {}, {}
+        self.json_path, self.whole = json_path, None
 
     def __call__(self, text: str) -> bytes:
         if SPECIAL in text:
             return self._whole(text)
-        if not PLAIN.fullmatch(text):
-            return self.ranks.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
-        words = SIMPLE.findall(text)
-        if len(self.kept) > self.MOST:
-            self.older, self.kept = self.kept, {}
-        kept, older, encode = self.kept, self.older, self.ranks._core_bpe.encode_single_piece
-        out = list(map(kept.get, words))
-        if None in out:
-            for k, ids in enumerate(out):
-                if ids is None:
-                    out[k] = ids = older.get(words[k]) or array("I", encode(words[k].encode())).tobytes()
-                    if len(words[k]) <= self.LONGEST:
-                        kept[words[k]] = ids
-        return b"".join(out)
+        return self.ranks.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
 
     def _whole(self, text: str) -> bytes:
         if self.whole is None:

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandflow.llm.common import splitmix
@@ -245,9 +245,9 @@ def fit(
     teach nothing; of labels that disagree the largest counts."""
     known = labels.where(learn).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).dropna()
     known = known.groupBy("id").agg((F.max("label") > 0).alias("label"))
-    by_hash = Window.partitionBy("label").orderBy(F.xxhash64("id", F.lit(11)), "id")
-    most = F.when(F.col("label"), per_class).otherwise(2 * per_class)
-    chosen = known.withColumn("at", F.row_number().over(by_hash)).where(F.col("at") <= most).select("id", "label")
+    by_hash = (F.xxhash64("id", F.lit(11)), "id")
+    toxic, clean = (known.where(F.col("label") == kind).orderBy(*by_hash).limit(n) for kind, n in ((True, per_class), (False, 2 * per_class)))
+    chosen = toxic.union(clean)
     # at most 3 * per_class rows
     sample = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text")).join(F.broadcast(chosen), "id")
     rows = sample.orderBy("id", "text").collect()

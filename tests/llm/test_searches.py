@@ -81,9 +81,7 @@ def test_embedding_dedup(spark):
     assert embedding_dedup(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
-@pytest.mark.parametrize("whole", [1024, 4])
-def test_embedding_dedup_of_mixed_lengths(spark, monkeypatch, whole):
-    monkeypatch.setattr(embedding_module, "BLOCK", whole)
+def test_embedding_dedup_of_mixed_lengths(spark):
     draw = np.random.default_rng(9)
     vectors = []
     for dim, groups in ((32, 20), (48, 6), (7, 4), (2, 3), (1, 2)):
@@ -96,10 +94,35 @@ def test_embedding_dedup_of_mixed_lengths(spark, monkeypatch, whole):
     want = [sum(len(u) == len(v) and u @ v >= 0.95 for u in unit) - 1 for v in unit]
     for dim in (1, 2, 7, 32, 48):
         found = [(got[k].n_links, want[k]) for k in range(len(unit)) if len(unit[k]) == dim]
-        assert all(f <= w for f, w in found) and sum(f for f, _ in found) >= (0.97 if dim > 7 or whole > 4 else 0.85) * sum(w for _, w in found) > 0, dim
+        assert all(f <= w for f, w in found) and sum(f for f, _ in found) >= (0.97 if dim > 7 else 0.85) * sum(w for _, w in found) > 0, dim
     assert got[110].n_links >= 2 and got[len(rows) - 1].component_id == got[110].component_id <= 110
 
 
+def test_embedding_dedup_of_five_thousand_vectors(spark):
+    draw = np.random.default_rng(21)
+    centres = draw.standard_normal((700, 64))
+    x = np.concatenate([np.repeat(centres, 5, axis=0) + 0.16 * draw.standard_normal((3500, 64)), draw.standard_normal((1500, 64))]).astype("float32")
+    rows = [(k, v.tolist()) for k, v in enumerate(x)]
+    got = {r.id: r for r in embedding_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()}
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    linked = unit @ unit.T >= 0.95
+    want, found = linked.sum(axis=1) - 1, np.array([got[k].n_links for k in range(len(x))])
+    assert want.sum() > 3000 and (found <= want).all() and found.sum() >= 0.99 * want.sum()
+
+
+@pytest.mark.parametrize("dim, vectors", [(64, 500), (64, 50_000), (64, 1_000_000), (64, 100_000_000), (384, 100_000_000)])
+def test_pairs_at_the_threshold_share_a_cap(dim, vectors):
+    """Planted pairs at cosine 0.95 exactly, with the books of so many vectors."""
+    draw = np.random.default_rng(3)
+    a, r = draw.standard_normal((2, 200, dim))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    r -= (r * a).sum(axis=1, keepdims=True) * a
+    b = 0.95 * a + np.sqrt(1 - 0.95**2) * r / np.linalg.norm(r, axis=1, keepdims=True)
+    caps = embedding_module.CapFilters(dim, vectors)
+    met = [len(np.intersect1d(x, y)) > 0 for x, y in zip(caps.decode(a), caps.decode(b))]
+    assert np.mean(met) >= 0.95
+
+
 BRUTE = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
     "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
