@@ -9,17 +9,18 @@ from __future__ import annotations
 from datetime import date
 from functools import cached_property
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from demandflow.operators.dimensions import checked_broadcast
 from demandflow.operators.promotions import PromoSteps, discount_steps, measured
-from demandflow.operators.series import weekly_demand
-from demandflow.plans import gold
+from demandflow.operators.series import valid_pairs, weekly_demand
+from demandflow.plans import gold, model
 from demandflow.plans.actions import action_list, upsert_status
-from demandflow.plans.features import FEATURE_DISCOUNTS, build_features
-from demandflow.plans.forecast import score, uplift_predictor
+from demandflow.plans.features import FEATURE_DISCOUNTS, build_features, labels
+from demandflow.plans.forecast import holdout_split, score, training_set, uplift_predictor
 from demandflow.schemas import LANDING_SCHEMAS
 from demandflow.session import run_folder, use_utc
 from demandflow.sinks.tables import materialize, write_landing
@@ -287,6 +288,31 @@ class Retail:
     def features(self) -> DataFrame:
         return self._written("weekly_demand_features", self.features_plan("all"))
 
+    # models, fitted once
+
+    @cached_property
+    def training(self) -> DataFrame:
+        """Labels with their features and part, written once: iterations and errors read it again."""
+        known = labels(self.weekly, valid_pairs(self.weekly))
+        return self._written("training_set", holdout_split(training_set(known, self.features)), partition_by=["part"])
+
+    @property
+    def models(self) -> str:
+        return f"{self.folder}/models"
+
+    @cached_property
+    def fitted(self) -> PipelineModel:
+        return model.fit_demand_model(self.training.where("part = 'train'"))
+
+    @cached_property
+    def saved_version(self) -> int:
+        return model.save_coefficients(self.spark, self.models, model.coefficients(self.fitted))
+
+    @cached_property
+    def predictors(self) -> dict:
+        trees = model.fit_trees(self.training.where("part = 'train'"))
+        return {"boosted_trees": model.trees_predictor(trees), "glm_poisson": model.glm_predictor(self.fitted)}
+
     @cached_property
     def forecast(self) -> DataFrame:
         return self._written("forecast_demand", self.forecast_plan(), partition_by=["week"])

@@ -457,6 +457,22 @@ CASE WHEN p_size > 40 THEN p_brand END AS null_unless_large, CASE WHEN p_size >
 ['a', 'b', 'c'][p_size % 3 + 1] AS picked, try_cast(p_type AS INTEGER) AS unreadable FROM part""",
     "action_status_stream": "SELECT * FROM status_table",
 }
+_MODEL_VERSION, _MODEL = max(q.SAVED_MODELS.items())
+_RAW = (
+    "exp({intercept} + {log_4wk} * ln(1 + rolling_4wk_avg) + {log_12wk} * ln(1 + avg_demand_last_12w) + {promoted} * is_promoted "
+    "+ {discount_pct_feat} * discount_pct_feat + {season_sin} * sin(2 * pi() * week_of_year / 52) "
+    "+ {season_cos} * cos(2 * pi() * week_of_year / 52))"
+).format(**{name: f"{value}::DOUBLE" for name, value in _MODEL.items()})
+TAILS["saved_model_forecast"] = f"""
+SELECT sku, store_id, week, predicted_demand, avg_demand_last_12w,
+       predicted_demand > avg_demand_last_12w * 1.3 AND avg_demand_last_12w > 0 AS is_stockout_risk,
+       predicted_demand < avg_demand_last_12w * 0.7 AND avg_demand_last_12w > 0 AS is_overstock_risk,
+       'glm_poisson_v{_MODEL_VERSION}' AS model_version
+FROM (SELECT *, CAST(greatest(0, round({_RAW})) AS INTEGER) AS predicted_demand FROM future)"""
+TAILS["model_choice_rows"] = f"""
+SELECT model, count(*) FILTER (WHERE part = 'train') AS train_rows, count(*) FILTER (WHERE part = 'test') AS holdout_rows,
+       (SELECT count(*) FROM future) AS scored_rows
+FROM ({TAILS["holdout_split"]}) CROSS JOIN (VALUES ('boosted_trees'), ('glm_poisson')) m(model) GROUP BY model"""
 TAILS["silver_stream_transactions"] = "SELECT * FROM transactions"
 TAILS["quality_stream_violations"] = TAILS["quality_violations"].replace("typed_spoiled", "typed_deliveries")
 TAILS["scd1_stream_transactions"] = TAILS["scd1_transactions"]

@@ -37,6 +37,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 EXPLORER_STORE, EXPLORER_SKU = "NATION_3", "BR-007"
 DASHBOARD_WEEK = str(FORECAST_AS_OF)
 QUEUE_FILTERS = {"region": "EUROPE", "store_name": "all", "category": "Apparel", "risk_type": "Stockout", "status": "all"}
+# Coefficients of two saved versions of the demand model; the later one counts.
+SAVED_MODELS = {
+    1: dict(intercept=0.5, log_4wk=0.5, log_12wk=0.4, promoted=0.0, discount_pct_feat=0.0, season_sin=0.0, season_cos=0.0),
+    2: dict(intercept=0.125, log_4wk=0.375, log_12wk=0.5625, promoted=0.0625, discount_pct_feat=1.75, season_sin=0.03125, season_cos=-0.0625),
+}
 QUEUE_OPTIONS = ["region", "store_name", "category", "risk_type", "status"]
 
 _QUERIES: dict[str, Query] = {}
@@ -400,20 +405,40 @@ def baseline_mae(r: Retail) -> DataFrame:
     return errors.withColumns({c: F.round(c, 6) for c in errors.columns if c.startswith("mae_")})
 
 
-def _fitted(r: Retail):
-    rows = forecast.holdout_split(training_set(r))
-    return model.fit_and_evaluate(rows, run_folder(r.spark, "model"))
-
-
 @query
 def model_mae(r: Retail) -> DataFrame:
-    return _fitted(r)[1]
+    return model.model_mae(r.fitted, r.training.where("part = 'test'"))
 
 
 @query
 def glm_forecast(r: Retail) -> DataFrame:
-    fitted, _ = _fitted(r)
-    return forecast.score(r.features_plan("future"), model.glm_predictor(fitted), model.model_name(1))
+    """Scored with the newest version that the last fit saved."""
+    version = r.saved_version
+    predict = model.coefficient_predictor(model.load_coefficients(r.spark, r.models, version), version)
+    return forecast.score(r.features_plan("future"), predict, model.model_name(version))
+
+
+@query
+def saved_model_forecast(r: Retail) -> DataFrame:
+    """A model kept as data: of the versions in a folder the highest is found, joined and scored."""
+    folder = run_folder(r.spark, "models")
+    for version, terms in SAVED_MODELS.items():
+        model.save_coefficients(r.spark, folder, terms, version)
+    version = model.latest_version(r.spark, folder)
+    predict = model.coefficient_predictor(model.load_coefficients(r.spark, folder, version), version)
+    return forecast.score(r.features_plan("future"), predict, model.model_name(version))
+
+
+@query
+def model_choice(r: Retail) -> DataFrame:
+    """Poisson model and boosted trees on the same holdout."""
+    return model.choose_model(r.predictors, r.training.where("part = 'train'"), r.training.where("part = 'test'"), r.features_plan("future"))
+
+
+@query
+def model_choice_rows(r: Retail) -> DataFrame:
+    """How many rows each model learned from, was judged on and scored."""
+    return model_choice(r).select("model", "train_rows", "holdout_rows", "scored_rows")
 
 
 # ---------------------------------------------------------------- actions

@@ -1,13 +1,18 @@
-"""Poisson demand model on Spark ML: fitted and scored on the cluster, no Python in the rows."""
+"""Demand models on Spark ML: fitted and scored on the cluster, no Python in the rows.
+
+The Poisson model is kept as data, a table with one row of coefficients per version: scoring is an
+expression over a one-row join, and any engine that reads the table scores the same. Boosted trees are
+fitted beside it and judged on the same holdout.
+"""
 
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_
+from operator import add, and_
 
 from pyspark.ml import PipelineModel, Pipeline
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.regression import GeneralizedLinearRegression
+from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,8 +93,44 @@ def fit_and_evaluate(training: DataFrame, folder: str) -> tuple[PipelineModel, D
     return model, model_mae(model, rows.where("part = 'test'"))
 
 
-def save_model(model: PipelineModel, folder: str, version: int) -> None:
-    model.write().overwrite().save(f"{folder}/{model_name(version)}")
+def coefficients(model: PipelineModel) -> dict[str, float]:
+    glm = model.stages[-1]
+    return {"intercept": float(glm.intercept), **dict(zip(_INPUTS, map(float, glm.coefficients)))}
+
+
+def save_coefficients(spark: SparkSession, folder: str, terms: dict[str, float], version: int | None = None) -> int:
+    """Write a model as a table of one row; its number follows the highest in the folder unless given."""
+    version = version or latest_version(spark, folder) + 1
+    columns = ["intercept", *_INPUTS]
+    row = spark.createDataFrame([(model_name(version), *[terms[c] for c in columns])], ["model_version", *columns])
+    row.coalesce(1).write.mode("overwrite").parquet(f"{folder}/{model_name(version)}")
+    return version
+
+
+def load_coefficients(spark: SparkSession, folder: str, version: int) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{model_name(version)}")
+
+
+def coefficient_predictor(terms: DataFrame, version: int):
+    """Predictor for ``forecast.score`` from a row of coefficients; a row that lacks a feature has no prediction."""
+    name = model_name(version)
+    model = terms.where(F.col("model_version") == name).select(
+        F.col("model_version").alias("__version"), *[F.col(c).alias(f"__{c}") for c in ("intercept", *_INPUTS)]
+    )
+    year = 2 * F.pi() * F.col("week_of_year") / 52
+    values = {
+        "log_4wk": F.ln(1 + F.col("rolling_4wk_avg")), "log_12wk": F.ln(1 + F.col("avg_demand_last_12w")),
+        "promoted": F.col("is_promoted").cast("double"), "discount_pct_feat": F.col("discount_pct_feat"),
+        "season_sin": F.sin(year), "season_cos": F.cos(year),
+    }
+
+    def predict(features: DataFrame) -> DataFrame:
+        # one row by its version, so the broadcast is of one row
+        joined = features.withColumn("__version", F.lit(name)).join(F.broadcast(model), "__version")
+        total = reduce(add, [F.col(f"__{c}") * values[c] for c in _INPUTS], F.col("__intercept"))
+        return joined.select(*features.columns, F.exp(total).alias("prediction"))
+
+    return predict
 
 
 def latest_version(spark: SparkSession, folder: str) -> int:
@@ -99,5 +140,42 @@ def latest_version(spark: SparkSession, folder: str) -> int:
     return max((int(f.getPath().getName().removeprefix(MODEL_PREFIX)) for f in found), default=0)
 
 
-def load_model(folder: str, version: int) -> PipelineModel:
-    return PipelineModel.load(f"{folder}/{model_name(version)}")
+def fit_trees(training: DataFrame, trees: int = 20, depth: int = 5) -> PipelineModel:
+    """Boosted regression trees on the log of demand, over the same features; incomplete rows teach nothing."""
+    gbt = GBTRegressor(
+        featuresCol="inputs", labelCol="log_demand", predictionCol="log_prediction",
+        maxIter=trees, maxDepth=depth, stepSize=0.2, seed=17,
+    )
+    stages = [
+        SQLTransformer(statement=f"SELECT *, ln(1 + {LABEL}) AS log_demand FROM __THIS__"),
+        VectorAssembler(inputCols=FEATURES, outputCol="inputs", handleInvalid="keep"), gbt,
+    ]
+    return Pipeline(stages=stages).fit(training.dropna(subset=[*FEATURES, LABEL]))
+
+
+def trees_predictor(model: PipelineModel):
+    scorer = PipelineModel(stages=model.stages[1:])
+
+    def predict(features: DataFrame) -> DataFrame:
+        scored = scorer.transform(features)
+        whole = reduce(and_, [F.col(c).isNotNull() for c in FEATURES])
+        known = F.when(whole, F.greatest(F.lit(0.0), F.exp("log_prediction") - 1))
+        return scored.select(*features.columns, known.alias("prediction"))
+
+    return predict
+
+
+def choose_model(predictors: dict, training: DataFrame, holdout: DataFrame, future: DataFrame) -> DataFrame:
+    """(model, train_rows, holdout_rows, scored_rows, mae_holdout, is_chosen): every predictor on the same
+    holdout; the smallest error is chosen, ties by name."""
+    rows = []
+    for name, predict in predictors.items():
+        judged = predict(holdout.dropna(subset=FEATURES)).agg(F.count("prediction").alias("holdout_rows"), mae(LABEL, "prediction").alias("mae_holdout"))
+        rows.append(judged.select(
+            F.lit(name).alias("model"),
+            training.dropna(subset=[*FEATURES, LABEL]).agg(F.count(F.lit(1))).scalar().alias("train_rows"), "holdout_rows",
+            predict(future).agg(F.count("prediction")).scalar().alias("scored_rows"), "mae_holdout",
+        ))
+    table = reduce(DataFrame.unionByName, rows)
+    best = table.agg(F.min(F.struct("mae_holdout", "model"))["model"])
+    return table.withColumn("is_chosen", F.col("model") == best.scalar())

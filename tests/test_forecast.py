@@ -91,12 +91,14 @@ def training(spark):
     )
 
 
-def test_rows_without_features_come_back_without_a_forecast(spark, training):
+def test_rows_without_features_come_back_without_a_forecast(spark, training, tmp_path):
     holes = training.withColumn("rolling_4wk_avg", F.when(F.col("sku") != "s3", F.col("rolling_4wk_avg")))
     fitted = model.fit_demand_model(holes.where("part = 'train'"))
-    out = model.glm_predictor(fitted)(holes)
-    assert out.count() == training.count()
-    assert out.where("prediction IS NULL").select("sku").distinct().collect() == [("s3",)]
+    model.save_coefficients(spark, str(tmp_path), model.coefficients(fitted))
+    for predict in (model.glm_predictor(fitted), model.coefficient_predictor(model.load_coefficients(spark, str(tmp_path), 1), 1)):
+        out = predict(holes)
+        assert out.count() == training.count()
+        assert out.where("prediction IS NULL").select("sku").distinct().collect() == [("s3",)]
 
 
 def test_model_learns_promotions_and_can_be_saved(spark, training, tmp_path):
@@ -104,12 +106,30 @@ def test_model_learns_promotions_and_can_be_saved(spark, training, tmp_path):
     row = errors.first()
     assert row.beats_naive and row.mae_holdout < 0.2 * row.mae_naive_avg12w
     assert model.latest_version(spark, str(tmp_path)) == 0
+    terms = model.coefficients(fitted)
+    assert model.save_coefficients(spark, str(tmp_path), terms) == 1
     for version in (2, 11, 3):
-        model.save_model(fitted, str(tmp_path), version)
+        model.save_coefficients(spark, str(tmp_path), {**terms, "intercept": version}, version)
     assert model.latest_version(spark, str(tmp_path)) == 11
-    again = model.load_model(str(tmp_path), 3)
+    assert model.load_coefficients(spark, str(tmp_path), 11).first().intercept == 11
+    saved = model.coefficient_predictor(model.load_coefficients(spark, str(tmp_path), 1), 1)
     rows = training.where("part = 'test'")
-    first, second = (forecast.score(rows, model.glm_predictor(m), model.model_name(3)) for m in (fitted, again))
+    first, second = (forecast.score(rows, predict, model.model_name(1)) for predict in (model.glm_predictor(fitted), saved))
     assert sorted(map(tuple, first.collect())) == sorted(map(tuple, second.collect()))
-    assert first.first().model_version == "glm_poisson_v3"
+    assert first.first().model_version == "glm_poisson_v1"
     assert first.where("predicted_demand < 0").count() == 0
+
+
+def test_trees_and_the_poisson_model_on_one_holdout(spark, training):
+    train, test = training.where("part = 'train'"), training.where("part = 'test'")
+    predictors = {
+        "boosted_trees": model.trees_predictor(model.fit_trees(train, trees=5, depth=3)),
+        "glm_poisson": model.glm_predictor(model.fit_demand_model(train)),
+    }
+    rows = {r.model: r for r in model.choose_model(predictors, train, test, test.limit(7)).collect()}
+    assert {(r.train_rows, r.holdout_rows, r.scored_rows) for r in rows.values()} == {(train.count(), test.count(), 7)}
+    best = min(rows, key=lambda m: rows[m].mae_holdout)
+    assert [m for m in rows if rows[m].is_chosen] == [best]
+    assert rows["boosted_trees"].mae_holdout < 5
+    holes = training.withColumn("rolling_4wk_avg", F.when(F.col("sku") != "s3", F.col("rolling_4wk_avg")))
+    assert predictors["boosted_trees"](holes).where("prediction IS NULL").select("sku").distinct().collect() == [("s3",)]
