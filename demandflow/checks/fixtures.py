@@ -23,7 +23,7 @@ from demandflow.plans.features import FEATURE_DISCOUNTS, build_features, labels
 from demandflow.plans.forecast import holdout_split, score, training_set, uplift_predictor
 from demandflow.schemas import LANDING_SCHEMAS
 from demandflow.session import run_folder, use_utc
-from demandflow.sinks.tables import materialize, write_landing
+from demandflow.sinks.tables import materialize, newest_partition, write_landing
 from demandflow.sources.landing import stream_parquet
 from demandflow.streaming.flows import rule_failures, run_bronze, run_silver
 
@@ -179,8 +179,8 @@ class Retail:
         schema: StructType = self.given(name).schema
         return stream_parquet(self.spark, self.sf_dir, schema, glob=f"{name}.parquet")
 
-    def _written(self, name: str, plan: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
-        return materialize(plan, f"{self.folder}/{name}", partition_by)
+    def _written(self, name: str, plan: DataFrame, partition_by: list[str] | None = None, **layout) -> DataFrame:
+        return materialize(plan, f"{self.folder}/{name}", partition_by, **layout)
 
     # landing
 
@@ -276,9 +276,17 @@ class Retail:
     def promo_steps(self) -> PromoSteps:
         return measured(self._written("promotion_steps", discount_steps(self.promos(), FEATURE_DISCOUNTS)))
 
+    @cached_property
+    def fact_by_month(self) -> DataFrame:
+        plan = gold.with_sale_month(self.fact_plan())
+        return self._written("fact_transactions", plan, [gold.SALE_MONTH], sort_by=["store_id", "sku"])
+
     @cached_property
     def fact(self) -> DataFrame:
-        return self._written("fact_transactions", self.fact_plan())
+        return self.fact_by_month.drop(gold.SALE_MONTH)
+
+    def newest(self, table: str, column: str) -> str | None:
+        return newest_partition(self.spark, f"{self.folder}/{table}", column)
 
     @cached_property
     def weekly(self) -> DataFrame:

@@ -38,8 +38,10 @@ _TARGETS = """(p.target_store_id = w.store_id OR p.target_region = w.region)
 
 _OVERLAP = f"""
 SELECT w.sku, w.store_id, w.week, max(p.discount_pct) AS best
-FROM {{rows}} w JOIN {{promos}} p
-  ON p.promo_start_date <= w.week + 6 AND p.promo_end_date >= w.week AND {_TARGETS}
+FROM {{rows}} w JOIN (
+  SELECT *, CAST(unnest(generate_series(date_trunc('week', promo_start_date)::TIMESTAMP, promo_end_date::TIMESTAMP, INTERVAL 7 DAY)) AS DATE) AS promo_week
+  FROM {{promos}}) p
+  ON p.promo_week = w.week AND {_TARGETS}
 GROUP BY ALL
 """
 
@@ -218,8 +220,10 @@ WHERE ({_RISK}) AND week = (SELECT max(week) FROM forecast)""",
 SELECT f.*, region, category, unit_price FROM fact f JOIN stores USING (store_id) JOIN products USING (sku)""",
     "day_best": f"""
 SELECT w.sku, w.store_id, w.date_id, max(p.discount_pct) AS best
-FROM (SELECT DISTINCT sku, store_id, date_id, region, category FROM sales_described) w JOIN past_promos p
-  ON p.promo_start_date <= w.date_id AND p.promo_end_date >= w.date_id AND {_TARGETS}
+FROM (SELECT DISTINCT sku, store_id, date_id, region, category FROM sales_described) w JOIN (
+  SELECT *, CAST(unnest(generate_series(promo_start_date::TIMESTAMP, promo_end_date::TIMESTAMP, INTERVAL 1 DAY)) AS DATE) AS promo_day
+  FROM past_promos) p
+  ON p.promo_day = w.date_id AND {_TARGETS}
 GROUP BY ALL""",
     "sales_discounted": """
 SELECT s.*, coalesce(best, 0.0) AS discount_float FROM sales_described s LEFT JOIN day_best USING (sku, store_id, date_id)""",
@@ -289,6 +293,9 @@ FROM (SELECT CAST(unnest(generate_series(
         (SELECT make_date(CAST(year(max(date_id)) AS BIGINT), 12, 31) FROM fact)::TIMESTAMP, INTERVAL 1 DAY)) AS DATE) AS d)""",
     "dim_product": "SELECT * FROM products",
     "dim_store": "SELECT * FROM stores",
+    "feature_merge": "SELECT * FROM features UNION ALL SELECT * FROM left_over",
+    "forecast_table": "SELECT * FROM forecast",
+    "bronze_stream_table": "SELECT *, 'pos_system' AS _source_system FROM landing_transactions UNION ALL SELECT *, 'pos_system' FROM corrections",
     "feature_upsert": "SELECT * FROM features UNION ALL SELECT * FROM left_over",
     "action_list_snapshot": "SELECT * FROM actions",
     "action_status_upsert": "SELECT * FROM status_table",
@@ -351,7 +358,7 @@ FROM sales_discounted""",
     "holdout_split": """SELECT *, CASE WHEN week < (
   SELECT min(week) FROM (SELECT DISTINCT week FROM label_rows ORDER BY week DESC LIMIT 8)) THEN 'train' ELSE 'test' END AS part
 FROM label_rows""",
-    "training_set": "SELECT l.*, f.* EXCLUDE (sku, store_id, week) FROM label_rows l LEFT JOIN features f USING (sku, store_id, week)",
+    "training_set": "SELECT l.*, f.* EXCLUDE (sku, store_id, week) FROM label_rows l LEFT JOIN history f USING (sku, store_id, week)",
     "asof_features": """SELECT s.transaction_id, s.sku, s.store_id, s.date_id, f.rolling_4wk_avg, f.avg_demand_last_12w,
 f.is_promoted FROM fact s ASOF LEFT JOIN features f ON s.sku = f.sku AND s.store_id = f.store_id AND s.date_id >= f.week""",
     "asof_score_features": """SELECT k.*, f.* EXCLUDE (sku, store_id, week) FROM keys k
@@ -473,6 +480,7 @@ TAILS["model_choice_rows"] = f"""
 SELECT model, count(*) FILTER (WHERE part = 'train') AS train_rows, count(*) FILTER (WHERE part = 'test') AS holdout_rows,
        (SELECT count(*) FROM future) AS scored_rows
 FROM ({TAILS["holdout_split"]}) CROSS JOIN (VALUES ('boosted_trees'), ('glm_poisson')) m(model) GROUP BY model"""
+TAILS["risk_dashboard_bound"], TAILS["forecast_explorer_bound"] = TAILS["risk_dashboard"], TAILS["forecast_explorer"]
 TAILS["silver_stream_transactions"] = "SELECT * FROM transactions"
 TAILS["quality_stream_violations"] = TAILS["quality_violations"].replace("typed_spoiled", "typed_deliveries")
 TAILS["scd1_stream_transactions"] = TAILS["scd1_transactions"]

@@ -22,13 +22,13 @@ from demandflow.operators.selection import (
     next_n_weeks, next_week, option_lists, this_week,
 )
 from demandflow.operators import series
-from demandflow.plans import actions, features, forecast, gold, governance, model
+from demandflow.plans import actions, bound, features, forecast, gold, governance, model
 from demandflow.plans import questions, reports, summaries
 from demandflow.schemas import KEYS, LANDING_SCHEMAS, SERIES, SOURCE_SYSTEMS
 from demandflow.session import run_folder
 from demandflow.sinks.keyed import KeyedTable
-from demandflow.sinks.tables import append_stream, snapshot_sync, write_landing
-from demandflow.sources.landing import read_table, with_ingest_metadata
+from demandflow.sinks.tables import append_stream, overwrite_table, snapshot_sync, write_landing
+from demandflow.sources.landing import read_table, stream_table, with_ingest_metadata
 from demandflow.streaming.flows import run_bronze, run_status, scd1_upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -138,6 +138,34 @@ def feature_upsert(r: Retail) -> DataFrame:
     return features.upsert_features(earlier, r.features)
 
 
+@query
+def feature_merge(r: Retail) -> DataFrame:
+    """The earlier run and today's, one after the other into the feature table on disk."""
+    path = f"{run_folder(r.spark, 'features')}/weekly_demand_features"
+    cutoff = F.date_sub(series.data_end(r.weekly).scalar(), 7 * series.HORIZON_WEEKS)
+    earlier = r.weekly.where(F.col("week") <= cutoff)
+    features.merge_features(path, features.build_features(earlier, r.promo_steps, r.stores, r.products))
+    return features.merge_features(path, r.features)
+
+
+@query
+def forecast_table(r: Retail) -> DataFrame:
+    """The forecast as a catalog table, written twice; the second time its columns may not change."""
+    folder = run_folder(r.spark, "catalog")
+    name = f"forecast_demand_{folder[-12:]}"
+    overwrite_table(r.forecast.limit(0), name, path=folder)
+    return overwrite_table(r.forecast, name, overwrite_schema=False, path=folder)
+
+
+@query
+def bronze_stream_table(r: Retail) -> DataFrame:
+    """The bronze sales streamed on into another table, row by row as they were delivered."""
+    folder = run_folder(r.spark, "copy")
+    r.silver_sales  # noqa: B018 - the runs that fill bronze
+    append_stream(stream_table(r.spark, f"{r.folder}/bronze_transactions"), f"{folder}/table", f"{folder}/checkpoint").awaitTermination()
+    return read_table(r.spark, f"{folder}/table", *LANDING_SCHEMAS["transactions"].names, "_source_system")
+
+
 @query
 def action_list_snapshot(r: Retail) -> DataFrame:
     return snapshot_sync(r.actions, f"{run_folder(r.spark, 'snapshot')}/action_list", KEYS["actions"])
@@ -474,7 +502,8 @@ def filter_options(r: Retail) -> DataFrame:
 
 @query
 def risk_summary(r: Retail) -> DataFrame:
-    return reports.risk_summary(r.forecast)
+    rows = r.forecast
+    return reports.risk_summary(rows, r.newest("forecast_demand", "week"))
 
 
 @query
@@ -539,7 +568,10 @@ def explorer_options(r: Retail) -> DataFrame:
 
 @query
 def forecast_explorer(r: Retail) -> DataFrame:
-    return reports.forecast_explorer(r.fact, r.forecast, r.stores, r.products, EXPLORER_STORE, EXPLORER_SKU)
+    fact = r.fact_by_month
+    return reports.forecast_explorer(
+        fact, r.forecast, r.stores, r.products, EXPLORER_STORE, EXPLORER_SKU, newest_month=r.newest("fact_transactions", gold.SALE_MONTH)
+    )
 
 
 @query
@@ -552,6 +584,19 @@ def explorer_chart(r: Retail) -> DataFrame:
     return reports.explorer_chart(forecast_explorer(r))
 
 
+@query
+def risk_dashboard_bound(r: Retail) -> DataFrame:
+    tables = dict(forecast=r.forecast, stores=r.stores, products=r.products)
+    return bound.risk_dashboard(r.spark, tables, week=DASHBOARD_WEEK)
+
+
+@query
+def forecast_explorer_bound(r: Retail) -> DataFrame:
+    tables = dict(fact=r.fact_by_month, forecast=r.forecast, stores=r.stores, products=r.products)
+    newest = r.newest("fact_transactions", gold.SALE_MONTH)
+    return bound.forecast_explorer(r.spark, tables, store_name=EXPLORER_STORE, sku=EXPLORER_SKU, newest_month=newest)
+
+
 @query
 def top_stores_stockout(r: Retail) -> DataFrame:
     return reports.top_stores_stockout(r.forecast, r.stores)

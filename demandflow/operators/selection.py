@@ -48,9 +48,20 @@ def next_n_weeks(df: DataFrame, as_of: Column, n: int) -> DataFrame:
     return df.where((F.col("week") >= monday) & (F.col("week") < F.date_add(monday, 7 * n)))
 
 
-def trailing_period(df: DataFrame, date_col: str, weeks: int) -> DataFrame:
-    """Rows no older than ``weeks`` weeks before the newest date (not aligned to weeks)."""
-    return df.where(F.col(date_col) >= F.date_sub(df.agg(F.max(date_col)).scalar(), 7 * weeks))
+def trailing_period(
+    df: DataFrame, date_col: str, weeks: int, month_col: str | None = None, newest_month: str | None = None
+) -> DataFrame:
+    """Rows no older than ``weeks`` weeks before the newest date (not aligned to weeks).
+
+    For a table partitioned by the first day of the month, with its newest month known from the
+    listing, the newest date is looked up in that month and only the months in reach are read.
+    """
+    if month_col is None or newest_month is None:
+        return df.where(F.col(date_col) >= F.date_sub(df.agg(F.max(date_col)).scalar(), 7 * weeks))
+    month = F.lit(newest_month).cast("date")
+    newest = df.where(F.col(month_col) == month).agg(F.max(date_col))
+    reached = df.where(F.col(month_col) >= F.trunc(F.date_sub(month, 7 * weeks), "month"))
+    return reached.where(F.col(date_col) >= F.date_sub(newest.scalar(), 7 * weeks))
 
 
 def distinct_options(df: DataFrame, *columns: str) -> DataFrame:

@@ -12,7 +12,8 @@ from demandflow.operators.series import (
     HORIZON_WEEKS, MIN_HISTORY_WEEKS, data_end, valid_series,
 )
 from demandflow.schemas import FEATURE_COLUMNS, FEATURE_SCHEMA, KEYS, SERIES
-from demandflow.sinks.keyed import ARRIVAL, KeyedTable
+from demandflow.session import run_folder
+from demandflow.sinks.tables import materialize, overwrite_partitions, table_exists
 
 
 # Best discount of all promotions, and of those that are not in the future.
@@ -101,10 +102,26 @@ def upsert_features(target: DataFrame | None, features: DataFrame) -> DataFrame:
     return features if target is None else upsert(target, features, KEYS["features"])
 
 
-def feature_table(spark: SparkSession, path: str) -> KeyedTable:
-    """The feature table on disk. Each run is merged with ``apply`` at the cost of the run; the
-    last run wins per key and no row is deleted."""
-    return KeyedTable(spark, path, FEATURE_SCHEMA, KEYS["features"], [ARRIVAL])
+def merge_features(path: str, run: DataFrame) -> DataFrame:
+    """The feature table on disk after a run: new rows replace old ones by key, no row is deleted.
+
+    The table is partitioned by week. Only the weeks of the run are read and written again (dynamic
+    partition overwrite), so a run costs the weeks it touches and not the table. What is to be written
+    is complete in a folder of its own before the table is touched.
+    """
+    spark = run.sparkSession
+    fresh = materialize(run.select(*FEATURE_COLUMNS), run_folder(spark, "feature-run"))
+    touched = fresh.select("week").distinct()
+    if table_exists(spark, path):
+        # at most one row per week of the calendar
+        old = read_features(spark, path).join(F.broadcast(touched), "week", "left_semi")
+        fresh = materialize(upsert(old.select(*FEATURE_COLUMNS), fresh, KEYS["features"]), run_folder(spark, "feature-merge"))
+    overwrite_partitions(fresh, path, "week")
+    return read_features(spark, path)
+
+
+def read_features(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(FEATURE_SCHEMA).parquet(path).select(*FEATURE_COLUMNS)
 
 
 def labels(weekly: DataFrame, pairs: DataFrame) -> DataFrame:

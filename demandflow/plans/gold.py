@@ -48,6 +48,14 @@ def fact_transactions(transactions: DataFrame, products: DataFrame) -> DataFrame
     )
 
 
+SALE_MONTH = "sale_month"
+
+
+def with_sale_month(fact: DataFrame) -> DataFrame:
+    """The partition column of the sales on disk: the first day of the month."""
+    return fact.withColumn(SALE_MONTH, F.trunc("date_id", "month"))
+
+
 def fact_promotions(promotions: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Promotions with their state on ``as_of`` (today by default)."""
     day = F.current_date() if as_of is None else as_of

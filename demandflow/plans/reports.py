@@ -10,6 +10,7 @@ from demandflow.functions.measures import at_risk, promo_item, promo_scope, repo
 from demandflow.operators.dimensions import with_names
 from demandflow.operators.ranking import top_k, top_k_with_ties
 from demandflow.operators.selection import distinct_options, for_week, latest_week, trailing_period
+from demandflow.plans.gold import SALE_MONTH
 
 EXPLORER_WEEKS = 12
 UPCOMING_PROMOS = 50
@@ -20,16 +21,12 @@ PROMO_COLUMNS = [
 ]
 
 
-def risk_summary(forecast: DataFrame) -> DataFrame:
-    """Risk counts of the furthest week. Counted per week first, so the forecast is read once."""
-    per_week = forecast.groupBy("week").agg(
-        F.count_if("is_stockout_risk").alias("stockout_count"),
-        F.count_if("is_overstock_risk").alias("overstock_count"),
-    )
-    last = per_week.agg(F.max_by(F.struct("stockout_count", "overstock_count"), "week").alias("c"))
-    return last.select(
-        F.coalesce("c.stockout_count", F.lit(0)).alias("stockout_count"),
-        F.coalesce("c.overstock_count", F.lit(0)).alias("overstock_count"),
+def risk_summary(forecast: DataFrame, last_week: str | None = None) -> DataFrame:
+    """Risk counts of the furthest week. Where the forecast is partitioned by week and its last week is
+    known from the listing, that partition alone is read."""
+    rows = latest_week(forecast) if last_week is None else for_week(forecast, last_week)
+    return rows.agg(
+        F.count_if("is_stockout_risk").alias("stockout_count"), F.count_if("is_overstock_risk").alias("overstock_count")
     )
 
 
@@ -121,16 +118,17 @@ def explorer_options(forecast: DataFrame, stores: DataFrame, products: DataFrame
 
 def forecast_explorer(
     fact: DataFrame, forecast: DataFrame, stores: DataFrame, products: DataFrame,
-    store_name: str, sku: str, weeks: int = EXPLORER_WEEKS,
+    store_name: str, sku: str, weeks: int = EXPLORER_WEEKS, newest_month: str | None = None,
 ) -> DataFrame:
     """Actual demand of the last weeks and the forecast of one product in one store, by week.
 
-    The cut lies ``weeks`` weeks before the newest sale, so the first week may be partial.
+    The cut lies ``weeks`` weeks before the newest sale, so the first week may be partial. With
+    ``newest_month``, ``fact`` is the table partitioned by ``SALE_MONTH`` and few of its months are read.
     """
     one_store = stores.where(F.col("store_name") == store_name)
     one_sku = F.col("sku") == sku
     actual = (
-        trailing_period(fact, "date_id", weeks).where(one_sku)
+        trailing_period(fact, "date_id", weeks, SALE_MONTH if newest_month else None, newest_month).where(one_sku)
         .join(one_store.select("store_id"), "store_id")
         .groupBy("sku", "store_id", week_start("date_id").alias("week"))
         .agg(F.sum("quantity_sold").cast("double").alias("actual_demand"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,26 +17,50 @@ def append_stream(stream: DataFrame, path: str, checkpoint: str, name: str | Non
     return writer.trigger(availableNow=True).start(path)
 
 
-def materialize(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Full refresh of a parquet table; returns the table read back."""
+def materialize(df: DataFrame, path: str, partition_by: list[str] | None = None, sort_by: list[str] | None = None) -> DataFrame:
+    """Full refresh of a parquet table; returns the table read back. ``sort_by`` orders the rows of a
+    partition, so that a filter on those columns skips most of its row groups."""
     if partition_by:
         # few files per partition value; AQE splits the large values over several tasks
         rebalanced = df.hint("rebalance", *[F.col(c) for c in partition_by])
+        if sort_by:
+            rebalanced = rebalanced.sortWithinPartitions(*partition_by, *sort_by)
         rebalanced.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     else:
         df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def overwrite_table(df: DataFrame, name: str, overwrite_schema: bool = True) -> DataFrame:
-    """Replace a catalog table. With ``overwrite_schema=False`` the columns must stay the same."""
+def overwrite_partitions(df: DataFrame, path: str, column: str) -> None:
+    """Replace the partitions that ``df`` holds, few files each; others stay as they are."""
+    rows = df.hint("rebalance", F.col(column))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def newest_partition(spark: SparkSession, path: str, column: str) -> str | None:
+    """Largest value of a partition column, from the names of the folders: no file is opened."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}=*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    values = [status.getPath().getName().split("=", 1)[1] for status in found]
+    return max((v for v in values if v != "__HIVE_DEFAULT_PARTITION__"), default=None)
+
+
+def overwrite_table(df: DataFrame, name: str, overwrite_schema: bool = True, path: str | None = None) -> DataFrame:
+    """Replace a catalog table, kept at ``path`` if given. With ``overwrite_schema=False`` the columns must
+    stay the same."""
     spark = df.sparkSession
     if not overwrite_schema and spark.catalog.tableExists(name):
         before = [(f.name, f.dataType) for f in spark.read.table(name).schema]
         after = [(f.name, f.dataType) for f in df.schema]
         if before != after:
             raise ValueError(f"schema of {name} is frozen: {before} -> {after}")
-    df.write.mode("overwrite").saveAsTable(name)
+    writer = df.write.mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
     return spark.read.table(name)
 
 

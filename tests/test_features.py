@@ -133,14 +133,16 @@ def test_merge_keeps_rows_of_earlier_runs(world, spark):
 
 
 def test_runs_are_merged_on_disk(world, spark, tmp_path):
-    table = features.feature_table(spark, str(tmp_path / "features"))
+    path = str(tmp_path / "features")
     first = build(world, "all")
-    assert [(f.name, f.dataType) for f in first.schema] == [(f.name, f.dataType) for f in table.schema]
-    table.apply(first, 1)
-    table.apply(first.where("week > '2024-03-01'").withColumn("rolling_4wk_avg", F.lit(-1.0)), 2)
-    later = features.upsert_features(first, first.where("week > '2024-03-01'").withColumn("rolling_4wk_avg", F.lit(-1.0)))
-    assert collect(table.read()) == collect(later)
-    assert_unique(table.read(), KEYS["features"])
+    again = first.where("week > '2024-03-01' AND sku <> 'EL-003'").withColumn("rolling_4wk_avg", F.lit(-1.0))
+    assert collect(features.merge_features(path, first)) == collect(first)
+    untouched = {f: f.stat().st_mtime_ns for f in (tmp_path / "features").rglob("week=2024-02-*/*.parquet")}
+    merged = features.merge_features(path, again)
+    assert collect(merged) == collect(features.upsert_features(first, again))
+    assert untouched and untouched == {f: f.stat().st_mtime_ns for f in (tmp_path / "features").rglob("week=2024-02-*/*.parquet")}
+    assert_unique(merged, KEYS["features"])
+    assert collect(features.merge_features(path, again.limit(0))) == collect(merged)
 
 
 def test_holdout_split_and_training_set(world):
