@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 from demandflow.operators import selection
 from demandflow.operators.dimensions import checked_broadcast, fits_broadcast
 from demandflow.operators.ranking import sample_rows, top_k_with_ties
-from demandflow.plans import actions, governance, questions, reports, summaries
+from demandflow.plans import actions, bound, governance, questions, reports, summaries
 from demandflow.operators.masking import register_mask_function
-from demandflow.plans.gold import fact_transactions
+from demandflow.plans.gold import SALE_MONTH, fact_transactions, with_sale_month
+from demandflow.sinks.tables import materialize, newest_partition
 
 W1, W2, W3 = date(2025, 1, 6), date(2025, 1, 13), date(2025, 1, 20)
 FORECAST = (
@@ -215,3 +216,59 @@ def test_tags(spark):
     rows = [("g", "b", None, "layer", "x"), ("g", "b", "c", "layer", "x"), ("g", "a", None, "layer", "y"), ("g", "a", None, "owner", "z")]
     tags = spark.createDataFrame(rows, "schema_name string, table_name string, column_name string, tag_name string, tag_value string")
     assert [tuple(r) for r in governance.tag_report(tags, ("layer",)).collect()] == [("g", "a", "layer", "y"), ("g", "b", "layer", "x")]
+
+
+@pytest.fixture
+def on_disk(spark, tmp_path):
+    """A year of sales by month and a forecast of three weeks, as tables."""
+    days = spark.range(366 * 4).selectExpr(
+        "concat('t', id) AS transaction_id", "IF(id % 2 = 0, 'a', 'b') AS sku", "IF(id % 4 < 2, '1', '2') AS store_id",
+        "date_add(DATE'2024-01-01', CAST(id / 4 AS INT)) AS date_id", "CAST(id % 5 AS INT) AS quantity_sold",
+    )
+    fact = materialize(with_sale_month(days), str(tmp_path / "fact"), [SALE_MONTH], sort_by=["store_id", "sku"])
+    ahead = spark.createDataFrame(
+        [(sku, store, week, 5, 4.0, sku == "a", sku == "b", "m") for sku in "ab" for store in "12" for week in (W1, W2, W3)], FORECAST
+    )
+    return fact, materialize(ahead, str(tmp_path / "forecast"), ["week"]), str(tmp_path)
+
+
+def scans(df):
+    return [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "PartitionFilters" in line]
+
+
+def test_explorer_reads_the_months_in_reach(spark, on_disk, stores, products):
+    fact, forecast, folder = on_disk
+    newest = newest_partition(spark, f"{folder}/fact", SALE_MONTH)
+    assert newest == "2024-12-01"
+    pruned = reports.forecast_explorer(fact, forecast, stores, products, "One", "a", newest_month=newest)
+    whole = reports.forecast_explorer(fact.drop(SALE_MONTH), forecast, stores, products, "One", "a")
+    assert sorted(map(tuple, pruned.collect())) == sorted(map(tuple, whole.collect()))
+    of_sales = [line for line in scans(pruned) if "date_id" in line]
+    assert of_sales and all("sale_month#" in line.split("PartitionFilters", 1)[1] for line in of_sales)
+    assert any("EqualTo(sku,a)" in line for line in of_sales)
+
+
+def test_risk_summary_reads_one_week(spark, on_disk):
+    _, forecast, folder = on_disk
+    week = newest_partition(spark, f"{folder}/forecast", "week")
+    assert week == str(W3) and newest_partition(spark, f"{folder}/nothing", "week") is None
+    one = reports.risk_summary(forecast, week)
+    assert tuple(one.first()) == tuple(reports.risk_summary(forecast).first()) == (2, 2)
+    assert all("2025-01-20" in line or "20108" in line for line in scans(one)) and len(scans(one)) >= 1
+
+
+def test_bind_parameters_give_the_reports(spark, on_disk, stores, products):
+    fact, forecast, folder = on_disk
+    tables = dict(forecast=forecast, stores=stores, products=products)
+    same = reports.risk_dashboard(forecast, stores, products, str(W2))
+    assert list(map(tuple, bound.risk_dashboard(spark, tables, week=str(W2)).collect())) == list(map(tuple, same.collect()))
+    assert bound.risk_dashboard(spark, tables).count() == 0
+    assert bound.risk_dashboard(spark, tables, week="2025-01-13' OR '1' = '1").count() == 0
+    newest = newest_partition(spark, f"{folder}/fact", SALE_MONTH)
+    tables["fact"] = fact
+    found = bound.forecast_explorer(spark, tables, store_name="One", sku="a", newest_month=newest)
+    want = reports.forecast_explorer(fact, forecast, stores, products, "One", "a", newest_month=newest)
+    assert list(map(tuple, found.orderBy("week", "actual_demand").collect())) == list(map(tuple, want.orderBy("week", "actual_demand").collect()))
+    assert all("sale_month#" in line.split("PartitionFilters", 1)[1] for line in scans(found) if "date_id" in line)
+    assert bound.forecast_explorer(spark, tables, store_name="One", newest_month=newest).count() == 0
+    assert bound.forecast_explorer(spark, tables, store_name="One' --", sku="a", newest_month=newest).count() == 0
