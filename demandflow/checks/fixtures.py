@@ -1,6 +1,7 @@
 """Retail-shaped inputs derived from the given tables (see FIXTURES.md).
 
-Brands play the products, nations the stores, line items the sales and parts the promotions.
+Brands play the products, suppliers the stores, line items the sales and parts the promotions, so stores
+and series grow with the tables.
 Every input uses all rows of the tables it comes from.
 """
 
@@ -64,21 +65,22 @@ def category_of(position: Column) -> Column:
     return F.element_at(names, (position + 1).cast("int"))
 
 
-def store_rows(nation: DataFrame, region: DataFrame) -> DataFrame:
-    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).selectExpr(
-        "CAST(1001 + n_nationkey AS STRING) AS store_id",
-        "n_name AS store_name",
+def store_rows(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
+    placed = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    return supplier.join(placed, F.col("s_nationkey") == F.col("n_nationkey")).selectExpr(
+        "CAST(1001 + s_suppkey AS STRING) AS store_id",
+        "s_name AS store_name",
         "r_name AS region",
-        "element_at(array('flagship', 'standard', 'express'), CAST((1001 + n_nationkey) % 3 + 1 AS INT)) AS store_type",
-        "concat('mgr_', n_nationkey) AS manager_name",
-        "concat('mgr_', n_nationkey, '@example.com') AS manager_email",
-        "concat('+1-555-', lpad(CAST(n_nationkey AS STRING), 4, '0')) AS manager_phone",
+        "element_at(array('flagship', 'standard', 'express'), CAST((1001 + s_suppkey) % 3 + 1 AS INT)) AS store_type",
+        "concat('mgr_', s_suppkey) AS manager_name",
+        "concat('mgr_', s_suppkey, '@example.com') AS manager_email",
+        "concat('+1-555-', lpad(CAST(s_suppkey AS STRING), 4, '0')) AS manager_phone",
         "'2015-01-01' AS manager_since",
     )
 
 
 def sale_rows(
-    lineitem: DataFrame, part: DataFrame, supplier: DataFrame, products: DataFrame, keep: list[str] | None = None
+    lineitem: DataFrame, part: DataFrame, products: DataFrame, keep: list[str] | None = None
 ) -> DataFrame:
     """Works on a batch and on a stream of line items; ``keep`` names columns to carry along."""
     priced = products.select(
@@ -86,12 +88,11 @@ def sale_rows(
     )
     return (
         lineitem.join(part.select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(priced, "p_brand")
         .selectExpr(
             "concat_ws('-', l_orderkey, l_partkey, l_suppkey) AS transaction_id",
             "sku",
-            "CAST(1001 + s_nationkey AS STRING) AS store_id",
+            "CAST(1001 + l_suppkey AS STRING) AS store_id",
             "CAST(CAST(l_shipdate AS DATE) AS STRING) AS transaction_date",
             "CAST(CAST(l_quantity AS INT) AS STRING) AS quantity_sold",
             "CAST(CAST(list_price * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(10,2)) AS STRING)"
@@ -135,7 +136,7 @@ def promotion_rows(part: DataFrame) -> DataFrame:
         "concat('PROMO-', lpad(hex(p_partkey), 8, '0')) AS promo_id",
         "CASE WHEN p_partkey % 5 < 2 THEN concat('BR-', lpad(substr(p_brand, 7), 3, '0')) ELSE category END"
         " AS sku_or_category",
-        "CASE WHEN p_size % 5 < 2 THEN concat('store_', 1001 + p_size % 25) ELSE"
+        "CASE WHEN p_size % 5 < 2 THEN concat('store_', 1001 + p_partkey div 20) ELSE"
         " element_at(array('AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST'), CAST(p_partkey % 5 + 1 AS INT))"
         " END AS store_id_or_region",
         "element_at(array('10%', '15%', '20%', '25%', '30%', '40%'), CAST(p_size % 6 + 1 AS INT)) AS discount_pct",
@@ -149,7 +150,7 @@ def status_updates(events: DataFrame) -> DataFrame:
     """Works on a batch and on a stream of events; an ``error`` event has no status."""
     return events.selectExpr(
         "concat('BR-', lpad(CAST(1 + event_id % 25 AS STRING), 3, '0')) AS sku",
-        "CAST(1001 + user_id % 25 AS STRING) AS store_id",
+        "CAST(1001 + user_id AS STRING) AS store_id",
         f"DATE'{FORECAST_AS_OF}' AS week",
         "CASE event_type WHEN 'view' THEN 'acknowledged' WHEN 'purchase' THEN 'reorder_placed'"
         " WHEN 'signup' THEN 'resolved' WHEN 'click' THEN 'open' END AS status",
@@ -190,7 +191,7 @@ class Retail:
         if feed == "transactions":
             return self.landing_sales
         if feed == "stores":
-            return store_rows(self.given("nation"), self.given("region"))
+            return store_rows(self.given("supplier"), self.given("nation"), self.given("region"))
         return {"products": product_rows, "promotions": promotion_rows}[feed](self.given("part"))
 
     @cached_property
@@ -224,7 +225,7 @@ class Retail:
         return rule_failures(self.spark, f"{self.folder}/silver_transactions")
 
     def sales_from(self, lineitem: DataFrame) -> DataFrame:
-        return sale_rows(lineitem, self.given("part"), self.given("supplier"), self.listed)
+        return sale_rows(lineitem, self.given("part"), self.listed)
 
     @cached_property
     def listed(self) -> DataFrame:

@@ -56,19 +56,19 @@ SELECT {_BRAND_SKU} AS sku, p_brand AS product_name,
        CAST(CAST(max(p_retailprice) AS DECIMAL(10,2)) AS VARCHAR) AS unit_price
 FROM part GROUP BY p_brand""",
     "landing_stores": """
-SELECT CAST(1001 + n_nationkey AS VARCHAR) AS store_id, n_name AS store_name, r_name AS region,
-       CASE (1001 + n_nationkey) % 3 WHEN 0 THEN 'flagship' WHEN 1 THEN 'standard' ELSE 'express' END AS store_type,
-       'mgr_' || n_nationkey AS manager_name, 'mgr_' || n_nationkey || '@example.com' AS manager_email,
-       '+1-555-' || lpad(CAST(n_nationkey AS VARCHAR), 4, '0') AS manager_phone, '2015-01-01' AS manager_since
-FROM nation JOIN region ON n_regionkey = r_regionkey""",
+SELECT CAST(1001 + s_suppkey AS VARCHAR) AS store_id, s_name AS store_name, r_name AS region,
+       CASE (1001 + s_suppkey) % 3 WHEN 0 THEN 'flagship' WHEN 1 THEN 'standard' ELSE 'express' END AS store_type,
+       'mgr_' || s_suppkey AS manager_name, 'mgr_' || s_suppkey || '@example.com' AS manager_email,
+       '+1-555-' || lpad(CAST(s_suppkey AS VARCHAR), 4, '0') AS manager_phone, '2015-01-01' AS manager_since
+FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "landing_transactions": """
 SELECT l_orderkey || '-' || l_partkey || '-' || l_suppkey AS transaction_id,
-       p.sku, CAST(1001 + s_nationkey AS VARCHAR) AS store_id,
+       p.sku, CAST(1001 + l_suppkey AS VARCHAR) AS store_id,
        strftime(l_shipdate, '%Y-%m-%d') AS transaction_date,
        CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS quantity_sold,
        CAST(CAST(CAST(p.unit_price AS DECIMAL(10,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(10,2)) AS VARCHAR)
          AS unit_price_at_sale
-FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey
+FROM lineitem JOIN part ON p_partkey = l_partkey
 JOIN landing_products p ON p.product_name = p_brand""",
     "spoiled_transactions": """
 SELECT transaction_id, sku, store_id,
@@ -79,7 +79,7 @@ FROM (SELECT *, CAST(split_part(transaction_id, '-', 1) AS BIGINT) AS n FROM lan
     "landing_promotions": f"""
 SELECT 'PROMO-' || lpad(hex(p_partkey), 8, '0') AS promo_id,
        CASE WHEN p_partkey % 5 < 2 THEN {_BRAND_SKU} ELSE {_CATEGORY.format(n="p_partkey % 7 % 5")} END AS sku_or_category,
-       CASE WHEN p_size % 5 < 2 THEN 'store_' || (1001 + p_size % 25)
+       CASE WHEN p_size % 5 < 2 THEN 'store_' || (1001 + p_partkey // 20)
             ELSE CASE p_partkey % 5 WHEN 0 THEN 'AFRICA' WHEN 1 THEN 'AMERICA' WHEN 2 THEN 'ASIA'
                  WHEN 3 THEN 'EUROPE' ELSE 'MIDDLE EAST' END END AS store_id_or_region,
        CASE p_size % 6 WHEN 0 THEN '10%' WHEN 1 THEN '15%' WHEN 2 THEN '20%' WHEN 3 THEN '25%'
@@ -95,7 +95,7 @@ SELECT l_orderkey || '-' || l_linenumber AS transaction_id, l_shipdate AS seq_1,
 FROM lineitem""",
     "status_feed": f"""
 SELECT 'BR-' || lpad(CAST(1 + event_id % 25 AS VARCHAR), 3, '0') AS sku,
-       CAST(1001 + user_id % 25 AS VARCHAR) AS store_id, DATE '{FORECAST_AS_OF}' AS week,
+       CAST(1001 + user_id AS VARCHAR) AS store_id, DATE '{FORECAST_AS_OF}' AS week,
        CASE event_type WHEN 'view' THEN 'acknowledged' WHEN 'purchase' THEN 'reorder_placed'
             WHEN 'signup' THEN 'resolved' WHEN 'click' THEN 'open' END AS status,
        CAST(NULL AS VARCHAR) AS note, 'user_' || user_id AS updated_by, ts AS updated_at, event_id AS seq

@@ -34,7 +34,7 @@ from demandflow.streaming.flows import run_bronze, run_status, scd1_upsert
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Parameters of the parameterised reports.
-EXPLORER_STORE, EXPLORER_SKU = "NATION_3", "BR-007"
+EXPLORER_STORE, EXPLORER_SKU = "Supplier#000000003", "BR-007"
 DASHBOARD_WEEK = str(FORECAST_AS_OF)
 QUEUE_FILTERS = {"region": "EUROPE", "store_name": "all", "category": "Apparel", "risk_type": "Stockout", "status": "all"}
 # Coefficients of two saved versions of the demand model; the later one counts.
@@ -93,7 +93,7 @@ def ingest_stream_parquet(r: Retail) -> DataFrame:
     folder = run_folder(r.spark, "bronze")
     raw = with_ingest_metadata(r.given_stream("lineitem"), SOURCE_SYSTEMS["transactions"])
     stamps = ["_source_file", "_ingested_at", "_source_system"]
-    sales = fx.sale_rows(raw, r.given("part"), r.given("supplier"), r.listed, keep=stamps)
+    sales = fx.sale_rows(raw, r.given("part"), r.listed, keep=stamps)
     append_stream(sales, f"{folder}/table", f"{folder}/checkpoint").awaitTermination()
     return read_table(r.spark, f"{folder}/table").select(
         *LANDING_SCHEMAS["transactions"].names,
