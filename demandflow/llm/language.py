@@ -1,7 +1,6 @@
 """Language ID: unigram pieces per language, summed over every segmentation of a word.
 
-The pieces are those of a fixed public vocabulary (lower case, letters only, at most ``MOST_BYTES``
-bytes) plus all single bytes, so every word has a segmentation. A language is a probability per
+The pieces are all those of a fixed public vocabulary that are letters (in lower case), plus all single bytes, so every word has a segmentation. A language is a probability per
 piece, learned by expectation maximisation. A forward pass adds up the probability of all ways to
 cut a word into pieces; a text's score is the sum over its words. Words are bytes and are scored once
 per distinct word of a batch, all words of a length at a time.
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F
 
 from demandflow.llm.common import BYTE_VALUES, _bytes, powers, prefix_hash, splitmix
 
-MOST_BYTES = 8
+MOST_BYTES = 25  # the longest piece of letters there is
 MARK = 32  # a word starts with a space, as in the vocabulary
 LONGEST = 48  # longer words go on as another word without a mark
 SAMPLE = 400
