@@ -20,43 +20,44 @@ def line_dedup(
     ``min_chars`` code points or more that stands in ``min_docs`` documents or more loses its lines
     everywhere but in the largest document id that holds it.
 
-    Lines are exploded, hashed (two 64-bit hashes together make the key) and reduced to one row per
-    key and document; documents per key are counted with map-side partial sums, so a line in a third
-    of all documents is no hot task. Only the keys to drop travel back, as one short list per
-    document, and the lines are put together again by position.
+    Lines are exploded with their position and hashed (two 64-bit hashes together make the key);
+    documents per key are counted over distinct (key, document) with map-side partial sums, so a line in
+    a third of all documents is no hot task. Only the positions to drop travel back, as one list per
+    text, and the others are put together again in order, in time linear in the lines.
 
     Null or empty text is one empty line and stays null or empty. Rows that repeat a document id
     count as one document, each is cleaned by itself; a null id counts as one document, smaller than
-    all others. Other columns pass through; one named ``line_dedup`` is replaced.
+    all others. Texts may be of any length; an empty table gives no rows. Other columns pass through; one
+    named ``line_dedup`` is replaced.
     """
     base = docs.select(
         F.col(id_col).alias("id"),
         F.col(text_col).alias("text"),
         F.struct(*[F.col(c) for c in docs.columns if c not in (text_col, "line_dedup")]).alias("row"),
     )
-    keys = _lines(_folded("text"))
-    long_keys = F.filter(keys, lambda k: F.length(k) >= min_chars)
-    held = base.select("id", F.explode(F.array_distinct(long_keys)).alias("key")).select(
-        "id", F.xxhash64("key").alias("h1"), F.xxhash64("key", F.lit(1)).alias("h2")
+    # an id may stand with several texts, whose lines have positions of their own
+    base = base.withColumns({"t1": F.xxhash64("text"), "t2": F.xxhash64("text", F.lit(1))})
+    lines = base.select("id", "t1", "t2", F.posexplode(_lines(_folded("text"))).alias("pos", "key"))
+    held = lines.where(F.length("key") >= min_chars).select(
+        "id", "t1", "t2", "pos", F.xxhash64("key").alias("h1"), F.xxhash64("key", F.lit(1)).alias("h2")
     )
-    held = stored(held.distinct(), "lines")
-    shared = held.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= min_docs)
+    held = stored(held, "lines")
+    owners = held.select("h1", "h2", "id").distinct()
+    shared = owners.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= min_docs)
     lost = held.join(shared, ["h1", "h2"]).where(~F.col("id").eqNullSafe(F.col("keeper")))
-    drops = lost.groupBy(F.col("id").alias("in_id")).agg(F.collect_set("h1").alias("drops"))
+    drops = lost.groupBy(F.col("id").alias("in_id"), "t1", "t2").agg(F.collect_set("pos").alias("drops"))
 
-    joined = base.join(drops, F.col("id").eqNullSafe(F.col("in_id")), "left")
-    lines = F.split(F.coalesce("text", F.lit("")), "\n")
-    # a document is compared with its own lost lines only, so one hash tells them apart
-    gone = F.transform(_lines(_folded("text")), lambda k: (F.length(k) >= min_chars) & F.array_contains("drops", F.xxhash64(k)))
-    cut = joined.withColumn("lines", lines).withColumn("gone", F.when(F.col("drops").isNotNull(), gone))
-    kept = F.filter(F.col("lines"), lambda x, i: ~F.get(F.col("gone"), i))
-    n_dropped = F.coalesce(F.size(F.filter("gone", lambda g: g)).cast("long"), F.lit(0).cast("long"))
+    same = F.col("id").eqNullSafe(F.col("in_id")) & (base["t1"] == drops["t1"]) & (base["t2"] == drops["t2"])
+    joined = base.join(drops, same, "left").select("row", "text", "drops", F.split(F.coalesce("text", F.lit("")), "\n").alias("lines"))
+    places = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "drops")
+    cut = joined.withColumn("places", F.when(F.col("drops").isNotNull(), places))
+    kept = F.transform("places", lambda at: F.get("lines", at))
     done = cut.select(
         "row",
-        F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
+        F.when(F.col("places").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
         F.struct(
             F.size("lines").cast("long").alias("n_lines"),
-            F.when(F.col("gone").isNull(), F.lit(0).cast("long")).otherwise(n_dropped).alias("n_dropped"),
+            F.when(F.col("places").isNull(), F.lit(0)).otherwise(F.size("lines") - F.size("places")).cast("long").alias("n_dropped"),
         ).alias("line_dedup"),
     )
     columns = [F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns if c != "line_dedup"]

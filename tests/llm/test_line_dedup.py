@@ -1,4 +1,5 @@
 import hashlib
+import time
 
 from pyspark.sql import functions as F
 
@@ -48,3 +49,20 @@ def test_long_text(spark):
     got = clean(spark, [(k, text) for k in range(5)])
     assert [r[3] for r in got] == [20_000] * 4 + [0]
     assert hashlib.sha256(got[4][1].encode()).hexdigest() == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_long_texts_of_shared_lines(spark):
+    """Forty thousand lines that five documents share, and one of their own."""
+    lines = [f"shared line number {j} of more than forty characters" for j in range(40_000)]
+    texts = [(k, "\n".join([*lines[:20_000], f"own {k}", *lines[20_000:]])) for k in range(5)]
+    started = time.time()
+    got = {r[0]: r for r in clean(spark, texts)}
+    assert all(got[k][1:4] == (f"own {k}", 40_001, 40_000) for k in range(4)) and got[4][1:4] == (texts[4][1], 40_001, 0)
+    assert time.time() - started < 60
+
+
+def test_an_id_with_several_texts(spark):
+    shared = [(k, LONG) for k in range(10, 16)]
+    texts = [*shared, (1, f"a\n{LONG}\nb"), (1, f"{LONG}\nc"), (1, f"{LONG}\nc"), (1, None)]
+    got = [(r[1], r[2], r[3]) for r in clean(spark, texts) if r[0] == 1]
+    assert sorted(got, key=repr) == sorted([("a\nb", 3, 1), ("c", 2, 1), ("c", 2, 1), (None, 1, 0)], key=repr)
