@@ -109,8 +109,8 @@ def fingerprints(
     ids (after the last: the first). Ids are cut into ranges at sampled splitters; every range gets
     the first document of the next one as a guest, so texts are shuffled once, compressed, and no
     task sees more than its range. Null ids come first; rows with equal ids follow in the order of
-    a hash of their texts; null texts are empty; a table of one row is its own neighbour. Other columns are
-    ignored.
+    a hash of their texts; null texts are empty; a table of one row is its own neighbour, an
+    empty one gives no rows. Texts may be of any length. Other columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     parts = min(MOST_RANGES, max(1, -(-rows.count() // range_rows)))

@@ -267,7 +267,9 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
 
     lang_pred is a learned language and score its share among all of them; null texts and texts
     without letters are ``und`` with score 0, and so is all if nothing was learned. Rows pass through
-    one by one, so repeated rows and ids do not matter; a column named ``language`` is replaced.
+    one by one, so repeated rows and ids do not matter, and texts of any length are scored whole; of
+    equally likely languages the first by name is taken. An empty table gives no rows; a column named
+    ``language`` is replaced.
     """
     row = F.struct(*[c for c in docs.columns if c != "language"])
     kind = docs.drop("language").schema.simpleString()

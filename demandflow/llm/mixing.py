@@ -81,7 +81,7 @@ def mix(
 
     key is the id, or a hash of the text where the id is null; rows that share it are one document
     and are chosen together. A null source is a source of its own. Null and empty texts are one
-    token. Other columns are ignored. Without ``tokens`` they are estimated from bytes; weights that
+    token; an empty table gives no rows. Other columns are ignored. Without ``tokens`` they are estimated from bytes; weights that
     hold for a tokenizer need its counts (``packing.with_tokens``).
     """
     rows = docs.select(

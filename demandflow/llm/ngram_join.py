@@ -230,7 +230,8 @@ def ngram_join(
     Two documents link when 100 * intersection >= ``percent`` * union of their sets of ``width``-word
     shingles; component_id is the smallest id reachable by links. Texts without words, null texts and
     rows with a null id link with nothing. Repeated rows are equal sets, so they link; an id with
-    several texts is one row per text. Other columns are ignored.
+    several texts is one row per text. Texts may be of any length; an empty table gives no rows. Other
+    columns are ignored.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     first = stored(texts.mapInArrow(_first_pass(width), "id long, node long, n long, token long, found long"), "sets")

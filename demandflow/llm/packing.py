@@ -174,7 +174,8 @@ def pack(
     less than one sequence and what differencing leaves.
 
     Null and empty texts are one end token. Every row is a document of its own, also where ids
-    repeat or are null; other columns are ignored.
+    repeat or are null. Texts may be of any length; an empty table gives no rows; other columns are
+    ignored.
     """
     cut_up = stored(pieces(docs, capacity=capacity, id_col=id_col, text_col=text_col, **options), "pieces")
     groups = max(1, -(-cut_up.count() // group))

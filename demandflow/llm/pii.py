@@ -143,7 +143,7 @@ def find_pii(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_i
     Emails, IP addresses, cards (Luhn) and phones are always reported, account numbers (mod 97) and
     national numbers when words nearby carry them over ``threshold``. Null and empty texts have no
     spans; repeated rows and null ids are rows like others; other columns are ignored. One pass
-    without a shuffle; no pattern backtracks over a run twice, so long texts take linear time.
+    without a shuffle, an empty table gives no rows; no pattern backtracks over a run twice, so long texts take linear time.
     """
     schema = "id long, spans array<struct<kind: string, start: long, end: long, score: double>>"
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(_find_pass(threshold), schema)

@@ -338,7 +338,8 @@ def suffix_dedup(
     bytes that starts anywhere else too. Spans are [first, end) in UTF-8 bytes.
 
     Null text is empty; texts shorter than ``length`` keep all. Every row is a document of its own,
-    so repeated rows remove each other, whatever their ids; ids may be null. Other columns are ignored.
+    so repeated rows remove each other, whatever their ids; ids may be null. Texts may be of any length;
+    an empty table gives no rows. Other columns are ignored.
     """
     from demandflow.llm.common import packed_texts
 

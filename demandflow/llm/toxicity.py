@@ -277,6 +277,7 @@ def score_toxicity(
 ) -> DataFrame:
     """(id, score, spans) per row: chance that a text is toxic, and the words tagged toxic with their
     place in code points. Null and empty texts have no spans and the score of a text without any
-    toxic word. Rows are scored one by one, without a shuffle; other columns are ignored."""
+    toxic word. Rows are scored one by one and whole, without a shuffle; an empty table gives no rows;
+    other columns are ignored."""
     schema = "id long, score double, spans array<struct<start: long, end: long, chance: double>>"
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(_score_pass(model, threshold), schema)
