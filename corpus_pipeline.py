@@ -1,4 +1,9 @@
-"""Raw documents to packed training sequences: five stages, each written and read again."""
+"""Raw documents to packed training sequences: five stages, each written and read again.
+
+All stages but the last return the columns of documents and drop others. Texts may be of any length.
+An empty table gives an empty result in every stage; repeated rows and null or repeated ids are kept
+unless a stage says otherwise.
+"""
 
 from __future__ import annotations
 
@@ -19,7 +24,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that many documents share stay in one; n_chars follows the text."""
+    """Lines that many documents share stay in the largest id that holds them; n_chars follows the text.
+    Null and empty texts stay as they are; rows of one id count as one document, each cleaned by itself."""
     cleaned = line_dedup.line_dedup(docs.select(*COLUMNS))
     return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
@@ -39,7 +45,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per chosen copy; every document is chosen at least once. Weights are in the tokens that
-    packing counts."""
+    packing counts; null and empty texts are one token, rows without an id go by their text."""
     counted = packing.with_tokens(docs.select("doc_id", "source", "text"))
     chosen = mixing.mix(counted, tokens=F.col("tokens")).select("key", F.col("source").alias("of"))
     rows = docs.select(*COLUMNS).withColumn("key", mixing.row_key())
@@ -48,6 +54,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all rows with their place in a sequence; null and empty texts are one end token."""
     return packing.pack(docs).withColumnRenamed("id", "doc_id")
 
 
