@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 RULES: dict[str, dict[str, str]] = {
@@ -30,11 +30,21 @@ def _failure_counts(rules: dict[str, str]) -> list:
     return [F.count_if(_failed(rule)).alias(name) for name, rule in rules.items()]
 
 
-def expect_or_drop(df: DataFrame, rules: dict[str, str]) -> DataFrame:
-    """Drop rows that break a rule. Works on streams too."""
+def expect_or_drop(df: DataFrame, rules: dict[str, str], observe_as: str | Observation | None = None) -> DataFrame:
+    """Drop rows that break a rule. Works on streams too.
+
+    With ``observe_as`` the failures per rule are counted on the way through and show up in the
+    query's observed metrics, without a second pass.
+
+    Rows pass through ``inline`` of a single struct: the filter stays above it, so what the rules look
+    at, parsed texts for the most part, is computed once and not again in the filter.
+    """
     if not rules:
         return df
-    return df.where(reduce(lambda a, b: a & b, [F.expr(rule) for rule in rules.values()]))
+    once = df.select(F.inline(F.array(F.struct(*df.columns))))
+    if observe_as:
+        once = once.observe(observe_as, F.count(F.lit(1)).alias("rows"), *_failure_counts(rules))
+    return once.where(reduce(lambda a, b: a & b, [F.expr(rule) for rule in rules.values()]))
 
 
 def rule_violations(df: DataFrame, rules: dict[str, str]) -> DataFrame:
