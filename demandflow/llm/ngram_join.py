@@ -14,7 +14,9 @@ each of the orders. Equal sets are one node from the start, so copies cost one r
    share must reach that number.
 3. Pairs of nodes that could reach it by hot tokens alone come from a third order, rarest shingle first, by the
    counts among hot nodes. Each bucket first links its nodes to one leader; only pairs of different
-   components that could still be similar by size and by their number of shared shingles are left.
+   components that could still be similar are left: by size, by their number of shared shingles, and by
+   parity marks, bits of which every shingle flips one, so that two sets differ in no fewer shingles than
+   their marks differ in bits.
 4. Candidates are verified on whole texts, and links become components.
 """
 
@@ -36,6 +38,7 @@ from demandflow.llm.shingles import shingle_set
 BUCKET = 64
 FREQUENT = 50_000
 SEEDS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344], np.uint64)
+MARKS = 2048
 FLUSH = 600_000  # shingles held by a task, some 50 MB with what sorting them takes
 
 
@@ -221,6 +224,22 @@ def _token_pass(width: int) -> Callable:
     return run
 
 
+def parity_marks(tokens: np.ndarray) -> np.ndarray:
+    """``MARKS`` bits as 64-bit numbers: whether an odd number of shingles falls on each."""
+    odd = np.bincount((splitmix(tokens) % np.uint64(MARKS)).astype(np.int64), minlength=MARKS) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
+def _mark_pass(width: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = unpacker()
+        for batch in batches:
+            marks = [parity_marks(shingle_set(unpack(_bytes(z)), width)) for z in batch.column(1)]
+            yield _batch(node=batch.column(0), marks=pa.array(marks, pa.list_(pa.int64())))
+
+    return run
+
+
 def ngram_join(
     docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
     frequent_limit: int = FREQUENT,
@@ -313,25 +332,33 @@ def _hot_links(frames: DataFrame, hot: DataFrame, width: int, percent: int, veri
         "node", "n", "v", F.greatest(own, F.lit(0)).alias("own"),
         F.posexplode(F.slice("shared", 1, F.least(probe, F.size("shared")).cast("int"))).alias("at", "s"),
     )
-    keyed = stored(keyed.select("node", "n", "v", (F.col("at") < F.col("own")).alias("own"), F.col("s.token").alias("token")), "hot-prefixes")
+    marks = frames.join(hot, "node", "left_semi").mapInArrow(_mark_pass(width), "node long, marks array<long>")
+    keyed = keyed.select("node", "n", "v", (F.col("at") < F.col("own")).alias("own"), F.col("s.token").alias("token"))
+    keyed = stored(keyed.join(marks, "node"), "hot-prefixes")
 
-    leaders = keyed.groupBy("token").agg(F.max(F.struct("v", "node", "n")).alias("leader"))
+    leaders = keyed.groupBy("token").agg(F.max(F.struct("v", "node", "n", "marks")).alias("leader"))
     led = keyed.join(leaders, "token").where(F.col("node") != F.col("leader.node"))
-    led = led.where(_possible(F.col("n"), F.col("leader.n"), F.col("v"), F.col("leader.v"), percent))
+    one, other = ({c: F.col(f"{side}{c}") for c in ("n", "v", "marks")} for side in ("", "leader."))
+    led = led.where(_possible(one, other, percent))
     star = led.select(F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")).distinct()
     star_links = stored(verified(star), "hot-stars")
     part = connected_components(star_links)
     keyed = keyed.join(part, "node", "left").withColumn("component", F.coalesce("component", "node"))
     x, y = keyed.alias("x"), keyed.alias("y")
+    one, other = ({c: F.col(f"{side}.{c}") for c in ("n", "v", "marks")} for side in "xy")
     apart = (
         (F.col("x.token") == F.col("y.token")) & F.col("x.own")
         & (F.struct("x.n", "x.node") < F.struct("y.n", "y.node")) & (F.col("x.component") != F.col("y.component"))
-        & _possible(F.col("x.n"), F.col("y.n"), F.col("x.v"), F.col("y.v"), percent)
+        & _possible(one, other, percent)
     )
     rest = x.join(y, apart).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
     return star_links.union(verified(rest.distinct()))
 
 
-def _possible(n: Column, m: Column, v: Column, w: Column, percent: int) -> Column:
-    """Sizes allow a link, and the smaller number of shared shingles reaches the needed overlap."""
-    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * F.least(v, w) >= percent * (n + m))
+def _possible(a: dict[str, Column], b: dict[str, Column], percent: int) -> Column:
+    """Sizes allow a link, the smaller number of shared shingles reaches the needed overlap, and the sets
+    do not differ in too many of the marks."""
+    n, m = a["n"], b["n"]
+    differ = F.aggregate(F.zip_with(a["marks"], b["marks"], lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    sizes = (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * F.least(a["v"], b["v"]) >= percent * (n + m))
+    return sizes & ((100 + percent) * (n + m - differ) >= 2 * percent * (n + m))

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from demandflow.llm import ngram_join as operator
@@ -62,3 +63,12 @@ def test_odd_rows(spark):
     want = [(9, 1, 4), (4, 1, 4), (5, 0, 5), (6, 0, 6), (7, 0, 7), (None, 1, None), (8, 59_996, 2), (2, 59_996, 2), (2, 59_996, 2)]
     assert got == sorted(want, key=repr)
     assert ngram_join(docs.limit(0)).count() == 0
+
+
+def test_marks_differ_in_no_more_bits_than_the_sets_in_shingles():
+    draw = np.random.default_rng(2)
+    for _ in range(50):
+        common, a, b = (draw.integers(0, 2**63, draw.integers(0, 3000), dtype=np.uint64) for _ in range(3))
+        x, y = operator.parity_marks(np.r_[common, a]), operator.parity_marks(np.r_[common, b])
+        assert len(x) * 64 == operator.MARKS
+        assert np.bitwise_count(x ^ y).sum() <= len(a) + len(b)
