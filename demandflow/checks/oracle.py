@@ -363,6 +363,8 @@ FROM label_rows""",
 f.is_promoted FROM fact s ASOF LEFT JOIN features f ON s.sku = f.sku AND s.store_id = f.store_id AND s.date_id >= f.week""",
     "asof_score_features": """SELECT k.*, f.* EXCLUDE (sku, store_id, week) FROM keys k
 ASOF LEFT JOIN features f ON k.sku = f.sku AND k.store_id = f.store_id AND k.week >= f.week""",
+    "asof_carried_features": """SELECT k.*, f.* EXCLUDE (sku, store_id, week) FROM keys k
+ASOF LEFT JOIN history f ON k.sku = f.sku AND k.store_id = f.store_id AND k.week >= f.week""",
     "forecast_demand": "SELECT * FROM forecast",
     "forecast_summary": """SELECT model_version, count(*) AS forecast_rows, count(*) FILTER (WHERE is_stockout_risk) AS stockout,
 count(*) FILTER (WHERE is_overstock_risk) AS overstock FROM forecast GROUP BY model_version""",

@@ -417,6 +417,12 @@ def asof_score_features(r: Retail) -> DataFrame:
     return forecast.lookup_for_scoring(score_keys(r), r.features)
 
 
+@query
+def asof_carried_features(r: Retail) -> DataFrame:
+    """Forecast keys against history alone: the last week of a series is carried over up to eight weeks."""
+    return forecast.lookup_for_scoring(score_keys(r), r.features.where(F.col("week") <= series.data_end(r.weekly).scalar()))
+
+
 @query
 def forecast_demand(r: Retail) -> DataFrame:
     return r.forecast_plan()

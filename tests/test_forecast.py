@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from demandflow.functions.measures import discounted_price, sum_money, whole_units
 from demandflow.plans import forecast, gold, model
-from demandflow.sources.generated import date_range, expand_rows
+from demandflow.sources.generated import date_range
 
 WEEK = date(2025, 1, 6)
 FEATURES = (
@@ -62,12 +62,6 @@ def test_fact_flags_and_unmatched_products(spark):
     assert fact == {"1": (3.75, 1), "2": (2.0, 0), "3": (1.0, 0), "4": (None, 0)}
 
 
-def test_rows_grow_by_count_across_blocks(spark):
-    df = spark.createDataFrame([("a", 3), ("b", 0), ("c", None), ("d", 10_000)], "k string, n int")
-    out = expand_rows(df, "n").groupBy("k").agg(F.count("*").alias("c"), F.min("row_index"), F.max("row_index"), F.countDistinct("row_index"))
-    assert sorted(map(tuple, out.collect())) == [("a", 3, 0, 2, 3), ("d", 10_000, 0, 9_999, 10_000)]
-
-
 def test_date_ranges(spark):
     assert date_range(spark, date(2024, 1, 1), date(2026, 12, 31)).count() == 1096
     fact = spark.createDataFrame([(date(2024, 2, 28),), (date(2024, 3, 1),)], "date_id date")
