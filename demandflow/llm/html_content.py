@@ -19,8 +19,9 @@ from demandflow.operators.dimensions import checked_broadcast
 CONSTANT = 0.5
 # Inside an article it takes more, and at least so many different pages.
 CONSTANT_INSIDE, PAGES_INSIDE = 0.8, 3
-# The content is the deepest element that holds this share of the varying text.
-CONTENT_SHARE = 0.6
+# The content is the deepest element that holds this share of the varying text; what varies beside it
+# is a teaser or an advert.
+CONTENT_SHARE = 0.85
 # A block of which more than this share is links is a menu.
 LINK_SHARE = 0.6
 # Trees merged by one task at a time.

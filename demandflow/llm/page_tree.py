@@ -34,21 +34,36 @@ KEEPS_P = set("table td th caption button object".split())
 DEPTH = 100
 REPEATS = 8
 
-# Parts of a page by tag, role, and words of class and id. WEAK words do not count beside a CONTENT word.
+# Parts of a page by tag, role, and words of class and id. WEAK words do not count beside a CONTENT word
+# ("post-header"), BESIDE words not where the name says that they stand next to it ("with-sidebar").
 DROPPED_TAGS = set(
     "nav footer aside form script style noscript template iframe svg canvas audio video object select option button textarea "
     "head title dialog menu".split()
 )
 DROPPED_ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 STRONG = set(
-    "nav navbar navigation menu menubar masthead footer copyright ad ads advert adverts advertisement advertising adsense sponsor "
-    "sponsored cookie cookies consent gdpr newsletter subscribe comment comments disqus reply replies respond share sharing "
-    "social related recommended breadcrumb breadcrumbs pagination pager popup modal login signup".split()
+    "nav navigation masthead copyright ad ads adsense consent gdpr subscribe subscription disqus reply replies respond share sharing "
+    "social related recommended breadcrumb breadcrumbs pagination pager popup modal login signup notice notices notification alert "
+    "promo promotion widget widgets".split()
 )
-WEAK = set("header head topbar banner sidebar side aside rail widget widgets promo promotion notice notices notification alert search form hidden".split())
+STRONG_STARTS = ("advert", "comment", "cookie", "footer", "menu", "navbar", "newsletter", "sponsor")
+STRONG_ENDS = ("nav", "menu", "footer")
+NOT_STRONG = {"commentary"}
+BESIDE, NEXT_TO = {"sidebar", "sidebars", "aside", "rail"}, {"with", "has", "no", "without", "layout"}
+WEAK = set("header head topbar banner side search form hidden".split())
 CONTENT = set("article post entry story content body text".split())
 
 
+def names_a_part(words: set[str], tag: str) -> bool:
+    """Whether words of class and id tell that an element is not of the article."""
+    for word in words - NOT_STRONG:
+        if word in STRONG or word.startswith(STRONG_STARTS) or word.endswith(STRONG_ENDS):
+            return True
+    if words & BESIDE and not words & NEXT_TO:
+        return True
+    return bool(words & WEAK) and not words & CONTENT and tag != "article"
+
+
 class Node:
     __slots__ = ("tag", "label", "children", "outline", "number", "dropped")
 
@@ -81,7 +96,7 @@ def _label_of(tag: str, attributes: str) -> tuple[str, bool]:
     label = ".".join([tag, *sorted(set(names))])
     if names and tag != "main":
         words = {w.lower() for n in names for w in re.findall(r"[A-Z]?[a-z]+|[A-Z]+", n)}
-        dropped |= bool(words & STRONG) or bool(words & WEAK and not words & CONTENT and tag != "article")
+        dropped |= names_a_part(words, tag)
     return label + "!" * dropped, dropped
 
 

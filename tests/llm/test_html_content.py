@@ -79,6 +79,18 @@ def test_registered_query_on_the_given_pages(spark):
         assert (r.text, r.n_chars, r.url) == (want, len(want), given_pages[r.page_id].url)
 
 
+@pytest.mark.parametrize("name, gone", [
+    ("main-content with-sidebar", False), ("article-sidebar", True), ("sidebarLeft", True), ("sideBar", True), ("page-header", True),
+    ("post-header", False), ("commentlist", True), ("commentary", False), ("reader-comments", True), ("topnav", True), ("main-menu", True),
+    ("ad", True), ("ads-box", True), ("download threads", False), ("cookie-banner", True), ("notice", True), ("site-footer", True),
+    ("footnotes", False), ("entry-content", False), ("newsletterBox", True), ("search-form", True), ("related-posts", True), ("loaded shadow", False),
+])
+def test_names_of_parts(name, gone):
+    source = f"<div class='{name}'>A part.</div><div>The text of the page.</div>"
+    assert Page(source).blocks[0][0].dropped == gone
+    assert hc.main_text(source, None) == ("The text of the page." if gone else "A part. The text of the page.")
+
+
 def test_odd_rows(spark):
     long = "<p>" + "word " * 50_000
     rows = [
