@@ -3,6 +3,7 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
+from demandflow.operators.conform import conform_transactions
 from demandflow.operators.latest import latest_per_key
 from demandflow.plans.actions import STATUS_SCHEMA
 from demandflow.schemas import LANDING_SCHEMAS
@@ -169,7 +170,7 @@ def test_rule_counts_of_more_than_a_hundred_batches(spark, tmp_path, rows):
 
 
 def test_a_replayed_batch_counts_once(spark, tmp_path, rows):
-    batch = sales(spark, ("t1", "0", "1.0"), ("t2", "1", "1.0")).selectExpr("*").withColumn("quantity_sold", F.col("quantity_sold").cast("int"))
+    batch = conform_transactions(sales(spark, ("t1", "0", "1.0"), ("t2", "1", "1.0")))
     for flow, number in (("a", 0), ("a", 0), ("b", 0), ("a", 1)):
         write_rule_counts(batch, "transactions", f"{tmp_path}/rules", flow, number)
     assert rows(rule_failures(spark, str(tmp_path)), "rule", "failed_rows", "total_rows")[1] == ("valid_quantity", 3, 6)
