@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from demandflow.functions.calendar import snap_to_weeks
 from demandflow.operators.promotions import (
-    SPAN_DAYS, daily_best_discount, discount_steps, explode_promos, measured, promo_phase_counts,
+    SPAN_DAYS, PromoSteps, daily_best_discount, discount_steps, explode_promos, measured, promo_phase_counts,
 )
 from demandflow.plans.features import add_promo_features, past_promos
 from demandflow.plans.gold import fact_promotions
@@ -197,3 +197,14 @@ def test_measured_steps_are_broadcast_and_give_the_same(spark, tmp_path, rows):
     assert rows(got) == rows(add_promo_features(one_row(spark), offers))
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert plan.count("BroadcastHashJoin") >= 4 and "SortMergeJoin" not in plan
+
+
+def test_steps_of_regions_are_broadcast_when_those_of_stores_are_too_many(spark, rows):
+    """Stores' steps too many to broadcast: only their two lookups sort."""
+    offers = spark.createDataFrame([promo(sku="S", store="1", discount=0.2), promo(category="C", region="R", discount=0.4)], PROMO)
+    all_rows = discount_steps(offers)
+    got = add_promo_features(one_row(spark), PromoSteps(all_rows, False, True))
+    assert rows(got) == rows(add_promo_features(one_row(spark), PromoSteps(all_rows, True)))
+    assert got.first().discount_pct_feat == 0.4
+    executed = got._jdf.queryExecution().sparkPlan().toString()
+    assert executed.count("BroadcastHashJoin") == 2 and executed.count("SortMergeJoin") == 2
