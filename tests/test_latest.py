@@ -162,3 +162,23 @@ def test_a_batch_that_ends_after_a_compaction_stays(spark, tmp_path, rows):
     table.vacuum()
     assert rows(table.read()) == [("a", 1), ("late", 1)] and table._base()[1] == {"fast": 0, "slow": 0}
     assert not table.apply(spark.createDataFrame([("late", 5)], schema), 0, "slow")
+
+
+def test_one_batch_is_the_table_and_many_changes_are_reduced_in_one_shuffle(spark, rows, tmp_path, monkeypatch):
+    schema = spark.createDataFrame([], "k int, seq int").schema
+    table = KeyedTable(spark, str(tmp_path / "t"), schema, ["k"], ["seq"])
+    table.apply(spark.range(1000).selectExpr("int(id) k", "0 seq"), 0)
+    plan = table.read()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and table.read().count() == 1000
+    table.apply(spark.range(10).selectExpr("int(id) k", "1 seq"), 1)
+    few = rows(table.read())
+    assert len(few) == 1000 and few[:10] == [(k, 1) for k in range(10)] and few[10] == (10, 0)
+    for compacted in (False, True):
+        if compacted:
+            table.compact()
+            table.apply(spark.range(5).selectExpr("int(id) k", "2 seq"), 2)
+        want = rows(table.read())
+        monkeypatch.setattr("demandflow.sinks.keyed.FEW_BYTES", 0)
+        plan = table.read()._jdf.queryExecution().sparkPlan().toString()
+        assert "Join" not in plan and rows(table.read()) == want
+        monkeypatch.undo()

@@ -174,3 +174,14 @@ def test_a_replayed_batch_counts_once(spark, tmp_path, rows):
     for flow, number in (("a", 0), ("a", 0), ("b", 0), ("a", 1)):
         write_rule_counts(batch, "transactions", f"{tmp_path}/rules", flow, number)
     assert rows(rule_failures(spark, str(tmp_path)), "rule", "failed_rows", "total_rows")[1] == ("valid_quantity", 3, 6)
+
+
+def test_landing_and_bronze_files_are_small(spark, tmp_path, monkeypatch):
+    """One task writes several files, so that readers are not bound to its number of rows."""
+    monkeypatch.setattr("demandflow.sinks.tables.ROWS_PER_FILE", 100)
+    sales = spark.range(0, 950, 1, 1).select(*[F.col("id").cast("string").alias(c) for c in LANDING_SCHEMAS["transactions"].names])
+    write_landing(sales, str(tmp_path / "landing"))
+    assert len(list((tmp_path / "landing").glob("*.parquet"))) == 10
+    run_bronze(spark, "transactions", str(tmp_path / "landing"), str(tmp_path / "bronze"), str(tmp_path / "checkpoint"))
+    found = list((tmp_path / "bronze").glob("*.parquet"))
+    assert len(found) >= 10 and spark.read.parquet(str(tmp_path / "bronze")).count() == 950
