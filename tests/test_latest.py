@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from demandflow.operators.latest import latest_per_key, upsert
 from demandflow.sinks.keyed import ARRIVAL, KeyedTable
+from demandflow.sources.landing import stream_table
+from demandflow.streaming.flows import scd1_upsert
 
 
 def test_newest_wins_whatever_the_order(spark, rows):
@@ -182,3 +184,45 @@ def test_one_batch_is_the_table_and_many_changes_are_reduced_in_one_shuffle(spar
         plan = table.read()._jdf.queryExecution().sparkPlan().toString()
         assert "Join" not in plan and rows(table.read()) == want
         monkeypatch.undo()
+
+
+def test_more_than_a_few_changes_leave_most_of_the_base_unshuffled(spark, rows, tmp_path, monkeypatch):
+    """Beyond what is matched by keys, marks of the changed keys choose the base rows that are reduced."""
+    schema = spark.createDataFrame([], "k string, j int, seq int, v int").schema
+    rng = random.Random(11)
+    for compacted in (False, True):
+        table = KeyedTable(spark, str(tmp_path / f"t{compacted}"), schema, ["k", "j"], ["seq"])
+        base = [(f"k{n}", None if n % 7 == 0 else n, rng.randrange(9), n) for n in range(4_000)] + [(None, 1, 0, -1)]
+        table.apply(spark.createDataFrame(base, schema), 0)
+        if compacted:
+            table.compact()
+        changes = [(k, j, rng.randrange(9), v + 1) for k, j, _, v in base if v % 9 == 0] + [("new", 0, 1, 1), (None, 1, 3, -2)]
+        table.apply(spark.createDataFrame(changes, schema), 1)
+        best: dict[tuple, tuple] = {}
+        for k, j, seq, v in base + changes:
+            best[k, j] = max(best.get((k, j), (-1, -9)), (seq, v))
+        expected = {(k, j, s, v) for (k, j), (s, v) in best.items()}
+        assert {tuple(r) for r in table.read().collect()} == expected
+        monkeypatch.setattr("demandflow.sinks.keyed.FEW_BYTES", 0)
+        monkeypatch.setattr("demandflow.sinks.keyed.MARK_FROM_BYTES", 0)
+        read = table.read()
+        found = [tuple(r) for r in read.collect()]
+        assert len(found) == len(expected) and set(found) == expected
+        plan = read._jdf.queryExecution().executedPlan().toString()
+        assert "bitmap_construct_agg" in plan and "BroadcastHashJoin" in plan
+        marked = table._marked(spark.createDataFrame(base, schema), spark.createDataFrame(changes, schema))
+        assert 400 < marked.where("__marked").count() < 500
+        monkeypatch.setattr("demandflow.sinks.keyed.MARK_SHARE", 0.0)
+        assert {tuple(r) for r in table.read().collect()} == expected  # all reduced together
+        monkeypatch.undo()
+
+
+def test_a_single_batch_of_a_flow_is_not_copied(spark, tmp_path, monkeypatch):
+    asked = []
+    monkeypatch.setattr(KeyedTable, "compact_if_due", lambda table: asked.append(table._changes({})))
+    spark.range(10).write.parquet(f"{tmp_path}/in")
+    table = KeyedTable(spark, f"{tmp_path}/t", spark.range(0).schema, ["id"], [])
+    for _ in range(2):
+        scd1_upsert(stream_table(spark, f"{tmp_path}/in"), table, f"{tmp_path}/checkpoint").awaitTermination()
+        spark.range(5, 20).write.mode("append").parquet(f"{tmp_path}/in")
+    assert [len(changes) for changes in asked] == [2] and table.read().count() == 20
