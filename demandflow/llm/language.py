@@ -8,8 +8,10 @@ per distinct word of a batch, all words of a length at a time.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +27,7 @@ SAMPLE = 400
 ROUNDS = 4
 UNKNOWN = "und"
 CHUNK = 1 << 20  # bytes scored at a time; the arrays take some fifty times as much
+PORTION = 1 << 17  # bytes of the sample counted at a time on the driver
 ROWS = 1000
 LETTER = np.zeros(256, bool)
 LETTER[65:91] = LETTER[97:123] = LETTER[128:] = True
@@ -180,16 +183,47 @@ class LanguageModel:
         return score
 
 
+def portions(texts: list[bytes], size: int = PORTION) -> Iterator[list[bytes]]:
+    """Texts in portions of about ``size`` bytes; longer ones are cut before a byte that is no letter, so no
+    word is cut."""
+    some = re.compile(rb"(?s).{1,%d}(?=[^A-Za-z\x80-\xff]|\Z)|.+?(?=[^A-Za-z\x80-\xff]|\Z)" % size)
+    held, n = [], 0
+    for part in (part for text in texts for part in (some.findall(text) if len(text) > size else [text])):
+        if held and n + len(part) > size:
+            yield held
+            held, n = [], 0
+        held.append(part)
+        n += len(part)
+    if held:
+        yield held
+
+
+def word_weights(texts: list[list[bytes]]) -> tuple[list[np.ndarray], np.ndarray]:
+    """(distinct words as byte matrices, one per length; weights[word, language]) of each language's texts.
+    Texts are read in portions: the arrays take some fifty times the bytes read at a time."""
+    number: dict[bytes, int] = {}
+    met = []
+    for k, own in enumerate(texts):
+        for portion in portions(own):
+            matrices, _, word = distinct_words(portion)
+            numbers = np.array([number.setdefault(w.tobytes(), len(number)) for m in matrices for w in m], np.int64)
+            met.append((numbers, k, np.bincount(word, minlength=len(numbers))))
+    words = sorted(number, key=lambda w: (len(w), w))
+    rank = np.empty(len(words), np.int64)
+    rank[[number[w] for w in words]] = np.arange(len(words))
+    weights = np.zeros((len(words), max(1, len(texts))))
+    for numbers, k, counts in met:
+        weights[rank[numbers], k] += counts
+    matrices = [np.frombuffer(b"".join(group), np.uint8).reshape(-1, n) for n, group in groupby(words, len)]
+    return matrices, weights
+
+
 def train(texts: dict[str, list[bytes]], pieces: list[bytes], rounds: int = ROUNDS) -> LanguageModel:
     """Expectation maximisation over the words of labelled texts."""
     languages = sorted(texts)
     table = PieceTable(pieces)
-    everything = [t for name in languages for t in texts[name]]
-    language = np.repeat(np.arange(len(languages)), [len(texts[name]) for name in languages])
-    matrices, owner, word = distinct_words(everything)
-    total = sum(map(len, matrices))
-    weights = np.zeros((total, max(1, len(languages))))
-    np.add.at(weights, (word, language[owner]), 1.0)
+    matrices, weights = word_weights([texts[name] for name in languages])
+    total = len(weights)
     found = [piece_numbers(table, m) for m in matrices]
     chances = np.full((len(pieces), max(1, len(languages))), 1.0 / len(pieces))
     for _ in range(rounds if total else 0):

@@ -134,3 +134,30 @@ def test_pipeline_loses_no_clean_document(spark):
     kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicate_stage(spark, docs, FOLDER).collect()]
     want = [(5, text("a")), (5, None), (5, ""), (3, text("b") + " end"), (8, text("c")), (None, text("c")), (None, text("c"))]
     assert sorted(kept, key=repr) == sorted(want, key=repr)
+
+
+def test_language_sample_is_counted_in_portions(monkeypatch):
+    """Words and weights are those of one count over all texts, whatever is read at a time."""
+    rng = random.Random(3)
+    texts = [
+        [" ".join(rng.choice(["the", "Cat", "naïve", "x" * 130, "a-b"]) for _ in range(rng.randrange(300))).encode() for _ in range(9)],
+        [b"", b"z" * 700 + b" end", "über 12 Über".encode()],
+    ]
+    expected: dict[tuple, float] = {}
+    for k, own in enumerate(texts):
+        matrices, _, word = language.distinct_words(own)
+        names = [w.tobytes() for m in matrices for w in m]
+        for at in word:
+            expected[names[at], k] = expected.get((names[at], k), 0) + 1
+    sizes = []
+    inner = language.distinct_words
+    monkeypatch.setattr(language, "distinct_words", lambda some: sizes.append(sum(map(len, some))) or inner(some))
+    for size in (50, 1000, 1 << 20):
+        monkeypatch.setattr(language.portions, "__defaults__", (size,))
+        sizes.clear()
+        matrices, weights = language.word_weights(texts)
+        names = [w.tobytes() for m in matrices for w in m]
+        assert {(w, k): weights[at, k] for at, w in enumerate(names) for k in (0, 1) if weights[at, k]} == expected
+        assert max(sizes) <= max(size, 701)  # no word is cut
+    empty = language.word_weights([[], [b""]])
+    assert empty[0] == [] and empty[1].shape == (0, 2)
