@@ -226,3 +226,37 @@ def test_a_single_batch_of_a_flow_is_not_copied(spark, tmp_path, monkeypatch):
         scd1_upsert(stream_table(spark, f"{tmp_path}/in"), table, f"{tmp_path}/checkpoint").awaitTermination()
         spark.range(5, 20).write.mode("append").parquet(f"{tmp_path}/in")
     assert [len(changes) for changes in asked] == [2] and table.read().count() == 20
+
+
+def test_a_batch_of_distinct_keys_is_written_as_it_is(spark, rows, tmp_path, monkeypatch):
+    """No reduction where no key repeats; a key twice, a NULL key too, is reduced as ever."""
+    schema = spark.createDataFrame([], "k string, seq int").schema
+    table = KeyedTable(spark, str(tmp_path / "t"), schema, ["k"], ["seq"], distinct=True)
+    monkeypatch.setattr("demandflow.sinks.keyed.latest_per_key", None)
+    assert table.apply(spark.createDataFrame([("a", 1), ("b", 1), (None, 1)], schema), 0)
+    assert rows(table.read()) == [(None, 1), ("a", 1), ("b", 1)]
+    monkeypatch.undo()
+    assert table.apply(spark.createDataFrame([("a", 2), ("a", 4), ("a", 3), (None, 5), (None, 4)], schema), 1)
+    assert rows(table.read()) == [(None, 5), ("a", 4), ("b", 1)]
+    assert not table.apply(spark.createDataFrame([("a", 9)], schema), 1)
+
+
+def test_a_batch_whose_keys_are_not_checked_yet_is_not_read(spark, rows, tmp_path, monkeypatch):
+    schema = spark.createDataFrame([], "k string, seq int").schema
+    table = KeyedTable(spark, str(tmp_path / "t"), schema, ["k"], ["seq"], distinct=True)
+    table.apply(spark.createDataFrame([("a", 1)], schema), 0)
+    seen = []
+    monkeypatch.setattr("demandflow.sinks.keyed.repeated_keys", lambda df, keys: seen.append((df.count(), rows(table.read()))))
+    table.apply(spark.createDataFrame([("b", 1), ("c", 1)], schema), 1)
+    assert seen == [(2, [("a", 1)])] and rows(table.read()) == [("a", 1), ("b", 1), ("c", 1)]
+
+
+def test_the_largest_batch_counts_as_the_base_that_is_not_there(spark, tmp_path):
+    schema = spark.createDataFrame([], "k int, seq int").schema
+    table = KeyedTable(spark, str(tmp_path / "t"), schema, ["k"], ["seq"])
+    table.apply(spark.range(50_000).selectExpr("int(id) k", "0 seq"), 0)
+    table.apply(spark.range(10).selectExpr("int(id) k", "1 seq"), 1)
+    assert not table.compact_if_due(min_bytes=1)  # it would copy 50,000 rows for 10
+    assert table.read().where("seq = 1").count() == 10 and table.read().count() == 50_000
+    table.apply(spark.range(50_000).selectExpr("int(id) k", "2 seq"), 2)
+    assert table.compact_if_due(min_bytes=1) and table.read().where("seq = 2").count() == 50_000
