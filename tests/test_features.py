@@ -179,3 +179,24 @@ def test_same_result_without_any_broadcast(world, spark, rows):
         assert collect(build(world, rows)) == want
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+
+
+def test_last_rows_equal_those_of_all_averages(spark, world, rows):
+    """Without an average for every row: the last row of a series is numbered from the end."""
+    weekly = world["weekly"]
+    columns = ["sku", "store_id", "week", "rolling_4wk_avg", "avg_demand_last_12w"]
+    for least in (1, 12, 25):
+        want = rows(series.valid_series(weekly, least).where("is_last"), *columns)
+        assert rows(series.last_valid_rows(weekly, least), *columns) == want != []
+    plan = series.last_valid_rows(weekly)._jdf.queryExecution().executedPlan().toString()
+    assert "row_number()" in plan and "avg(total_quantity" not in plan
+
+
+def test_forecast_weeks_are_looked_up_before_they_are_multiplied(world, rows):
+    future = build(world, "future")
+    end = world["weekly"].agg(F.max("week")).first()[0]
+    assert rows(future) == rows(build(world, "all").where(F.col("week") > F.lit(end))) != []
+    # only what leads to the answer is multiplied: the plan reads from the top, joins with the steps come below
+    plan = future._jdf.queryExecution().optimizedPlan().toString()
+    rows_side = plan.split("Join LeftOuter")[0]
+    assert "explode(" in rows_side
