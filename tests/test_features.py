@@ -200,3 +200,18 @@ def test_forecast_weeks_are_looked_up_before_they_are_multiplied(world, rows):
     plan = future._jdf.queryExecution().optimizedPlan().toString()
     rows_side = plan.split("Join LeftOuter")[0]
     assert "explode(" in rows_side
+
+
+def test_training_rows_are_the_labels_with_what_was_known(spark, world, rows):
+    weekly = world["weekly"].unionByName(
+        world["weekly"].where("sku = 'EL-003'").withColumn("store_id", F.lit("unknown")).distinct()
+    ).unionByName(world["weekly"].where("sku = 'EL-003' AND store_id = '1003'").withColumn("store_id", F.lit(None).cast("string")))
+    args = (world["promos"], world["stores"], world["products"])
+    once = weekly.groupBy("sku", "store_id", "week").agg(F.sum("total_quantity").alias("total_quantity")).localCheckpoint()
+    known = features.labels(once, series.valid_pairs(once))
+    want = forecast.training_set(known, features.build_features(once, *args))
+    got = features.labelled_history(once, *args)
+    assert got.dtypes == want.dtypes and rows(got) == rows(want)
+    assert got.where("rolling_4wk_avg IS NULL").count() > 0 and got.where("is_promoted = 1").count() > 0
+    cutoff = forecast.holdout_cutoff(got).first()["cutoff"]
+    assert rows(forecast.holdout_split(got, cutoff=F.lit(cutoff))) == rows(forecast.holdout_split(want))
