@@ -316,7 +316,7 @@ def _own_text(width: int) -> Callable:
 
 
 def _hot_links(frames: DataFrame, hot: DataFrame, width: int, percent: int, verified: Callable) -> DataFrame:
-    """Links among nodes that are hot in every order."""
+    """Links among nodes that are hot in every order; those to leaders are given as links to the smallest node reached."""
     tokens = frames.join(hot, "node", "left_semi").mapInArrow(_token_pass(width), "node long, token long, n long")
     tokens = stored(tokens, "hot-tokens")
     df = tokens.groupBy("token").agg(F.count("*").alias("df"))
@@ -342,7 +342,7 @@ def _hot_links(frames: DataFrame, hot: DataFrame, width: int, percent: int, veri
     led = led.where(_possible(one, other, percent))
     star = led.select(F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")).distinct()
     star_links = stored(verified(star), "hot-stars")
-    part = connected_components(star_links)
+    part = stored(connected_components(star_links), "hot-parts")
     keyed = keyed.join(part, "node", "left").withColumn("component", F.coalesce("component", "node"))
     x, y = keyed.alias("x"), keyed.alias("y")
     one, other = ({c: F.col(f"{side}.{c}") for c in ("n", "v", "marks")} for side in "xy")
@@ -352,7 +352,8 @@ def _hot_links(frames: DataFrame, hot: DataFrame, width: int, percent: int, veri
         & _possible(one, other, percent)
     )
     rest = x.join(y, apart).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
-    return star_links.union(verified(rest.distinct()))
+    # whoever joins links again need not find these components twice
+    return part.select("node", "component").union(verified(rest.distinct()))
 
 
 def _possible(a: dict[str, Column], b: dict[str, Column], percent: int) -> Column:

@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 
+from demandflow.llm import common
 from demandflow.llm import ngram_join as operator
 from demandflow.llm.ngram_join import ngram_join
 
@@ -72,3 +73,34 @@ def test_marks_differ_in_no_more_bits_than_the_sets_in_shingles():
         x, y = operator.parity_marks(np.r_[common, a]), operator.parity_marks(np.r_[common, b])
         assert len(x) * 64 == operator.MARKS
         assert np.bitwise_count(x ^ y).sum() <= len(a) + len(b)
+
+
+def _union_find(edges):
+    root = {}
+    for a, b in edges:
+        for x in (a, b):
+            root.setdefault(x, x)
+        while root[a] != a:
+            a = root[a]
+        while root[b] != b:
+            b = root[b]
+        root[max(a, b)] = min(a, b)
+
+    def top(x):
+        return x if root[x] == x else top(root[x])
+
+    return {(x, top(x)) for x in root}
+
+
+def test_components_take_no_round_once_all_nodes_hang_on_their_smallest(spark, monkeypatch):
+    rng = random.Random(7)
+    stars = [(k, k % 5) for k in range(5, 60)] + [(k % 5, k) for k in range(60, 90)] + [(3, 3)] * 2
+    chain = [(k, k + 1) for k in range(100, 140)]
+    loose = [tuple(rng.sample(range(200, 300), 2)) for _ in range(70)]
+    for edges, rounds in ((stars, 0), (stars * 3, 0), ([(1, 2), (2, 3)], 1), (stars + chain + loose, None), ([], 0)):
+        labels = []
+        monkeypatch.setattr(common, "stored", lambda df, label, keep=labels: (keep.append(label), df.localCheckpoint())[1])
+        found = common.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
+        assert len(found) == len(set(found))
+        assert {tuple(r) for r in found} == _union_find([e for e in edges if e[0] != e[1]])
+        assert rounds is None or labels == ["edges"] + ["large-star", "small-star"] * rounds
