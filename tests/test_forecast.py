@@ -127,3 +127,28 @@ def test_trees_and_the_poisson_model_on_one_holdout(spark, training):
     assert rows["boosted_trees"].mae_holdout < 5
     holes = training.withColumn("rolling_4wk_avg", F.when(F.col("sku") != "s3", F.col("rolling_4wk_avg")))
     assert predictors["boosted_trees"](holes).where("prediction IS NULL").select("sku").distinct().collect() == [("s3",)]
+
+
+def test_trees_of_rows_put_together_are_those_of_all_rows(spark, training, monkeypatch):
+    """Rows between the same split candidates are one row for the trees, however many there are."""
+    train = training.where("part = 'train'").withColumn("total_quantity", F.col("total_quantity") + F.col("week_of_year") % 5)
+    rows = train.unionByName(train.withColumn("total_quantity", F.col("total_quantity") * 3)).cache()
+    given, fit = [], model.GBTRegressor.fit
+
+    def counted(self, dataset, params=None):
+        given.append(dataset.count())
+        return fit(self, dataset, params)
+
+    monkeypatch.setattr(model.GBTRegressor, "fit", counted)
+    found = model.trees_predictor(model.fit_trees(rows, trees=5, depth=4))
+    assert given[0] <= rows.select(*model.FEATURES).distinct().count() < rows.count()
+
+    logs = model.SQLTransformer(statement="SELECT *, ln(1 + total_quantity) AS log_demand FROM __THIS__").transform(rows)
+    vectors = model.VectorAssembler(inputCols=model.FEATURES, outputCol="inputs").transform(logs)
+    every = fit(model.GBTRegressor(featuresCol="inputs", labelCol="log_demand", maxIter=5, maxDepth=4, stepSize=0.2, seed=17), vectors)
+    # also for values between and beyond those of the rows, and for split candidates themselves
+    asked = training.drop("prediction").withColumn("rolling_4wk_avg", F.explode(F.array(F.col("rolling_4wk_avg"), F.col("rolling_4wk_avg") + 0.5, F.lit(-1.0), F.lit(1e9))))
+    want = model.VectorAssembler(inputCols=model.FEATURES, outputCol="inputs").transform(asked)
+    want = every.transform(want).withColumn("want", F.greatest(F.lit(0.0), F.exp("prediction") - 1)).drop("prediction", "inputs")
+    far = found(want).where("abs(prediction - want) > 1e-9 OR prediction IS NULL")
+    assert far.count() == 0
