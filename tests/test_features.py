@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from demandflow.operators import series
+from demandflow.operators.promotions import PromoSteps, discount_steps, lookup_discounts
 from demandflow.plans import features, forecast, gold
 from demandflow.plans.actions import action_list
 from demandflow.schemas import FEATURE_COLUMNS, KEYS, assert_unique
@@ -215,3 +216,22 @@ def test_training_rows_are_the_labels_with_what_was_known(spark, world, rows):
     assert got.where("rolling_4wk_avg IS NULL").count() > 0 and got.where("is_promoted = 1").count() > 0
     cutoff = forecast.holdout_cutoff(got).first()["cutoff"]
     assert rows(forecast.holdout_split(got, cutoff=F.lit(cutoff))) == rows(forecast.holdout_split(want))
+
+
+def test_training_rows_are_not_moved_again_to_meet_the_discounts_of_stores(spark, world, rows):
+    """Products listed twice, in two categories or without one, a store without region, and steps of every size."""
+    products = world["products"].unionByName(spark.createDataFrame(
+        [("EL-001", "p", "Home"), ("EL-004", "p", "Home"), ("EL-005", "p", None), (None, "p", "Home")], world["products"].schema
+    ))
+    stores = world["stores"].where("store_id <> '1004'").unionByName(spark.createDataFrame([("1004", "s", None)], world["stores"].schema))
+    steps = discount_steps(world["promos"], features.FEATURE_DISCOUNTS).localCheckpoint()
+    weekly = world["weekly"].localCheckpoint()
+    valid = series.valid_series(weekly).drop("is_last")
+    described = valid.join(stores.select("store_id", "region"), "store_id", "left").join(products.select("sku", "category"), "sku", "left")
+    want = rows(lookup_discounts(described, PromoSteps(steps), "week", 7, ["past_discount"]).select("sku", "store_id", "week", F.coalesce("past_discount", F.lit(0.0))))
+    for sizes in ((False, False), (False, True), (True, True)):
+        got = features.labelled_history(weekly, PromoSteps(steps, *sizes), stores, products)
+        assert rows(got, "sku", "store_id", "week", "discount_pct_feat") == want
+    # the one shuffle of the weekly rows is that of their series
+    plan = features.labelled_history(weekly, PromoSteps(steps, False, True), stores, products)._jdf.queryExecution().executedPlan().toString()
+    assert "__span" in plan and not [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "__span" in line]
