@@ -235,3 +235,15 @@ def test_training_rows_are_not_moved_again_to_meet_the_discounts_of_stores(spark
     # the one shuffle of the weekly rows is that of their series
     plan = features.labelled_history(weekly, PromoSteps(steps, False, True), stores, products)._jdf.queryExecution().executedPlan().toString()
     assert "__span" in plan and not [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "__span" in line]
+
+
+def test_last_rows_of_a_history_lead_to_the_same_forecast_weeks(spark, world, rows):
+    weekly = world["weekly"].unionByName(world["weekly"].where("sku = 'EL-003'").withColumn("store_id", F.lit("unknown")).distinct())
+    weekly = weekly.groupBy("sku", "store_id", "week").agg(F.sum("total_quantity").alias("total_quantity")).localCheckpoint()
+    twice = world["products"].unionByName(world["products"].where("sku = 'EL-002'"))
+    args = (world["promos"], world["stores"], twice)
+    last = series.last_known_rows(features.labelled_history(weekly, *args).localCheckpoint())
+    got = features.build_features(weekly, *args, "future", last=last)
+    assert rows(got) == rows(features.build_features(weekly, *args, "future")) != []
+    plan = last._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "Sort" not in plan and "Window" not in plan
